@@ -1,0 +1,26 @@
+"""Joins on keys of which one may hold a third of all rows.
+
+The many-row side gets a hash slice per row. The key side is spread over only those
+(key, slice) pairs that really occur, so a rare key costs one row and a hot key is worked
+on by ``slices`` tasks. Nothing is dropped and nothing is broadcast on trust.
+"""
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+SLICES = 32
+
+
+def with_slice(rows: DataFrame, *by: str, slices: int = SLICES) -> DataFrame:
+    """Add ``_slice``, a function of columns that differ within a key."""
+    return rows.withColumn("_slice", F.pmod(F.xxhash64(*by), F.lit(slices)).cast("int"))
+
+
+def spread_filter(
+    rows: DataFrame, keys: DataFrame, key: str, *, by: list[str], how: str,
+    slices: int = SLICES,
+) -> DataFrame:
+    """``rows`` semi- or anti-joined with unique ``keys``."""
+    sliced = with_slice(rows, *by, slices=slices)
+    hits = sliced.select(key, "_slice").distinct().join(keys.select(key), key, "left_semi")
+    return sliced.join(hits, [key, "_slice"], how).drop("_slice")
