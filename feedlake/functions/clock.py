@@ -4,7 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from feedlake import constants as C
-from feedlake.functions.text import _col, nonempty, strip
+from feedlake.functions.text import _col, let, literal_map, strip
 
 # RFC 822 zone names and their offsets.
 _ZONE_OFFSETS = {
@@ -15,32 +15,23 @@ _ZONE_OFFSETS = {
 
 
 def _zone_offset(name: Column) -> Column:
-    table = F.create_map(*[F.lit(v) for pair in _ZONE_OFFSETS.items() for v in pair])
-    return F.try_element_at(table, F.upper(name))
-
-
-def _first_parsed(text: Column, formats) -> Column:
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
+    return F.try_element_at(literal_map(_ZONE_OFFSETS), F.upper(name))
 
 
 def _rfc822(text: Column, default_offset: str | None) -> Column:
     """``[Sun,] 19 Jul 2026 18:50[:00] zone``; NULL when it does not read as one."""
-    day = r"(\d{1,2}\s+[A-Za-z]{3}\s+\d{4})"
-    clock = r"(\d{1,2}:\d{1,2}(?::\d{1,2})?)"
-    shape = rf"^(?:[A-Za-z]+,?\s*)?{day}\s+{clock}(?:\s+([A-Za-z]+|[+-]\d{{4}}))?$"
-    zone = F.regexp_extract(text, shape, 3)
-    offset = F.coalesce(
-        _zone_offset(zone),
-        F.when(zone.rlike(r"^[+-]\d{4}$"), zone),
-        F.when(zone == "", F.lit(default_offset).cast("string")),
-    )
-    moment = F.concat_ws(
-        " ",
-        F.regexp_replace(nonempty(F.regexp_extract(text, shape, 1)), r"\s+", " "),
-        F.regexp_extract(text, shape, 2),
-    )
-    stamp = F.concat(moment, F.lit(" "), offset)
-    return _first_parsed(stamp, ("d MMM yyyy H:m:s Z", "d MMM yyyy H:m Z"))
+    def read(tokens: Column) -> Column:
+        zone = F.substring_index(F.substring_index(tokens, " ", 5), " ", -1)
+        offset = (
+            F.when(zone.contains(":"), F.lit(default_offset).cast("string"))
+            .when(zone.rlike(r"^[+-]\d{4}$"), zone)
+            .otherwise(_zone_offset(zone))
+        )
+        stamp = F.concat(F.substring_index(tokens, " ", 4), F.lit(" "), offset)
+        looks_right = tokens.rlike(r"^\d{1,2} [A-Za-z]{3} \d{4} \d{1,2}:")
+        return F.when(looks_right, F.try_to_timestamp(stamp, F.lit("d MMM yyyy H:m[:s] Z")))
+
+    return let(F.trim(F.regexp_replace(text, r"^[A-Za-z]+,?\s*|\s+", " ")), read)
 
 
 def rfc822_to_utc(c) -> Column:
@@ -51,18 +42,16 @@ def rfc822_to_utc(c) -> Column:
 
 def _iso(text: Column) -> Column:
     """``2026-06-12[T ]19:56[:57[.123]][zone]``; a missing zone reads as UTC."""
-    shape = (
-        r"^(\d{4}-\d{1,2}-\d{1,2})[T ]+(\d{1,2}:\d{1,2})(:\d{1,2}(?:\.\d{1,6})?)?"
-        r"\s*(?:[zZ]|([+-]\d{2}):?(\d{2}))?$"
-    )
-    date_only = r"^\d{4}-\d{1,2}-\d{1,2}$"
-    date, minutes, seconds, hours, rest = (F.regexp_extract(text, shape, i) for i in range(1, 6))
-    zone = F.when(hours == "", "Z").otherwise(F.concat(hours, F.lit(":"), rest))
-    seconds = F.coalesce(nonempty(seconds), F.lit(":00"))
-    stamp = F.concat(date, F.lit(" "), minutes, seconds, zone)
-    return F.when(text.rlike(shape), F.try_to_timestamp(stamp)).when(
-        text.rlike(date_only), F.try_to_timestamp(F.concat(text, F.lit(" 00:00:00Z")))
-    )
+    full = F.regexp_replace(text, r"^([-\d]+)$", "$1T00:00:00")
+    full = F.regexp_replace(full, r"([T ]\d{1,2}:\d{1,2})(?=$|[zZ+-])", "$1:00")
+    full = F.regexp_replace(full, r"([+-]\d{2})(\d{2})$", "$1:$2")
+
+    def read(full: Column) -> Column:
+        zoned = full.rlike(r"(?:[zZ]|[+-]\d{2}:\d{2})$")
+        return F.try_to_timestamp(F.when(zoned, full).otherwise(F.concat(full, F.lit("Z"))))
+
+    looks_right = text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}(?:$|[T ]+\d{1,2}:)")
+    return F.when(looks_right, let(full, read))
 
 
 def feed_time(published, updated, tz_offset) -> Column:
@@ -83,11 +72,9 @@ def feed_time(published, updated, tz_offset) -> Column:
 def zone_to_utc(c, zone: str = C.FIREHOSE_ZONE) -> Column:
     """Clock text of a named zone to an instant, daylight saving included."""
     text = strip(c)
-    stamp = F.concat(
-        F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}\s+\d{1,2}:\d{1,2}(:\d{1,2})?$"), text),
-        F.lit(f" {zone}"),
-    )
-    return _first_parsed(stamp, ("yyyy-M-d H:m:s VV", "yyyy-M-d H:m VV"))
+    looks_right = text.rlike(r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}(?::\d{1,2})?$")
+    stamp = F.concat(text, F.lit(f" {zone}"))
+    return F.when(looks_right, F.try_to_timestamp(stamp, F.lit("yyyy-M-d H:m[:s] VV")))
 
 
 def in_blackout(

@@ -4,7 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from feedlake import constants as C
-from feedlake.functions.text import nonempty, or_empty
+from feedlake.functions.text import literal_map, nonempty, or_empty
 
 
 def host_of(url) -> Column:
@@ -26,7 +26,7 @@ def publisher(
     The table is a configuration constant, folded into the plan as a map literal, so the
     lookup is a projection and not a join.
     """
-    labels = F.create_map(*[F.lit(v) for pair in table.items() for v in pair])
+    labels = literal_map(table)
     host = host_of(url)
     short = F.regexp_replace(host, rf"^(?:{'|'.join(prefixes)})\.", "")
     return F.when((host == "") | host.contains(portal_mark), portal_label).otherwise(

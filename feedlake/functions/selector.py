@@ -12,11 +12,14 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from feedlake import constants as C
+from feedlake.functions.text import collapse, decode_entities
 
 _VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
 _UNREAD = frozenset(("script", "style", "template"))
+# Stands in for "&" while parsing, so that entities are decoded by one rule, in the JVM.
+_AMP = "\uffff"
 
 
 class _FirstMatch(HTMLParser):
@@ -62,28 +65,29 @@ class _FirstMatch(HTMLParser):
             self.parts.append(data)
 
 
-def select_text(html: str, selector: str, min_chars: int) -> str:
-    """Text below the selected element, or '' when missing, too short or unreadable."""
+def select_text(html: str, selector: str) -> str:
+    """Text nodes below the selected element, spaced, entities as written; '' if none."""
     try:
         parser = _FirstMatch(selector)
-        parser.feed(html)
+        parser.feed(html.replace("&", _AMP))
         parser.close()
     except Exception:
         return ""
-    text = " ".join(" ".join(parser.parts).split())
-    return text if len(text) >= min_chars else ""
+    return " ".join(parser.parts).replace(_AMP, "&")
 
 
 def page_text(html, selector, *, min_chars: int = C.MIN_BODY_CHARS):
-    """Column form of select_text."""
+    """Text of the selected element, or '' when missing, too short or unreadable."""
 
     @F.pandas_udf("string")
     def extract(pages: pd.Series, selectors: pd.Series) -> pd.Series:
         return pd.Series(
             [
-                select_text(page, sel, min_chars) if page and sel else ""
+                select_text(page, sel) if page and sel else ""
                 for page, sel in zip(pages, selectors)
-            ]
+            ],
+            dtype="object",
         )
 
-    return extract(html, selector)
+    body = collapse(decode_entities(extract(html, selector)))
+    return F.when(F.length(body) >= min_chars, body).otherwise("")

@@ -6,7 +6,6 @@ aggregation, and failure streaks are counted over hash slices of each feed.
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from feedlake import constants as C
 from feedlake.functions import text
@@ -40,10 +39,10 @@ def fold_feed_state(
     touches neither cursor nor last_fetched, adds to the streak and records its error.
     ``prior`` continues an earlier state with later polls.
 
-    The streak is the number of failures after the last success. Success times are found
-    per (feed, hash slice) with partial aggregation, spread back over at most ``slices``
-    rows per feed, and failures are compared slice by slice, so a feed that holds a third
-    of the log is worked on by ``slices`` tasks.
+    The streak is the number of failures after the last success. Each feed's last success
+    comes from an aggregate with partial results per task; it is then spread over the hash
+    slices (at most 63) in which the feed has failures, and failures are compared slice by
+    slice. A feed that holds a third of the log is so worked on by ``slices`` tasks.
     """
     ok = is_ok()
     rows = with_slice(poll, "ts", "seq", slices=slices).select(
@@ -52,34 +51,37 @@ def fold_feed_state(
         F.struct("etag", "last_modified").alias("cursor"),
         poll_error().alias("message"),
     )
-    last = F.struct("at", "message")
-    per_slice = rows.groupBy("feed_id", "_slice").agg(
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_slice"))
+    per_feed = rows.groupBy("feed_id").agg(
         F.max(F.when(F.col("ok"), F.col("at"))).alias("ok_at"),
         F.max(F.when(F.col("has_cursor"), F.struct("at", "cursor"))).alias("cur"),
-        F.max(last).alias("last"),
+        F.max(F.struct("at", "message")).alias("last"),
+        F.bit_or(F.when(~F.col("ok"), bit)).alias("fail_slices"),
     )
-    over_feed = Window.partitionBy("feed_id")
-    bounds = per_slice.select(
-        "feed_id", "_slice", F.max("ok_at").over(over_feed).alias("feed_ok_at")
-    )
-    tail = (
-        rows.filter(~F.col("ok")).select("feed_id", "_slice", "at")
-        .join(bounds, ["feed_id", "_slice"])
-        .filter(F.col("feed_ok_at").isNull() | (F.col("at") > F.col("feed_ok_at")))
-        .groupBy("feed_id", "_slice").agg(F.count("*").alias("n"))
-        .groupBy("feed_id").agg(F.sum("n").alias("streak"))
+    used = F.filter(
+        F.sequence(F.lit(0), F.lit(slices - 1)),
+        lambda i: F.getbit(F.coalesce("fail_slices", F.lit(0).cast("long")), i) == 1,
     )
+    spread = per_feed.withColumn("_slice", F.explode_outer(used)).alias("f")
+    fails = rows.filter(~F.col("ok")).select("feed_id", "_slice", "at").alias("x")
+    after = F.col("f.ok_at").isNull() | (F.col("x.at") > F.col("f.ok_at"))
+    same = (F.col("f.feed_id") == F.col("x.feed_id")) & (F.col("f._slice") == F.col("x._slice"))
     state = (
-        per_slice.groupBy("feed_id")
-        .agg(F.max("ok_at").alias("ok_at"), F.max("cur").alias("cur"), F.max("last").alias("last"))
-        .join(tail, "feed_id", "left")
+        spread.join(fails, same & after, "left")
+        .groupBy("f.feed_id")
+        .agg(
+            F.max("f.ok_at").alias("ok_at"),
+            F.max("f.cur").alias("cur"),
+            F.max("f.last").alias("last"),
+            F.count("x.at").alias("streak"),
+        )
         .select(
             "feed_id",
             F.col("cur.cursor.etag").alias("etag"),
             F.col("cur.cursor.last_modified").alias("last_modified"),
             F.col("ok_at.ts").alias("last_fetched"),
             F.col("ok_at.ts").alias("last_success"),
-            F.coalesce("streak", F.lit(0)).cast("long").alias("consecutive_failures"),
+            F.col("streak").alias("consecutive_failures"),
             F.col("last.message").alias("last_error"),
             F.when(F.col("last.message").isNotNull(), F.col("last.at.ts")).alias("last_error_at"),
             F.col("cur").isNotNull().alias("_cursor_set"),
@@ -221,8 +223,9 @@ def family_verdicts(
         F.count_if(F.col("failure") == "chronic").alias("chronic"),
         F.count_if(F.col("failure") == "new").alias("new_failed"),
     )
-    names = spark.createDataFrame(
-        [(i, f) for i, f in enumerate(families)], "rank int, family string"
+    names = spark.range(0, len(families), 1, 1).select(
+        F.col("id").cast("int").alias("rank"),
+        F.element_at(F.lit(list(families)), F.col("id").cast("int") + 1).alias("family"),
     )
     zero = F.lit(0).cast("long")
     joined = names.join(counted, "family", "left").select(

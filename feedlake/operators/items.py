@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from feedlake import constants as C
 from feedlake import schemas
 from feedlake.functions import classify
-from feedlake.operators.spread import spread_filter
+from feedlake.operators.spread import spread_anti
 
 ITEM_COLUMNS = [f.name for f in schemas.ITEM]
 
@@ -65,8 +65,7 @@ def new_rows(
 
     ``by`` names columns that differ between copies; they split a hot key.
     """
-    known = known_ids(batch, stored, key=key)
-    return spread_filter(batch, known, key, by=list(by), how="left_anti")
+    return spread_anti(batch, stored, key, by=list(by))
 
 
 def insert_if_absent(

@@ -16,11 +16,15 @@ def with_slice(rows: DataFrame, *by: str, slices: int = SLICES) -> DataFrame:
     return rows.withColumn("_slice", F.pmod(F.xxhash64(*by), F.lit(slices)).cast("int"))
 
 
-def spread_filter(
-    rows: DataFrame, keys: DataFrame, key: str, *, by: list[str], how: str,
-    slices: int = SLICES,
+def spread_anti(
+    rows: DataFrame, stored: DataFrame, key: str, *, by: list[str], slices: int = SLICES
 ) -> DataFrame:
-    """``rows`` semi- or anti-joined with unique ``keys``."""
+    """Rows whose key ``stored`` does not hold; copies of a key within ``rows`` stay.
+
+    The stored keys meet the (key, slice) pairs in an inner join, which may broadcast the
+    pairs of a small batch; only the key column of the store is read.
+    """
     sliced = with_slice(rows, *by, slices=slices)
-    hits = sliced.select(key, "_slice").distinct().join(keys.select(key), key, "left_semi")
-    return sliced.join(hits, [key, "_slice"], how).drop("_slice")
+    pairs = sliced.select(key, "_slice").distinct()
+    held = stored.select(key).join(pairs, key)
+    return sliced.join(held, [key, "_slice"], "left_anti").drop("_slice")

@@ -185,6 +185,5 @@ def card_row(items: DataFrame, now: datetime | Column, *, label: str, **rules) -
 def worst_level(board: DataFrame, *, levels=C.LEVELS) -> DataFrame:
     """The worst level on the board and its title."""
     rank = F.array_position(F.array(*[F.lit(v) for v in levels]), F.col("level"))
-    titles = F.create_map(*[F.lit(v) for pair in C.LEVEL_TITLES.items() for v in pair])
     worst = board.agg(F.coalesce(F.max_by("level", rank), F.lit(levels[0])).alias("level"))
-    return worst.withColumn("title", F.try_element_at(titles, F.col("level")))
+    return worst.withColumn("title", F.try_element_at(text.literal_map(C.LEVEL_TITLES), F.col("level")))

@@ -173,11 +173,20 @@ def stamp_items(spark, sf_dir):
         "doc_id", "kind", "expire_at", "embed_pending")
 
 
-@query("us_eastern_to_utc", """
-SELECT event_id,
-  timezone('UTC', timezone('America/New_York', date_trunc('second', ts))) AS with_seconds,
-  timezone('UTC', timezone('America/New_York',
-    date_trunc('minute', ts + to_days(CAST(event_id % 366 AS INTEGER))))) AS minutes_only,
+def _sql_eastern(clock_sql: str) -> str:
+    """US Eastern clock to UTC; a clock that occurs twice means its first occurrence."""
+    at = f"timezone('UTC', timezone('America/New_York', {clock_sql}))"
+    earlier = f"({at} - INTERVAL 1 HOUR)"
+    return (
+        f"CASE WHEN timezone('America/New_York', timezone('UTC', {earlier})) = {clock_sql} "
+        f"THEN {earlier} ELSE {at} END"
+    )
+
+
+@query("us_eastern_to_utc", f"""
+SELECT event_id, {_sql_eastern("date_trunc('second', ts)")} AS with_seconds,
+  {_sql_eastern("date_trunc('minute', ts + to_days(CAST(event_id % 366 AS INTEGER)))")}
+    AS minutes_only,
   CAST(NULL AS TIMESTAMP) AS unreadable FROM events""")
 def us_eastern_to_utc(spark, sf_dir):
     """Event clocks printed as US Eastern text and read back, over a whole year of days."""
@@ -253,15 +262,14 @@ def first_ticker(spark, sf_dir):
                     text.first_ticker(prefixed).alias("prefixed"))
 
 
-@query("firehose_mapping", """
+@query("firehose_mapping", f"""
 WITH r AS (
   SELECT *, p_type IN ('ECONOMY', 'PROMO') AS art,
          CASE WHEN p_size > 10 THEN 'https://e/' || p_partkey ELSE '' END AS url,
          p_name || ' ' || p_partkey AS title,
-         timezone('UTC', timezone('America/New_York',
-           TIMESTAMP '2024-01-01' + to_seconds(p_partkey * 40000))) AS at_s,
-         timezone('UTC', timezone('America/New_York', date_trunc('minute',
-           TIMESTAMP '2024-01-01' + to_seconds(p_partkey * 40000)))) AS at_m FROM part)
+         {_sql_eastern("TIMESTAMP '2024-01-01' + to_seconds(p_partkey * 40000)")} AS at_s,
+         {_sql_eastern("date_trunc('minute', TIMESTAMP '2024-01-01' "
+                       "+ to_seconds(p_partkey * 40000))")} AS at_m FROM part)
 SELECT sha1(CASE WHEN url <> '' THEN url ELSE title END) AS item_id,
   CASE WHEN art THEN 'fmp:fmp-articles' ELSE 'fmp:stock-latest' END AS feed_id,
   CASE WHEN art THEN CASE WHEN p_size % 3 = 0 THEN p_type ELSE 'Financial Modeling Prep' END

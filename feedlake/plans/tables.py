@@ -13,6 +13,7 @@ from feedlake.operators.items import first_wins
 
 DAY0 = "2024-01-01 00:00:00"
 NOW = "2024-01-31 00:00:00"
+_SCHEMAS = {}
 
 
 def now():
@@ -20,8 +21,14 @@ def now():
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; ``session.configure`` makes its clock columns instants."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; ``session.configure`` makes its clock columns instants.
+
+    The schema of a path is read from its files once per process.
+    """
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def minutes_after_day0(column: str):

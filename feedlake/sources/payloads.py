@@ -31,6 +31,15 @@ FEED_ROOTS = ("rss", "feed", "rdf:rdf")
 _LOOSE_AMP = r"&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#[xX][0-9a-fA-F]+);)"
 
 
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column so that it is computed once per row.
+
+    Spark copies the expression of a plain column into every filter it pushes down, and
+    would parse a body several times. A one-element outer explode is not looked through.
+    """
+    return df.select("*", F.explode_outer(F.array(value)).alias(name))
+
+
 def _rss_entry(item: Column) -> Column:
     guid = item["guid"]["_VALUE"]
     guid_is_link = F.lower(F.coalesce(item["guid"]["_isPermaLink"], F.lit("true"))) != "false"
@@ -69,38 +78,41 @@ def scan_feeds(payloads: DataFrame) -> DataFrame:
     unknown root means the response was not a feed.
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
-    first = F.from_xml("payload", _DOCUMENT, options)
-    parsed = payloads.withColumn("_doc", first)
-    broken = F.col("_doc._corrupt_record").isNotNull()
+    parsed = _once(payloads, "_first", F.from_xml("payload", _DOCUMENT, options))
+    broken = F.col("_first._corrupt_record").isNotNull()
     repaired = F.when(broken, F.regexp_replace("payload", _LOOSE_AMP, "&amp;"))
-    parsed = parsed.withColumn("_again", F.from_xml(repaired, _DOCUMENT, options))
-    parsed = parsed.withColumn("_doc", F.when(broken, F.col("_again")).otherwise(F.col("_doc")))
-
+    parsed = _once(parsed, "_again", F.from_xml(repaired, _DOCUMENT, options))
+    doc = F.when(broken, F.col("_again")).otherwise(F.col("_first"))
     entries = F.coalesce(
-        F.transform("_doc.channel.item", _rss_entry),
-        F.transform("_doc.item", _rss_entry),
-        F.transform("_doc.entry", _atom_entry),
+        F.transform(doc["channel"]["item"], _rss_entry),
+        F.transform(doc["item"], _rss_entry),
+        F.transform(doc["entry"], _atom_entry),
         F.array().cast(
             "array<struct<title:string,link:string,guid:string,summary:string,"
             "content:string,published:string,updated:string>>"
         ),
     )
     known_root = F.lower(F.regexp_extract("payload", _ROOT, 1)).isin(*FEED_ROOTS)
-    readable = known_root & F.col("_doc._corrupt_record").isNull()
-    return (
-        parsed.withColumn("entries", entries)
-        .withColumn("is_feed", (F.size("entries") > 0) | F.coalesce(readable, F.lit(False)))
-        .drop("_doc", "_again", "payload")
+    readable = F.coalesce(known_root & doc["_corrupt_record"].isNull(), F.lit(False))
+    scanned = _once(parsed, "_scan", F.struct(entries.alias("entries"), readable.alias("readable")))
+    return scanned.select(
+        *[c for c in payloads.columns if c != "payload"],
+        F.col("_scan.entries").alias("entries"),
+        ((F.size("_scan.entries") > 0) | F.col("_scan.readable")).alias("is_feed"),
+    )
+
+
+def _entry_rows(scanned: DataFrame, *keys: str) -> DataFrame:
+    good = scanned.filter((F.col("status") == 200) & F.col("is_feed"))
+    rows = good.select(*keys, F.posexplode_outer("entries").alias("_pos", "entry"))
+    return rows.filter(F.col("_pos").isNotNull()).select(
+        *keys, F.col("_pos").cast("long").alias("row_pos"), "entry.*"
     )
 
 
 def feed_rows(scanned: DataFrame) -> DataFrame:
     """One row per entry of a successful response, with its position."""
-    return (
-        scanned.filter((F.col("status") == 200) & F.col("is_feed"))
-        .select("feed_id", "fetched_at", F.posexplode("entries").alias("row_pos", "entry"))
-        .select("feed_id", "fetched_at", F.col("row_pos").cast("long").alias("row_pos"), "entry.*")
-    )
+    return _entry_rows(scanned, "feed_id", "fetched_at")
 
 
 def scan_search(payloads: DataFrame) -> DataFrame:
@@ -108,7 +120,7 @@ def scan_search(payloads: DataFrame) -> DataFrame:
     schema = f"struct<items:array<struct<{_ddl(schemas.SEARCH_ROW)}>>,_corrupt_record:string>"
     doc = F.from_json("payload", schema)
     return (
-        payloads.withColumn("_doc", doc)
+        _once(payloads, "_doc", doc)
         .withColumn("entries", F.col("_doc.items"))
         .withColumn(
             "is_feed", F.col("_doc").isNotNull() & F.col("_doc._corrupt_record").isNull()
@@ -118,11 +130,7 @@ def scan_search(payloads: DataFrame) -> DataFrame:
 
 
 def search_rows(scanned: DataFrame) -> DataFrame:
-    return (
-        scanned.filter((F.col("status") == 200) & F.col("is_feed"))
-        .select("q", "fetched_at", F.posexplode("entries").alias("row_pos", "entry"))
-        .select("q", "fetched_at", F.col("row_pos").cast("long").alias("row_pos"), "entry.*")
-    )
+    return _entry_rows(scanned, "q", "fetched_at")
 
 
 def scan_firehose(payloads: DataFrame) -> DataFrame:
@@ -131,7 +139,7 @@ def scan_firehose(payloads: DataFrame) -> DataFrame:
                        f"struct<rows:array<struct<{_ddl(schemas.FIREHOSE_ROW)}>>,"
                        "_corrupt_record:string>")
     return (
-        payloads.withColumn("_doc", body)
+        _once(payloads, "_doc", body)
         .withColumn("entries", F.col("_doc.rows"))
         .withColumn("n_rows", F.coalesce(F.array_size("entries"), F.lit(0)).cast("long"))
         .withColumn(
@@ -142,16 +150,7 @@ def scan_firehose(payloads: DataFrame) -> DataFrame:
 
 
 def firehose_rows(scanned: DataFrame) -> DataFrame:
-    return (
-        scanned.filter((F.col("status") == 200) & F.col("is_feed"))
-        .select(
-            "endpoint", "page", "fetched_at", F.posexplode("entries").alias("row_pos", "entry")
-        )
-        .select(
-            "endpoint", "page", "fetched_at",
-            F.col("row_pos").cast("long").alias("row_pos"), "entry.*",
-        )
-    )
+    return _entry_rows(scanned, "endpoint", "page", "fetched_at")
 
 
 def _ddl(fields: str) -> str:
