@@ -39,7 +39,10 @@ def minutes_after_day0(column: str):
 
 def doc_items(spark, sf_dir) -> DataFrame:
     """documents: keyed by their text, the first line as title, no url."""
-    doc = load(spark, sf_dir, "documents")
+    return doc_items_of(load(spark, sf_dir, "documents"))
+
+
+def doc_items_of(doc: DataFrame) -> DataFrame:
     family = F.when(F.col("lang") == "en", C.RSS).when(
         F.col("lang") == "fr", C.SEARCH).otherwise(C.FIREHOSE)
     return doc.select(
@@ -159,7 +162,10 @@ def sql_host(url: str) -> str:
 
 def event_polls(spark, sf_dir) -> DataFrame:
     """events as a poll log: a feed per user, in three families."""
-    e = load(spark, sf_dir, "events")
+    return event_polls_of(load(spark, sf_dir, "events"))
+
+
+def event_polls_of(e: DataFrame) -> DataFrame:
     kind = F.col("event_type")
     family = F.element_at(
         F.array(*[F.lit(f) for f in C.FAMILIES]), (F.col("user_id") % 3 + 1).cast("int"))

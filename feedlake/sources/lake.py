@@ -1,0 +1,117 @@
+"""Tables as folders of parquet parts, published together by one commit.
+
+Parquet has no MERGE. A job writes new part folders, which nobody reads yet, and then
+appends one small JSON file to ``_commits`` that adds them and drops the parts they
+replace, for one table or several. A job that dies before its commit leaves tables as
+they were and is run again. There is one writer at a time, as there is one scheduled run.
+
+Inserts only add parts. Changing rows rewrites just the parts that hold them.
+"""
+
+import uuid
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from feedlake import schemas
+
+TABLES = {
+    "items": schemas.ITEM, "item_vectors": schemas.VECTOR, "feed_state": schemas.FEED_STATE,
+    "job_health": schemas.JOB_HEALTH, "meta": schemas.META, "poll_log": schemas.POLL_LOG,
+    "run_log": schemas.RUN_LOG,
+}
+_COMMIT = T.StructType([
+    T.StructField("version", T.LongType()), T.StructField("table", T.StringType()),
+    T.StructField("part", T.StringType()), T.StructField("op", T.StringType()),
+])
+
+
+def _commits(spark: SparkSession, root: str) -> DataFrame | None:
+    try:
+        return spark.read.schema(_COMMIT).json(f"{root}/_commits")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def active_parts(spark: SparkSession, root: str, table: str) -> list[str]:
+    """Names of the parts that make up a table now: a few per run, never rows."""
+    log = _commits(spark, root)
+    if log is None:
+        return []
+    kept = log.filter(F.col("table") == table).groupBy("part").agg(
+        F.max_by("op", "version").alias("op")
+    ).filter(F.col("op") == "add")
+    return sorted(r["part"] for r in kept.select("part").collect())
+
+
+def read_parts(spark: SparkSession, root: str, table: str, parts: list[str]) -> DataFrame:
+    """Given parts of a table, each row with the ``_part`` it lies in."""
+    schema = TABLES[table]
+    if not parts:
+        return spark.createDataFrame([], schema).withColumn("_part", F.lit(None).cast("string"))
+    df = spark.read.schema(schema).parquet(*[f"{root}/{table}/{p}" for p in parts])
+    return df.withColumn("_part", F.regexp_extract("_metadata.file_path", r"/(part-[0-9a-f]+)/", 1))
+
+
+def read(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """A table as last committed."""
+    return read_parts(spark, root, table, active_parts(spark, root, table)).drop("_part")
+
+
+def write_part(df: DataFrame, root: str, table: str) -> str:
+    """Write rows as a new part; it stays invisible until committed."""
+    part = f"part-{uuid.uuid4().hex}"
+    df.select([f.name for f in TABLES[table]]).write.parquet(f"{root}/{table}/{part}")
+    return part
+
+
+def commit(
+    spark: SparkSession, root: str, *, add: dict[str, list[str]],
+    drop: dict[str, list[str]] | None = None,
+) -> int:
+    """Publish new parts and retire replaced ones in one step; returns the version."""
+    log = _commits(spark, root)
+    last = 0 if log is None else log.agg(F.max("version")).head()[0] or 0
+    rows = [(last + 1, t, p, op) for op, parts in (("add", add), ("drop", drop or {}))
+            for t, names in parts.items() for p in names]
+    if not rows:
+        return last
+    spark.createDataFrame(rows, _COMMIT).coalesce(1).write.mode("append").json(f"{root}/_commits")
+    return last + 1
+
+
+def append(spark: SparkSession, root: str, table: str, df: DataFrame) -> None:
+    commit(spark, root, add={table: [write_part(df, root, table)]})
+
+
+def replace(spark: SparkSession, root: str, table: str, df: DataFrame) -> None:
+    """Publish a whole new state; for the small state tables."""
+    old = active_parts(spark, root, table)
+    commit(spark, root, add={table: [write_part(df, root, table)]}, drop={table: old})
+
+
+def rewrite(spark: SparkSession, root: str, table: str, touched: DataFrame, change) -> dict:
+    """Rewrite the parts that ``touched`` names (column ``_part``), without committing.
+
+    ``change`` maps the rows of those parts to their new rows. Returns arguments for
+    ``commit``, so that several tables can be published at once.
+    """
+    parts = sorted(r["_part"] for r in touched.select("_part").distinct().collect())
+    if not parts:
+        return {"add": {}, "drop": {}}
+    new = change(read_parts(spark, root, table, parts).drop("_part"))
+    return {"add": {table: [write_part(new, root, table)]}, "drop": {table: parts}}
+
+
+def commit_all(spark: SparkSession, root: str, *changes: dict) -> None:
+    """Publish the results of several rewrites and added parts as one version."""
+    merged = {"add": {}, "drop": {}}
+    for change in changes:
+        for op in merged:
+            for table, parts in change.get(op, {}).items():
+                merged[op].setdefault(table, []).extend(parts)
+    commit(spark, root, **merged)
