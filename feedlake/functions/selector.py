@@ -6,14 +6,19 @@ candidate pages that body enrichment selects.
 """
 
 import re
+import sys
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from feedlake import constants as C
 from feedlake.functions.text import collapse, decode_entities
 
+# Task code travels with the plan; executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )

@@ -1,10 +1,12 @@
 """Embedding queue: what waits, what each call gave, what is stored, what to redo."""
 
+import sys
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,8 +15,17 @@ from feedlake import schemas
 from feedlake.functions import text
 
 
+# Task code travels with the plan; executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 class PermanentEmbedError(Exception):
-    """The service refused and will refuse again; ``code`` says why."""
+    """The service refused and will refuse again; ``code`` says why.
+
+    Recognised by its ``permanent`` mark, so an embedder may raise errors of its own.
+    """
+
+    permanent = True
 
     def __init__(self, message: str, code: int | None = None):
         super().__init__(message, code)
@@ -89,10 +100,11 @@ def _call(embed: Callable[[str], list[float]], item_text: str, dim: int, item_co
         return "permanent", None, "empty input"
     try:
         vector = embed(item_text)
-    except PermanentEmbedError as e:
-        return ("permanent" if e.code in item_codes else "fatal"), None, str(e)
     except Exception as e:
-        return "retryable", None, str(e)
+        if not getattr(e, "permanent", False):
+            return "retryable", None, str(e)
+        of_item = getattr(e, "code", None) in item_codes
+        return ("permanent" if of_item else "fatal"), None, str(e)
     if len(vector) != dim:
         return "fatal", None, f"dim {len(vector)} != {dim} (config drift)"
     return "ok", [float(x) for x in vector], ""

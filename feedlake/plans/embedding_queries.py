@@ -1,17 +1,23 @@
 """Catalogue: embedding queue, outcomes, vector store, re-embedding."""
 
 import hashlib
+import sys
 from datetime import timedelta
 
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from feedlake.functions import text
 from feedlake.functions.text import BLANKS
 from feedlake.operators import embedding as ops
+from feedlake.operators.embedding import PermanentEmbedError
 from feedlake.plans import tables as t
 from feedlake.plans.catalogue import query
 from feedlake.plans.tables import STORED_SQL, VEC_SQL, load
 
+# The stand-in embedder below travels with the plan.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 DIM = 8
 
 
@@ -36,7 +42,7 @@ class HashEmbedder:
     def __call__(self, item_text: str) -> list[float]:
         digest = hashlib.sha1(item_text.encode("utf-8")).hexdigest()
         if digest[0] == "0":
-            raise ops.PermanentEmbedError(f"bad input key={digest[:6]}", code=400)
+            raise PermanentEmbedError(f"bad input key={digest[:6]}", code=400)
         if digest[0] == "1":
             raise TimeoutError(f"no answer for {digest[:6]}")
         return [int(digest[2 * i:2 * i + 2], 16) / 256.0 for i in range(DIM)]

@@ -301,6 +301,22 @@ def search_mapping(spark, sf_dir):
         "item_id", "feed_id", "source", "language", "url", "title", "body", "published_at")
 
 
+@query("new_articles_by_source", f"""
+WITH {_SEARCH_SQL}, a AS (
+  SELECT {_sql_publisher("url")} AS source, {sql_kind(sql_clean("raw || '.'", ""))} AS kind,
+         feed_id, url, fetched_at FROM search
+  QUALIFY row_number() OVER (PARTITION BY url ORDER BY page_id) = 1)
+SELECT source, kind, feed_id, count(*) AS n, min(fetched_at) AS first_at,
+       max(fetched_at) + INTERVAL 365 DAY AS kept_until FROM a GROUP BY source, kind, feed_id""")
+def new_articles_by_source(spark, sf_dir):
+    """Search results from landing to store: mapped, first of each key, stamped, counted."""
+    found = mapping.map_search_rows(t.page_search_rows(spark, sf_dir))
+    empty_store = found.limit(0)
+    return ops.insert_if_absent(found, empty_store).groupBy("source", "kind", "feed_id").agg(
+        F.count("*").alias("n"), F.min("fetched_at").alias("first_at"),
+        F.max("expire_at").alias("kept_until"))
+
+
 @query("union_families", f"""
 WITH {DOC_SQL}, {_SEARCH_SQL}, talk AS (
   SELECT sha1(trim(text, '{BLANKS}')) AS item_id, 'talk-' || role AS feed_id,

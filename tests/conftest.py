@@ -40,7 +40,7 @@ def items(spark):
     from feedlake.schemas import MAPPED_ITEM
 
     defaults = dict(
-        feed_id="f1", source="S", asset_hint="", language="en", url="", title="t", body="b",
+        item_id="i", feed_id="f1", source="S", asset_hint="", language="en", url="", title="t", body="b",
         symbol="", published_at=None, fetched_at=NOW, family="rss", feed_pos=0)
 
     def make(*rows):
