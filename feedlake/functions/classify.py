@@ -7,7 +7,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from feedlake import constants as C
-from feedlake.functions.text import _col, strip
+from feedlake.functions.text import as_col, strip
 
 
 def _any_of(text: Column, signals) -> Column:
@@ -35,5 +35,5 @@ def kind(
 
 def keep_in_feed(kind_col="kind") -> Column:
     """Readers see stories and rows without a kind; every other kind is hidden."""
-    c = _col(kind_col)
+    c = as_col(kind_col)
     return c.isNull() | (c == C.STORY)

@@ -4,7 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from feedlake import constants as C
-from feedlake.functions.text import _col, let, literal_map, strip
+from feedlake.functions.text import as_col, let, literal_map, strip
 
 # RFC 822 zone names and their offsets.
 _ZONE_OFFSETS = {
@@ -65,7 +65,7 @@ def feed_time(published, updated, tz_offset) -> Column:
         return F.coalesce(_rfc822(text, "+0000"), _iso(text))
 
     utc = F.coalesce(read(published), read(updated))
-    shift = F.coalesce(F.round(_col(tz_offset) * 3_600_000_000).cast("long"), F.lit(0))
+    shift = F.coalesce(F.round(as_col(tz_offset) * 3_600_000_000).cast("long"), F.lit(0))
     return F.timestamp_micros(F.unix_micros(utc) - shift)
 
 
@@ -83,7 +83,7 @@ def in_blackout(
     """Local hour in [start, end); never, unless both ends are set."""
     if start_hour is None or end_hour is None:
         return F.lit(False)
-    hour = F.hour(F.from_utc_timestamp(_col(ts), zone))
+    hour = F.hour(F.from_utc_timestamp(as_col(ts), zone))
     return (hour >= start_hour) & (hour < end_hour)
 
 
@@ -92,7 +92,7 @@ def in_lookback(ts, now, *, days: int = C.LOOKBACK_DAYS) -> Column:
 
     The bounds are written as instants so that the filter reaches the scan.
     """
-    ts, now = _col(ts), _col(now)
+    ts, now = as_col(ts), as_col(now)
     today = F.to_date(now)
     return (ts >= F.date_sub(today, days).cast("timestamp")) & (
         ts < F.date_add(today, 1).cast("timestamp")
@@ -100,12 +100,12 @@ def in_lookback(ts, now, *, days: int = C.LOOKBACK_DAYS) -> Column:
 
 
 def is_weekend(ts) -> Column:
-    return F.dayofweek(_col(ts)).isin(1, 7)
+    return F.dayofweek(as_col(ts)).isin(1, 7)
 
 
 def age_seconds(ts, now) -> Column:
     """Elapsed time in seconds, with fractions."""
-    return (F.unix_micros(_col(now)) - F.unix_micros(_col(ts))) / F.lit(1_000_000)
+    return (F.unix_micros(as_col(now)) - F.unix_micros(as_col(ts))) / F.lit(1_000_000)
 
 
 def relative_time(ts, now) -> Column:

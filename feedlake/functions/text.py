@@ -15,19 +15,19 @@ BLANKS = (
 # The same set without the plain space; far faster than a listed class.
 _ODD_BLANK = r"(?U)[\s\x{1c}-\x{1f}&&[^ ]]"
 
-# Possessive quantifiers and the bounded attribute count keep the regex engine
-# from backtracking or recursing deeply on hostile pages. A construct left open
-# runs to the end of the text.
-_COMMENT = r"(?s)<!--.*?(?:-->|\z)"
-_UNREAD = r"(?is)<(script|style|template|rt|rp)\b[^>]*+>.*?(?:</\1\s*+>|\z)"
-_TAG = (
-    r"<[a-zA-Z/!?][^>=]*+"
+# One pass over comments, elements whose text nobody reads, and tags. Possessive
+# quantifiers and the bounded attribute count keep the regex engine from backtracking
+# or recursing deeply on hostile pages. A construct left open runs to the end.
+_MARKUP = (
+    r"(?is)<(?:!--.*?(?:-->|\z)"
+    r"|(script|style|template|rt|rp)\b[^>]*+>.*?(?:</\1\s*+>|\z)"
+    r"|[a-z/!?][^>=]*+"
     r"""(?>=\s*+(?:"[^"]*+"|'[^']*+')?+[^>=]*+){0,200}+"""
-    r"[^>]*+(?:>|\z)"
+    r"[^>]*+(?:>|\z))"
 )
 
 
-def _col(c) -> Column:
+def as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
@@ -38,12 +38,12 @@ def let(value: Column, use) -> Column:
 
 def or_empty(c) -> Column:
     """NULL becomes the empty string."""
-    return F.coalesce(_col(c), F.lit(""))
+    return F.coalesce(as_col(c), F.lit(""))
 
 
 def nonempty(c) -> Column:
     """The empty string becomes NULL, so that coalesce() falls through on both."""
-    return F.nullif(_col(c), F.lit(""))
+    return F.nullif(as_col(c), F.lit(""))
 
 
 def strip(c) -> Column:
@@ -98,14 +98,15 @@ def decode_entities(c) -> Column:
             .otherwise(F.concat(F.lit("&"), part))
         )
 
-    return F.array_join(F.transform(F.split(_col(c), "&"), one), "")
+    def decode(value: Column) -> Column:
+        parts = F.transform(F.split(value, "&"), one)
+        return F.when(value.contains("&"), F.array_join(parts, "")).otherwise(value)
+
+    return let(as_col(c), decode)
 
 
 def _clean(c, joint: str) -> Column:
-    text = or_empty(c)
-    for pattern in (_COMMENT, _UNREAD, _TAG):
-        text = F.regexp_replace(text, pattern, joint)
-    return collapse(decode_entities(text))
+    return collapse(decode_entities(F.regexp_replace(or_empty(c), _MARKUP, joint)))
 
 
 def clean_spaced(c) -> Column:
@@ -143,11 +144,11 @@ def embed_text(title, body, *, body_chars: int = C.EMBED_BODY_CHARS) -> Column:
 
 def redact(c) -> Column:
     """Hide the value of every ``key=`` parameter."""
-    return F.regexp_replace(_col(c), r"(?U)(key=)[^&\s]+", "$1[redacted]")
+    return F.regexp_replace(as_col(c), r"(?U)(key=)[^&\s]+", "$1[redacted]")
 
 
 def truncate(c, chars: int) -> Column:
-    return F.substring(_col(c), 1, chars)
+    return F.substring(as_col(c), 1, chars)
 
 
 def job_detail(detail, error, *, error_chars: int = C.JOB_ERROR_CHARS) -> Column:

@@ -49,17 +49,22 @@ def enrich_bodies(
     items: DataFrame, stored: DataFrame, selectors: DataFrame, pages: DataFrame, *,
     per_feed: int = C.BODIES_PER_FEED, min_chars: int = C.MIN_BODY_CHARS,
 ) -> DataFrame:
-    """The batch with bodies filled in where a target's page had text."""
+    """The batch with bodies filled in where a target's page had text.
+
+    Only headline-only articles of listed sources take part in joins; the rest of the
+    batch, with its bodies, passes by without a shuffle.
+    """
     targets = body_targets(items, stored, selectors, per_feed=per_feed)
-    found = fetch_bodies(targets, pages, min_chars=min_chars).select(
-        "item_id", "feed_id", "fetched_at", "row_pos", F.col("body").alias("_found")
-    )
     keys = ["item_id", "feed_id", "fetched_at", "row_pos"]
-    return (
-        items.join(found, keys, "left")
-        .withColumn("body", F.coalesce("_found", "body"))
-        .select(*items.columns)
-    )
+    found = fetch_bodies(targets, pages, min_chars=min_chars).select(
+        *keys, F.col("body").alias("_found"))
+    listed = F.broadcast(selectors.select("source").distinct().withColumn("_listed", F.lit(True)))
+    marked = items.join(listed, "source", "left")
+    candidate = F.coalesce("_listed", F.lit(False)) & (F.coalesce("body", F.lit("")) == "")
+    filled = marked.filter(candidate).join(found, keys, "left").withColumn(
+        "body", F.coalesce("_found", "body"))
+    return filled.select(*items.columns).unionByName(
+        marked.filter(~candidate).select(*items.columns))
 
 
 def empty_body_rate(fetched: DataFrame, *, alert: float = C.EMPTY_RATE_ALERT) -> DataFrame:

@@ -35,15 +35,18 @@ def stamp(items: DataFrame, *, ttl: timedelta = C.TTL) -> DataFrame:
     )
 
 
-def first_wins(items: DataFrame, *, key: str = "item_id", order=None) -> DataFrame:
-    """One row per key: the first in arrival order.
+def first_wins(
+    items: DataFrame, *, key: str = "item_id", order=None, fields: list[str] | None = None
+) -> DataFrame:
+    """One row per key: the first in arrival order, with ``fields`` or all columns.
 
     An aggregate and not a row_number() window: every task keeps one row per key before
     the shuffle, so a url that fills a third of the batch reaches its reducer as one row
-    per task. ``order`` must be a total order.
+    per task. ``order`` must be a total order. Name the ``fields`` that are needed: Spark
+    does not prune columns inside the aggregated row.
     """
     order = order if order is not None else arrival_order()
-    rest = [c for c in items.columns if c != key]
+    rest = fields or [c for c in items.columns if c != key]
     winner = F.min_by(F.struct(*rest), F.struct(*order))
     return items.groupBy(key).agg(winner.alias("_first")).select(key, "_first.*")
 

@@ -21,15 +21,16 @@ def newest_order() -> list[Column]:
     return [F.coalesce("published_at", "fetched_at"), F.col("fetched_at"), F.col("item_id")]
 
 
-def reader_view(items: DataFrame) -> DataFrame:
+def reader_view(items: DataFrame, *, fields: list[str] | None = None) -> DataFrame:
     """Visible kinds, one row per normalised title: the newest, stored rows untouched.
 
-    A title without letters or digits stands for itself. The aggregate keeps one row per
+    ``fields`` are the columns a reader is shown (all by default); ``copies`` counts the
+    articles behind the row. A title without letters or digits stands for itself. The aggregate keeps one row per
     title and task before the shuffle.
     """
     visible = items.filter(keep_in_feed())
     group = F.coalesce(text.nonempty(text.norm_title("title")), F.col("item_id"))
-    keep = visible.columns
+    keep = fields or visible.columns
     return (
         visible.groupBy(group.alias("_title"))
         .agg(F.max_by(F.struct(*keep), F.struct(*newest_order())).alias("_new"),

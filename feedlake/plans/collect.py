@@ -1,5 +1,6 @@
 """The collect run: landed responses to stored articles, health and verdict."""
 
+import logging
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -9,10 +10,12 @@ from pyspark.sql import functions as F
 from feedlake import constants as C
 from feedlake.functions import clock
 from feedlake.operators import bodies, health, items as ops, mapping, paging
-from feedlake.session import scratch_path
+from feedlake.session import Scratch
 from feedlake.sources import lake, payloads
 from feedlake.sources.registry import sources_meta, usable_searches
 
+log = logging.getLogger("feedlake.collect")
+
 _POLL_COLUMNS = ["family", "feed_id", "ts", "seq", "status", "is_feed", "etag",
                  "last_modified", "error"]
 
@@ -38,17 +41,6 @@ class Registries:
     settings: dict = field(default_factory=dict)
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """Write a result to the shared folder and read it back.
-
-    What is used twice is computed once, and a lost executor costs one stage, not the run.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def feed_pass(scanned: DataFrame, registry: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Articles and poll rows of scanned feed responses."""
     known = scanned.join(F.broadcast(registry.select("feed_id")), "feed_id", "left_semi")
@@ -116,17 +108,19 @@ def firehose_pass(
     return mapping.map_firehose_rows(rows, endpoints, page_size=page_size), polls
 
 
-def run_passes(landed: Landed, registries: Registries) -> tuple[DataFrame, DataFrame]:
+def run_passes(
+    landed: Landed, registries: Registries, stage: Scratch
+) -> tuple[DataFrame, DataFrame]:
     """All landed families as (articles, poll rows); parses are staged, being used twice."""
     passes = []
     if landed.feeds is not None:
-        scanned = staged(payloads.scan_feeds(landed.feeds), "feeds")
+        scanned = stage(payloads.scan_feeds(landed.feeds), "feeds")
         passes.append(feed_pass(scanned, registries.feeds))
     if landed.searches is not None:
-        scanned = staged(payloads.scan_search(landed.searches), "searches")
+        scanned = stage(payloads.scan_search(landed.searches), "searches")
         passes.append(search_pass(scanned, registries.searches))
     if landed.firehose is not None:
-        scanned = staged(payloads.scan_firehose(landed.firehose), "firehose")
+        scanned = stage(payloads.scan_firehose(landed.firehose), "firehose")
         passes.append(firehose_pass(scanned, registries.endpoints, **registries.settings))
     articles = mapping.union_families(*[a for a, _ in passes])
     polls = passes[0][1].select(*_POLL_COLUMNS)
@@ -135,21 +129,24 @@ def run_passes(landed: Landed, registries: Registries) -> tuple[DataFrame, DataF
     return articles, polls
 
 
-def ingest(spark: SparkSession, root: str, landed: Landed, registries: Registries) -> DataFrame:
+def ingest(
+    spark: SparkSession, root: str, landed: Landed, registries: Registries, stage: Scratch
+) -> DataFrame:
     """Store what is new and log every poll; returns the poll rows with their counts.
 
-    Articles are added before the commit that also logs the polls, so a rerun after a
-    failure finds neither or both.
+    Articles, polls and feed state are published by one commit, so a run that dies leaves
+    all of them or none.
     """
     stored = lake.read(spark, root, "items")
-    articles, polls = run_passes(landed, registries)
+    articles, polls = run_passes(landed, registries, stage)
+    articles = stage(articles, "articles")
     if landed.pages is not None and registries.selectors is not None:
-        articles = bodies.enrich_bodies(articles, stored, registries.selectors, landed.pages)
-    articles = staged(articles, "articles")
-    fresh = staged(ops.insert_if_absent(articles, stored), "fresh")
+        articles = stage(bodies.enrich_bodies(
+            articles, stored, registries.selectors, landed.pages), "enriched")
+    fresh = stage(ops.insert_if_absent(articles, stored), "fresh")
     counts = fresh.groupBy("family", "feed_id", F.col("fetched_at").alias("ts")).agg(
         F.count("*").alias("n"))
-    counted = staged(
+    counted = stage(
         polls.join(counts, ["family", "feed_id", "ts"], "left").withColumn(
             "new_count",
             F.when(health.is_ok(), F.coalesce("n", F.lit(0).cast("long")))),
@@ -202,18 +199,21 @@ def collect_run(
     try:
         if registries.feeds is not None:
             lake.replace(spark, root, "meta", sources_meta(registries.feeds))
-        polls = ingest(spark, root, landed, registries)
-        verdicts = health.family_verdicts(
-            spark, health.pass_summary(polls), lake.read(spark, root, "feed_state"), **rules)
-        embed_failed = False
-        if embed is not None:
-            try:
-                embed()
-            except Exception:
-                embed_failed = True
-        piece = health.embed_verdict(
-            lake.read(spark, root, "items"), has_key=embed is not None, failed=embed_failed)
-        line = health.run_verdict(verdicts, piece).head()
+        with Scratch(spark, "collect") as stage:
+            polls = ingest(spark, root, landed, registries, stage)
+            state = lake.read(spark, root, "feed_state")
+            verdicts = stage(health.family_verdicts(
+                spark, health.pass_summary(polls), state, **rules), "verdicts")
+            embed_failed = False
+            if embed is not None:
+                try:
+                    embed()
+                except Exception:
+                    log.exception("embedding pass failed")
+                    embed_failed = True
+            piece = health.embed_verdict(
+                lake.read(spark, root, "items"), has_key=embed is not None, failed=embed_failed)
+            line = health.run_verdict(verdicts, piece).head()
         detail = line["detail"]
         if line["failed"]:
             raise RunFailed(detail)

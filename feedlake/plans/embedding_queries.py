@@ -23,7 +23,7 @@ DIM = 8
 
 def _waiting(spark, sf_dir):
     """Stored documents; stories wait for their vector."""
-    stored = t.stored_docs(spark, sf_dir)
+    stored = t.stored_docs(spark, sf_dir, "body")
     return stored.withColumn("embed_pending", F.when(F.col("kind") == "story", F.lit(True)))
 
 

@@ -11,25 +11,11 @@ from feedlake.operators import mapping
 from feedlake.plans import tables as t
 from feedlake.plans.catalogue import query
 from feedlake.plans.tables import (
-    CORPUS_SIGNALS, DOC_SQL, STORED_SQL, VEC_SQL, load, sql_clean, sql_host, sql_kind,
+    CORPUS_SIGNALS, DOC_SQL, SEARCH_SQL, STORED_SQL, VEC_SQL, load, sql_clean, sql_host,
+    sql_kind, sql_publisher,
 )
 
 
-def _sql_map(key: str) -> str:
-    pairs = ", ".join(f"'{k}': '{v}'" for k, v in C.PUBLISHERS.items())
-    return f"MAP {{{pairs}}}[{key}]"
-
-
-def _sql_publisher(url: str) -> str:
-    host = sql_host(url)
-    short = f"regexp_replace({host}, '^({'|'.join(C.HOST_PREFIXES)})\\.', '')"
-    return (
-        f"CASE WHEN {host} = '' OR contains({host}, '{C.PORTAL_HOST_MARK}') "
-        f"THEN '{C.PORTAL_LABEL}' ELSE coalesce({_sql_map(host)}, {_sql_map(short)}, "
-        f"nullif({short}, ''), '{C.PORTAL_LABEL}') END"
-    )
-
-
 @query("item_id", f"""
 SELECT 'page' AS origin, page_id AS id, sha1(url) AS item_id FROM pages
 UNION ALL
@@ -52,8 +38,8 @@ SELECT item_id, doc_id, source, language, fetched_at FROM doc
 QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY fetched_at, doc_id) = 1""")
 def dedup_first_wins(spark, sf_dir):
     """One row per key, the first in arrival order."""
-    return ops.first_wins(t.doc_items(spark, sf_dir)).select(
-        "item_id", "doc_id", "source", "language", "fetched_at")
+    return ops.first_wins(
+        t.doc_items(spark, sf_dir), fields=["doc_id", "source", "language", "fetched_at"])
 
 
 _LABELLED_SQL = f"""{DOC_SQL}, held AS (
@@ -63,7 +49,8 @@ _LABELLED_SQL = f"""{DOC_SQL}, held AS (
 def _labelled(spark, sf_dir):
     """Stored articles: those documents that were labelled."""
     labels = load(spark, sf_dir, "labels").select("doc_id")
-    return ops.first_wins(t.doc_items(spark, sf_dir).join(labels, "doc_id", "left_semi"))
+    held = t.doc_items(spark, sf_dir).join(labels, "doc_id", "left_semi")
+    return ops.first_wins(held, fields=["doc_id"])
 
 
 @query("insert_if_absent", f"""
@@ -103,7 +90,8 @@ def filter_new_ids(spark, sf_dir):
 @query("item_count", f"WITH {DOC_SQL} SELECT count(DISTINCT item_id) AS n FROM doc")
 def item_count(spark, sf_dir):
     """Number of stored articles."""
-    return ops.first_wins(t.doc_items(spark, sf_dir)).agg(F.count("*").alias("n"))
+    return ops.first_wins(t.doc_items(spark, sf_dir), fields=["doc_id"]).agg(
+        F.count("*").alias("n"))
 
 
 @query("kind_triage", f"""
@@ -129,7 +117,7 @@ def kind_by_label(spark, sf_dir):
 
 
 @query("publisher", f"""
-SELECT page_id, {sql_host("url")} AS host, {_sql_publisher("url")} AS publisher FROM pages""")
+SELECT page_id, {sql_host("url")} AS host, {sql_publisher("url")} AS publisher FROM pages""")
 def publisher_of_pages(spark, sf_dir):
     """Host and publisher label of every page."""
     return load(spark, sf_dir, "pages").select(
@@ -284,15 +272,9 @@ def firehose_mapping(spark, sf_dir):
         "item_id", "feed_id", "source", "url", "title", "body", "symbol", "published_at")
 
 
-_SEARCH_SQL = rf"""search AS (
-  SELECT page_id, url, regexp_extract(html, '<title>([^<]*)</title>', 1) AS raw,
-         'naver:lang-' || regexp_extract(html, '<html lang="(\w+)"', 1) AS feed_id,
-         html, TIMESTAMP '2024-01-01' + to_minutes(page_id) AS fetched_at FROM pages)"""
-
-
 @query("search_mapping", f"""
-WITH {_SEARCH_SQL}
-SELECT sha1(url) AS item_id, feed_id, {_sql_publisher("url")} AS source, 'ko' AS language, url,
+WITH {SEARCH_SQL}
+SELECT sha1(url) AS item_id, feed_id, {sql_publisher("url")} AS source, 'ko' AS language, url,
        {sql_clean("raw || '.'", "")} AS title, {sql_clean("html", "")} AS body,
        fetched_at - INTERVAL 9 HOUR AS published_at FROM search""")
 def search_mapping(spark, sf_dir):
@@ -302,8 +284,8 @@ def search_mapping(spark, sf_dir):
 
 
 @query("new_articles_by_source", f"""
-WITH {_SEARCH_SQL}, a AS (
-  SELECT {_sql_publisher("url")} AS source, {sql_kind(sql_clean("raw || '.'", ""))} AS kind,
+WITH {SEARCH_SQL}, a AS (
+  SELECT {sql_publisher("url")} AS source, {sql_kind(sql_clean("raw || '.'", ""))} AS kind,
          feed_id, url, fetched_at FROM search
   QUALIFY row_number() OVER (PARTITION BY url ORDER BY page_id) = 1)
 SELECT source, kind, feed_id, count(*) AS n, min(fetched_at) AS first_at,
@@ -318,7 +300,7 @@ def new_articles_by_source(spark, sf_dir):
 
 
 @query("union_families", f"""
-WITH {DOC_SQL}, {_SEARCH_SQL}, talk AS (
+WITH {DOC_SQL}, {SEARCH_SQL}, talk AS (
   SELECT sha1(trim(text, '{BLANKS}')) AS item_id, 'talk-' || role AS feed_id,
          TIMESTAMP '2024-01-01' + to_minutes(conv_id) AS fetched_at
   FROM conversations WHERE trim(text, '{BLANKS}') <> '')

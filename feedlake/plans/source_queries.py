@@ -7,8 +7,7 @@ from feedlake.functions import text
 from feedlake.operators import bodies, mapping, paging
 from feedlake.plans import tables as t
 from feedlake.plans.catalogue import query
-from feedlake.plans.item_queries import _SEARCH_SQL, _sql_publisher
-from feedlake.plans.tables import REG_SQL, load, sql_clean
+from feedlake.plans.tables import REG_SQL, SEARCH_SQL, load, sql_clean, sql_publisher
 from feedlake.schemas import FEED_REGISTRY
 from feedlake.sources import payloads, registry
 
@@ -113,8 +112,8 @@ def dropped_entries(spark, sf_dir):
 # --- JSON payloads ---------------------------------------------------------
 
 @query("search_scan", f"""
-WITH {_SEARCH_SQL}
-SELECT sha1(url) AS item_id, feed_id, {_sql_publisher("url")} AS source, url,
+WITH {SEARCH_SQL}
+SELECT sha1(url) AS item_id, feed_id, {sql_publisher("url")} AS source, url,
        {sql_clean("raw || '.'", "")} AS title, fetched_at - INTERVAL 9 HOUR AS published_at
 FROM search""")
 def search_scan(spark, sf_dir):
@@ -291,8 +290,8 @@ def _fetched_sql(per_feed: int) -> str:
     article = sql_clean(r"regexp_extract(html, '(?s)<article>(.*?)(</article>|\z)', 1)", " ")
     ad = sql_clean(r'''regexp_extract(html, '(?s)<div class="ad">(.*?)(</div>|\z)', 1)''', " ")
     table = ", ".join(f"('{a}', '{b}')" for a, b in _SELECTORS)
-    return rf"""{_SEARCH_SQL}, art AS (
-  SELECT *, {_sql_publisher("url")} AS source FROM search
+    return rf"""{SEARCH_SQL}, art AS (
+  SELECT *, {sql_publisher("url")} AS source FROM search
 ), targets AS (
   SELECT a.*, selector FROM art a JOIN (VALUES {table}) v(source, selector) USING (source)
   WHERE page_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)

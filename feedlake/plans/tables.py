@@ -76,13 +76,16 @@ def corpus_kind(title):
     return classify.kind(title, **CORPUS_SIGNALS)
 
 
-def stored_docs(spark, sf_dir) -> DataFrame:
+def stored_docs(spark, sf_dir, *more: str) -> DataFrame:
     """documents as stored articles, one per text; kinds by the corpus vocabulary.
 
+    Bodies are left out unless asked for as one of the ``more`` columns.
+
     ``expire_at`` follows the old 60-day period for sources with an odd number of letters
     in their name, as a store half-way through a retention change would have it.
     """
-    first = first_wins(doc_items(spark, sf_dir))
+    fields = ["doc_id", "source", "title", "fetched_at", *more]
+    first = first_wins(doc_items(spark, sf_dir), fields=fields)
     old = F.length("source") % 2 == 1
     days = F.when(old, 60).otherwise(365)
     return first.withColumn("kind", corpus_kind(F.col("title"))).withColumn(
@@ -158,6 +161,27 @@ def sql_host(url: str) -> str:
     return f"split_part(lower({host}), ':', 1)"
 
 
+def _sql_map(key: str) -> str:
+    pairs = ", ".join(f"'{k}': '{v}'" for k, v in C.PUBLISHERS.items())
+    return f"MAP {{{pairs}}}[{key}]"
+
+
+def sql_publisher(url: str) -> str:
+    host = sql_host(url)
+    short = f"regexp_replace({host}, '^({'|'.join(C.HOST_PREFIXES)})\\.', '')"
+    return (
+        f"CASE WHEN {host} = '' OR contains({host}, '{C.PORTAL_HOST_MARK}') "
+        f"THEN '{C.PORTAL_LABEL}' ELSE coalesce({_sql_map(host)}, {_sql_map(short)}, "
+        f"nullif({short}, ''), '{C.PORTAL_LABEL}') END"
+    )
+
+
+SEARCH_SQL = rf"""search AS (
+  SELECT page_id, url, regexp_extract(html, '<title>([^<]*)</title>', 1) AS raw,
+         'naver:lang-' || regexp_extract(html, '<html lang="(\w+)"', 1) AS feed_id,
+         html, TIMESTAMP '2024-01-01' + to_minutes(page_id) AS fetched_at FROM pages)"""
+
+
 # --- events and orders as poll logs, events as run log ---------------------
 
 def event_polls(spark, sf_dir) -> DataFrame:

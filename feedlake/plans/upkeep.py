@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from feedlake import constants as C
 from feedlake.operators import embedding as emb
 from feedlake.operators import items as ops
-from feedlake.plans.collect import staged
+from feedlake.session import Scratch
 from feedlake.sources import lake
 
 
@@ -29,25 +29,26 @@ def embed_pass(
     fault stops the pass with no table changed. Vectors and flags are published together.
     """
     items = lake.read(spark, root, "items")
-    queue = staged(emb.pending_queue(items, cap=cap), "queue")
-    if queue.isEmpty():
-        return {"pending": 0, "embedded": 0, "permanent": 0, "retryable": 0}
-    outcomes = staged(emb.embed_outcomes(queue, make_embedder, **calls), "outcomes")
-    emb.raise_if_fatal(outcomes)
-    saved = staged(
-        emb.vectors_to_save(emb.vector_entries(outcomes, queue), items, now), "vectors")
-    done = saved.select("item_id").unionByName(
-        outcomes.filter(F.col("outcome") == "permanent").select("item_id"))
-    flags = lake.rewrite(
-        spark, root, "items", _parts_with(spark, root, "items", done),
-        lambda rows: emb.set_pending(rows, done, False))
-    # vectors of an older contract give way; usually there are none and nothing is rewritten
-    replaced = lake.rewrite(
-        spark, root, "item_vectors", _parts_with(spark, root, "item_vectors", saved),
-        lambda rows: rows.join(saved.select("item_id"), "item_id", "left_anti"))
-    added = {"add": {"item_vectors": [lake.write_part(saved, root, "item_vectors")]}}
-    lake.commit_all(spark, root, flags, replaced, added)
-    return emb.pass_stats(outcomes, saved).head().asDict()
+    with Scratch(spark, "embed") as stage:
+        queue = stage(emb.pending_queue(items, cap=cap), "queue")
+        if queue.isEmpty():
+            return {"pending": 0, "embedded": 0, "permanent": 0, "retryable": 0}
+        outcomes = stage(emb.embed_outcomes(queue, make_embedder, **calls), "outcomes")
+        emb.raise_if_fatal(outcomes)
+        saved = stage(
+            emb.vectors_to_save(emb.vector_entries(outcomes, queue), items, now), "vectors")
+        done = saved.select("item_id").unionByName(
+            outcomes.filter(F.col("outcome") == "permanent").select("item_id"))
+        flags = lake.rewrite(
+            spark, root, "items", _parts_with(spark, root, "items", done),
+            lambda rows: emb.set_pending(rows, done, False))
+        # vectors of an older contract give way; usually none are, and nothing is rewritten
+        replaced = lake.rewrite(
+            spark, root, "item_vectors", _parts_with(spark, root, "item_vectors", saved),
+            lambda rows: rows.join(saved.select("item_id"), "item_id", "left_anti"))
+        added = {"add": {"item_vectors": [lake.write_part(saved, root, "item_vectors")]}}
+        lake.commit_all(spark, root, flags, replaced, added)
+        return emb.pass_stats(outcomes, saved).head().asDict()
 
 
 def mark_pending(
@@ -55,11 +56,12 @@ def mark_pending(
 ) -> int:
     """Queue stories without a current vector; returns how many. A second call finds none."""
     items, vectors = lake.read(spark, root, "items"), lake.read(spark, root, "item_vectors")
-    ids = staged(emb.unembedded(items, vectors, now, min_life=min_life), "marks")
-    lake.commit_all(spark, root, lake.rewrite(
-        spark, root, "items", _parts_with(spark, root, "items", ids),
-        lambda rows: emb.set_pending(rows, ids, True)))
-    return ids.count()
+    with Scratch(spark, "mark") as stage:
+        ids = stage(emb.unembedded(items, vectors, now, min_life=min_life), "ids")
+        lake.commit_all(spark, root, lake.rewrite(
+            spark, root, "items", _parts_with(spark, root, "items", ids),
+            lambda rows: emb.set_pending(rows, ids, True)))
+        return ids.count()
 
 
 def drain(
@@ -93,15 +95,16 @@ def recompute_retention(
     stats = ops.retention_stats(items, vectors, ttl=ttl).head().asDict()
     if dry_run or not stats["items_updated"]:
         return stats
-    targets = staged(ops.retention_targets(items, ttl=ttl), "retention")
+    with Scratch(spark, "retention") as stage:
+        targets = stage(ops.retention_targets(items, ttl=ttl), "targets")
 
-    def new_expiry(rows: DataFrame) -> DataFrame:
-        return rows.join(targets, "item_id", "left").withColumn(
-            "expire_at", F.coalesce("new_expire", "expire_at")).drop("new_expire")
+        def new_expiry(rows: DataFrame) -> DataFrame:
+            return rows.join(targets, "item_id", "left").withColumn(
+                "expire_at", F.coalesce("new_expire", "expire_at")).drop("new_expire")
 
-    lake.commit_all(spark, root, *[
-        lake.rewrite(spark, root, table, _parts_with(spark, root, table, targets), new_expiry)
-        for table in ("items", "item_vectors")])
+        lake.commit_all(spark, root, *[
+            lake.rewrite(spark, root, table, _parts_with(spark, root, table, targets), new_expiry)
+            for table in ("items", "item_vectors")])
     return stats
 
 
@@ -114,3 +117,12 @@ def purge(spark: SparkSession, root: str, now: datetime) -> None:
         changes.append(lake.rewrite(
             spark, root, table, expired, lambda part: ops.purge_expired(part, now)))
     lake.commit_all(spark, root, *changes)
+
+
+def compact(spark: SparkSession, root: str, table: str, parts: list[str] | None = None) -> None:
+    """Join parts (all by default, or a month's worth of runs) into one; rows stay the same."""
+    parts = parts or lake.active_parts(spark, root, table)
+    if len(parts) > 1:
+        merged = lake.read_parts(spark, root, table, parts)
+        lake.commit(spark, root, add={table: [lake.write_part(merged, root, table)]},
+                    drop={table: parts})

@@ -7,9 +7,8 @@ from feedlake.functions.publisher import publisher
 from feedlake.operators import health, views
 from feedlake.plans import tables as t
 from feedlake.plans.catalogue import query
-from feedlake.plans.item_queries import _sql_publisher
 from feedlake.plans.tables import (
-    CORPUS_SIGNALS, DOC_SQL, ORDER_POLL_SQL, RUN_SQL, STORED_SQL, load, sql_kind,
+    CORPUS_SIGNALS, DOC_SQL, ORDER_POLL_SQL, RUN_SQL, STORED_SQL, load, sql_kind, sql_publisher,
 )
 
 _AT = f"TIMESTAMP '{t.NOW}'"
@@ -43,7 +42,7 @@ SELECT doc_id, title, count(*) OVER (PARTITION BY norm) AS copies FROM visible
 QUALIFY row_number() OVER (PARTITION BY norm ORDER BY fetched_at DESC, item_id DESC) = 1""")
 def reader_view(spark, sf_dir):
     """The newest visible document of every normalised title."""
-    return views.reader_view(_doc_with_kind(spark, sf_dir)).select("doc_id", "title", "copies")
+    return views.reader_view(_doc_with_kind(spark, sf_dir), fields=["doc_id", "title"])
 
 
 @query("latest_per_source", f"""
@@ -83,7 +82,7 @@ def source_volume(spark, sf_dir):
 
 
 @query("publisher_volume",
-       f"SELECT {_sql_publisher('url')} AS source, count(*) AS n FROM pages GROUP BY 1")
+       f"SELECT {sql_publisher('url')} AS source, count(*) AS n FROM pages GROUP BY 1")
 def publisher_volume(spark, sf_dir):
     """Pages per publisher."""
     pages = load(spark, sf_dir, "pages").select(publisher(F.col("url")).alias("source"))

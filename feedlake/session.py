@@ -2,7 +2,7 @@
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -38,3 +38,29 @@ def shared_dir(spark: SparkSession, default: str | None = None) -> str:
 def scratch_path(spark: SparkSession, label: str, default: str | None = None) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark, default)}/feedlake-{label}-{uuid.uuid4().hex}"
+
+
+class Scratch:
+    """Intermediate results of one job, as parquet in the shared folder.
+
+    What is used twice is computed once, and a lost executor costs one stage and not the
+    whole lineage. Parquet rather than checkpoint(), as it keeps column pruning. The
+    job's own folder goes away when the job is over.
+    """
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark = spark
+        self.path = scratch_path(spark, label)
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        """Write a result and read it back."""
+        path = f"{self.path}/{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_):
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -63,9 +63,16 @@ def read(spark: SparkSession, root: str, table: str) -> DataFrame:
 
 
 def write_part(df: DataFrame, root: str, table: str) -> str:
-    """Write rows as a new part; it stays invisible until committed."""
+    """Write rows as a new part; it stays invisible until committed.
+
+    Articles lie sorted by source and time within a file, so that reader queries for one
+    source skip row groups.
+    """
     part = f"part-{uuid.uuid4().hex}"
-    df.select([f.name for f in TABLES[table]]).write.parquet(f"{root}/{table}/{part}")
+    rows = df.select([f.name for f in TABLES[table]])
+    if table == "items":
+        rows = rows.sortWithinPartitions("source", "fetched_at")
+    rows.write.parquet(f"{root}/{table}/{part}")
     return part
 
 

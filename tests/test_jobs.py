@@ -14,6 +14,7 @@ from feedlake.operators import embedding as emb
 from feedlake.operators import items as ops
 from feedlake.operators.embedding import PermanentEmbedError
 from feedlake.plans import collect, upkeep
+from feedlake.session import Scratch
 from feedlake.sources import lake
 
 
@@ -49,6 +50,16 @@ def landed(spark):
     return make
 
 
+@pytest.fixture
+def ingest(spark, root, registries):
+    """Ingest a run and return what was logged for it."""
+    def run(landed):
+        with Scratch(spark, "test") as stage:
+            return outcomes(collect.ingest(spark, root, landed, registries, stage))
+
+    return run
+
+
 def row(n):
     return {"title": f"stock {n}", "url": f"https://e/{n}", "publishedDate": "2026-06-12 01:00:00"}
 
@@ -58,7 +69,7 @@ def outcomes(polls):
             for r in polls.collect()}
 
 
-def test_two_collect_runs(spark, root, registries, landed):
+def test_two_collect_runs(spark, root, ingest, landed):
     first = landed(
         NOW,
         feeds=[("f0", 200, "e0", rss("a", "b", "a")), ("f1", 304, None, None),
@@ -69,7 +80,7 @@ def test_two_collect_runs(spark, root, registries, landed):
                   ("stock-latest", 1, 200, [row(3), row("a")]),
                   ("stock-latest", 2, 200, [row("beyond the cap")]),
                   ("fmp-articles", 0, 200, [{"title": "m", "link": "https://e/m"}] * 2)])
-    got = outcomes(collect.ingest(spark, root, first, registries))
+    got = ingest(first)
     assert got == {
         "f0": (200, True, 2, None), "f1": (304, False, 0, None), "f2": (200, False, None, None),
         "naver:q1": (200, True, 1, None), "fmp:fmp-articles": (200, True, 1, None),
@@ -90,7 +101,7 @@ def test_two_collect_runs(spark, root, registries, landed):
         searches=[("q1", 200, {"items": None})],
         firehose=[("stock-latest", 0, 200, [row(1), row(9)]), ("stock-latest", 1, 500, None),
                   ("fmp-articles", 0, 200, [])])
-    got = outcomes(collect.ingest(spark, root, second, registries))
+    got = ingest(second)
     assert got == {
         "f0": (500, False, None, None), "f2": (200, True, 1, None),
         "naver:q1": (200, True, 0, None), "fmp:fmp-articles": (200, True, 0, None),
@@ -104,11 +115,11 @@ def test_two_collect_runs(spark, root, registries, landed):
     assert lake.read(spark, root, "poll_log").count() == 11
 
 
-def test_blackout_leaves_no_trace(spark, root, registries, landed):
+def test_blackout_leaves_no_trace(spark, root, ingest, landed):
     night = NOW.replace(hour=23)  # eight in the morning in Seoul
     run = landed(night, feeds=[("f0", 200, None, rss("a"))],
                  firehose=[("stock-latest", 0, 200, [row(1)])])
-    assert set(outcomes(collect.ingest(spark, root, run, registries))) == {"f0"}
+    assert set(ingest(run)) == {"f0"}
     assert lake.read(spark, root, "feed_state").count() == 1
 
 
@@ -163,10 +174,8 @@ def flags(spark, root):
 
 def test_embed_pass(spark, root, items):
     store(spark, root, items, "alpha", "beta", "gamma")
-    untouched = lake.active_parts(spark, root, "items")[:0] + [
-        r["_part"] for r in lake.read_parts(
-            spark, root, "items", lake.active_parts(spark, root, "items"))
-        .filter("item_id = 'beta'").collect()]
+    stored = lake.read_parts(spark, root, "items", lake.active_parts(spark, root, "items"))
+    untouched = [r["_part"] for r in stored.filter("item_id = 'beta'").collect()]
     stats = upkeep.embed_pass(spark, root, Scripted, NOW, **CALLS)
     assert stats == {"pending": 3, "embedded": 1, "permanent": 1, "retryable": 1}
     assert flags(spark, root) == {"alpha": None, "beta": True, "gamma": None}
@@ -234,3 +243,22 @@ def test_uncommitted_parts_are_invisible(spark, root, items):
     store(spark, root, items, "a")
     lake.write_part(ops.as_item(ops.stamp(items({"item_id": "lost"}))), root, "items")
     assert set(flags(spark, root)) == {"a"}
+
+
+def test_compact(spark, root, items):
+    store(spark, root, items, "a", "b", "c")
+    upkeep.compact(spark, root, "items")
+    assert len(lake.active_parts(spark, root, "items")) == 1
+    assert set(flags(spark, root)) == {"a", "b", "c"}
+
+
+def test_bodies_are_filled_before_the_insert(spark, root, registries, landed):
+    page = "<article>" + "long enough text " * 10 + "</article>"
+    run = landed(NOW, feeds=[("f0", 200, None, rss("a", "b")), ("f1", 200, None, rss("c"))])
+    run.pages = spark.createDataFrame(
+        [(f"https://e/{x}", NOW, 200, page) for x in "ac"], schemas.PAGE_PAYLOAD)
+    registries.selectors = spark.createDataFrame([("S0", "article")], "source string, selector string")
+    with Scratch(spark, "test") as stage:
+        collect.ingest(spark, root, run, registries, stage)
+    got = {r["url"]: len(r["body"]) > 80 for r in lake.read(spark, root, "items").collect()}
+    assert got == {"https://e/a": True, "https://e/b": False, "https://e/c": False}
