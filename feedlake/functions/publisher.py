@@ -4,7 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from feedlake import constants as C
-from feedlake.functions.text import literal_map, nonempty, or_empty
+from feedlake.functions.text import let, literal_map, nonempty, or_empty
 
 
 def host_of(url) -> Column:
@@ -27,13 +27,17 @@ def publisher(
     lookup is a projection and not a join.
     """
     labels = literal_map(table)
-    host = host_of(url)
-    short = F.regexp_replace(host, rf"^(?:{'|'.join(prefixes)})\.", "")
-    return F.when((host == "") | host.contains(portal_mark), portal_label).otherwise(
-        F.coalesce(
-            F.try_element_at(labels, host),
-            F.try_element_at(labels, short),
-            nonempty(short),
-            F.lit(portal_label),
+    prefix = rf"^(?:{'|'.join(prefixes)})\."
+
+    def label(host: Column) -> Column:
+        short = F.regexp_replace(host, prefix, "")
+        return F.when((host == "") | host.contains(portal_mark), portal_label).otherwise(
+            F.coalesce(
+                F.try_element_at(labels, host),
+                F.try_element_at(labels, short),
+                nonempty(short),
+                F.lit(portal_label),
+            )
         )
-    )
+
+    return let(host_of(url), label)

@@ -84,6 +84,28 @@ def insert_if_absent(
     return stamp(fresh, ttl=ttl)
 
 
+def insert_rescanned(
+    batch: DataFrame, stored: DataFrame, *, ttl: timedelta = C.TTL, key: str = "item_id"
+) -> DataFrame:
+    """insert_if_absent for a stored batch that is mostly known already, as every rescan is.
+
+    The choice is made on the key and the arrival columns alone. Wide rows are only read
+    for the few that win, mostly against a broadcast of those, and a wide shuffle never
+    sees a known article. For a first load, where most rows are new, ``insert_if_absent``
+    moves the rows once and is the better one.
+    """
+    ranked = batch.withColumn("_rank", family_rank())
+    order = ["fetched_at", "_rank", "feed_pos", "row_pos"]
+    winners = ranked.groupBy(key).agg(F.min(F.struct(*order)).alias("_at"))
+    new = winners.join(known_ids(batch, stored, key=key), key, "left_anti").select(
+        F.col(key).alias("_key"), *[F.col(f"_at.{c}").alias(f"_new_{c}") for c in order])
+    same = F.col(key) == F.col("_key")
+    for c in order:
+        same = same & F.col(c).eqNullSafe(F.col(f"_new_{c}"))
+    chosen = ranked.join(new, same, "left_semi").drop("_rank")
+    return stamp(first_wins(chosen, key=key), ttl=ttl)
+
+
 def as_item(df: DataFrame) -> DataFrame:
     """Only the stored columns, in contract order."""
     return df.select(*ITEM_COLUMNS)

@@ -143,7 +143,7 @@ def ingest(
     if landed.pages is not None and registries.selectors is not None:
         articles = stage(bodies.enrich_bodies(
             articles, stored, registries.selectors, landed.pages), "enriched")
-    fresh = stage(ops.insert_if_absent(articles, stored), "fresh")
+    fresh = stage(ops.insert_rescanned(articles, stored), "fresh")
     counts = fresh.groupBy("family", "feed_id", F.col("fetched_at").alias("ts")).agg(
         F.count("*").alias("n"))
     counted = stage(

@@ -126,7 +126,7 @@ SELECT item_id FROM stored s WHERE kind = 'story' AND expire_at - {_NOW} >= INTE
 def mark_pending(spark, sf_dir):
     """Stories to embed again: no vector of the current contract, long enough to live."""
     items = t.stored_docs(spark, sf_dir).withColumn("embed_pending", F.lit(None).cast("boolean"))
-    vectors = t.one_vector_per_item(t.doc_vectors(spark, sf_dir))
+    vectors = t.one_vector_per_item(t.doc_vectors(spark, sf_dir), "embed_model", "embed_task_type")
     return ops.unembedded(items, vectors, t.now(), min_life=timedelta(days=30))
 
 
@@ -136,7 +136,7 @@ SELECT item_id, coalesce(embed_model = 'gemini-embedding-001', false)
    AND coalesce(embed_task_type = 'RETRIEVAL_DOCUMENT', false) AS is_current FROM vec""")
 def current_contract(spark, sf_dir):
     """Which vectors belong to the current model and task type."""
-    vectors = t.one_vector_per_item(t.doc_vectors(spark, sf_dir))
+    vectors = t.one_vector_per_item(t.doc_vectors(spark, sf_dir), "embed_model", "embed_task_type")
     return vectors.select("item_id", ops.is_current_contract().alias("is_current"))
 
 
@@ -221,5 +221,5 @@ SELECT min(embedded_at) AS oldest, min(embedded_at) >= TIMESTAMP '2024-01-01 00:
   AS complete FROM vec""")
 def reembed_complete(spark, sf_dir):
     """Whether every vector is younger than the start of a job."""
-    vectors = t.one_vector_per_item(t.doc_vectors(spark, sf_dir))
+    vectors = t.one_vector_per_item(t.doc_vectors(spark, sf_dir), "embedded_at")
     return ops.reembedding_complete(vectors, F.lit("2024-01-01 00:30:00").cast("timestamp"))

@@ -67,6 +67,17 @@ def insert_if_absent(spark, sf_dir):
                         "fetched_at", "kind", "expire_at", "embed_pending")
 
 
+@query("insert_rescanned", f"""
+WITH {_LABELLED_SQL}
+SELECT item_id, doc_id, source, title, body, {sql_kind("title")} AS kind
+FROM doc WHERE item_id NOT IN (SELECT item_id FROM held)
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY doc_id) = 1""")
+def insert_rescanned(spark, sf_dir):
+    """The same insert in the form for batches that are mostly known."""
+    fresh = ops.insert_rescanned(t.doc_items(spark, sf_dir), _labelled(spark, sf_dir))
+    return fresh.select("item_id", "doc_id", "source", "title", "body", "kind")
+
+
 @query("insert_counts", f"""
 WITH {_LABELLED_SQL}, fresh AS (
   SELECT * FROM doc WHERE item_id NOT IN (SELECT item_id FROM held)
@@ -343,7 +354,7 @@ def purge_expired(spark, sf_dir):
 
 
 def _vectors(spark, sf_dir):
-    return t.one_vector_per_item(t.doc_vectors(spark, sf_dir))
+    return t.one_vector_per_item(t.doc_vectors(spark, sf_dir), "expire_at")
 
 
 @query("ttl_recompute_items", f"""

@@ -341,9 +341,9 @@ def doc_vectors(spark, sf_dir) -> DataFrame:
     )
 
 
-def one_vector_per_item(vectors: DataFrame) -> DataFrame:
+def one_vector_per_item(vectors: DataFrame, *fields: str) -> DataFrame:
     """The vector table has one row per article: the one of the lowest number."""
-    rest = [c for c in vectors.columns if c not in ("item_id", "vec_id")]
+    rest = fields or [c for c in vectors.columns if c not in ("item_id", "vec_id")]
     return vectors.groupBy("item_id").agg(
         F.min_by(F.struct(*rest), "vec_id").alias("_v")).select("item_id", "_v.*")
 

@@ -69,6 +69,9 @@ def test_hot_key_holding_a_third_of_the_rows(items):
     kept = [r["item_id"] for r in rows if r["item_id"] not in held]
     assert ids(ops.new_rows(batch, stored)) == sorted(kept)
     assert ids(ops.insert_if_absent(batch, stored)) == sorted(set(kept))
+    for insert in (ops.insert_if_absent, ops.insert_rescanned):
+        fresh = {r["item_id"]: r["title"] for r in insert(batch, stored).collect()}
+        assert fresh == {k: title for k, (_, title) in want.items() if k not in held}
 
 
 def plan_of(df):
@@ -89,6 +92,21 @@ def test_insert_reads_only_the_keys_of_the_store(spark, items, tmp_path):
     assert scan and all("ReadSchema: struct<item_id:string>" in line for line in scan)
 
 
+def test_rescan_with_equal_positions_and_missing_ones(items):
+    batch = items({"item_id": "a", "row_pos": 0}, {"item_id": "a", "row_pos": 0},
+                  {"item_id": "b", "row_pos": None, "feed_pos": None}, {"item_id": "c"})
+    assert ids(ops.insert_rescanned(batch, items({"item_id": "c"}))) == ["a", "b"]
+
+
+def test_rescan_chooses_on_narrow_rows(spark, items, tmp_path):
+    path = str(tmp_path / "batch")
+    items({"item_id": "a"}).write.parquet(path)
+    batch = spark.read.parquet(path)
+    scans = [line for line in plan_of(ops.insert_rescanned(batch, items())).splitlines()
+             if "FileScan" in line]
+    assert len(scans) == 3 and sum("title#" in line for line in scans) == 1
+
+
 def test_purge(items):
     rows = ops.stamp(items({"item_id": "old", "fetched_at": NOW - TTL}, {"item_id": "new"}))
     rows = rows.unionByName(
