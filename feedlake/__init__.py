@@ -1,0 +1 @@
+"""News-feed tables on Spark: collect, de-duplicate, classify, embed, retain, report."""

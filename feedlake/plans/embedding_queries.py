@@ -53,7 +53,7 @@ def _outcomes(spark, sf_dir, cap=None):
     return queue, ops.embed_outcomes(queue, HashEmbedder, dim=DIM)
 
 
-_OUTCOME_SQL = f"""{_WAITING_SQL}, outcomes AS (
+OUTCOME_SQL = f"""{_WAITING_SQL}, outcomes AS (
   SELECT item_id, expire_at, sha1(input) AS digest,
          CASE WHEN input = '' OR sha1(input)[1] = '0' THEN 'permanent'
               WHEN sha1(input)[1] = '1' THEN 'retryable' ELSE 'ok' END AS outcome,
@@ -80,14 +80,14 @@ def embed_input(spark, sf_dir):
         "doc_id", text.embed_text("title", "body").alias("input"))
 
 
-@query("embed_outcomes", f"WITH {_OUTCOME_SQL} SELECT item_id, outcome, reason FROM outcomes")
+@query("embed_outcomes", f"WITH {OUTCOME_SQL} SELECT item_id, outcome, reason FROM outcomes")
 def embed_outcomes(spark, sf_dir):
     """Outcome and reason of a call per waiting story."""
     return _outcomes(spark, sf_dir)[1].select("item_id", "outcome", "reason")
 
 
 @query("embed_vectors", f"""
-WITH {_OUTCOME_SQL}
+WITH {OUTCOME_SQL}
 SELECT item_id, 8 AS dim, expire_at,
        CAST(CAST('0x' || substr(digest, 1, 2) AS INTEGER) / 256.0 AS DOUBLE) AS first_value,
        CAST(CAST('0x' || substr(digest, 15, 2) AS INTEGER) / 256.0 AS DOUBLE) AS last_value
@@ -102,7 +102,7 @@ def embed_vectors(spark, sf_dir):
 
 
 @query("embed_pass_stats", f"""
-WITH {_OUTCOME_SQL}
+WITH {OUTCOME_SQL}
 SELECT count(*) AS pending, count(*) FILTER (WHERE outcome = 'ok') AS embedded,
        count(*) FILTER (WHERE outcome = 'permanent') AS permanent,
        count(*) FILTER (WHERE outcome = 'retryable') AS retryable FROM outcomes""")
@@ -180,7 +180,7 @@ def upsert_vectors(spark, sf_dir):
 
 
 @query("clear_pending", f"""
-WITH {_OUTCOME_SQL}
+WITH {OUTCOME_SQL}
 SELECT s.item_id, CASE WHEN s.kind = 'story' AND o.outcome <> 'permanent' THEN true END
   AS embed_pending FROM stored s LEFT JOIN outcomes o USING (item_id)""")
 def clear_pending(spark, sf_dir):

@@ -20,7 +20,7 @@ def _xml(c):
     return c
 
 
-def _feed_payloads(spark, sf_dir):
+def feed_payloads(spark, sf_dir):
     """Every document as one landed response: RSS, Atom, RDF or a block page, by language."""
     doc = load(spark, sf_dir, "documents")
     ident = F.col("doc_id").cast("string")
@@ -58,7 +58,7 @@ def _feed_payloads(spark, sf_dir):
     )
 
 
-def _feed_registry(spark):
+def feed_registry(spark):
     """Configuration: three feeds with different body modes and clocks."""
     rows = [("feed-en", "", "English", "us", "en", "full", None, "wire", 0),
             ("feed-fr", "", "French", "", "fr", "headline", None, "primary", 1),
@@ -85,8 +85,8 @@ FROM (SELECT 'feed-' || lang AS feed_id, CASE lang WHEN 'en' THEN 'https://e/' |
       FROM documents WHERE lang IN ('en', 'fr', 'es'))""")
 def rss_scan(spark, sf_dir):
     """RSS, Atom and RDF payloads parsed and mapped; the identity-less entry is dropped."""
-    scanned = payloads.scan_feeds(_feed_payloads(spark, sf_dir))
-    items = mapping.map_feed_rows(payloads.feed_rows(scanned), _feed_registry(spark))
+    scanned = payloads.scan_feeds(feed_payloads(spark, sf_dir))
+    items = mapping.map_feed_rows(payloads.feed_rows(scanned), feed_registry(spark))
     return items.select("feed_id", "url", "title", "body", "source", "asset_hint",
                         "published_at", "fetched_at", "item_id")
 
@@ -96,7 +96,7 @@ SELECT doc_id AS seq, lang <> 'de' AS is_feed, CASE lang WHEN 'en' THEN 2 WHEN '
   ELSE 1 END AS entries FROM documents""")
 def notafeed_guard(spark, sf_dir):
     """Which responses were feeds, and how many entries they had."""
-    return payloads.scan_feeds(_feed_payloads(spark, sf_dir)).select(
+    return payloads.scan_feeds(feed_payloads(spark, sf_dir)).select(
         "seq", "is_feed", F.size("entries").alias("entries"))
 
 
@@ -105,7 +105,7 @@ SELECT 'feed-en' AS feed_id, count(*) AS dropped FROM documents WHERE lang = 'en
 HAVING count(*) > 0""")
 def dropped_entries(spark, sf_dir):
     """Entries without link, guid and title, per feed."""
-    scanned = payloads.scan_feeds(_feed_payloads(spark, sf_dir))
+    scanned = payloads.scan_feeds(feed_payloads(spark, sf_dir))
     return mapping.feed_rows_without_basis(payloads.feed_rows(scanned))
 
 
