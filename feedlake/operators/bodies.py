@@ -7,6 +7,7 @@ from pyspark.sql import Window
 from feedlake import constants as C
 from feedlake.functions.selector import page_text
 from feedlake.operators.items import new_rows
+from feedlake.operators.spread import if_small
 
 
 def body_targets(
@@ -19,7 +20,7 @@ def body_targets(
     with a third of the articles sends k rows per task. ``selectors`` is configuration.
     """
     candidates = items.filter(F.coalesce("body", F.lit("")) == "").join(
-        F.broadcast(selectors), "source"
+        if_small(selectors), "source"
     )
     new = new_rows(candidates, stored)
     w = Window.partitionBy("feed_id").orderBy("fetched_at", "feed_pos", "row_pos", "item_id")
@@ -58,7 +59,7 @@ def enrich_bodies(
     keys = ["item_id", "feed_id", "fetched_at", "row_pos"]
     found = fetch_bodies(targets, pages, min_chars=min_chars).select(
         *keys, F.col("body").alias("_found"))
-    listed = F.broadcast(selectors.select("source").distinct().withColumn("_listed", F.lit(True)))
+    listed = if_small(selectors.select("source").distinct().withColumn("_listed", F.lit(True)))
     marked = items.join(listed, "source", "left")
     candidate = F.coalesce("_listed", F.lit(False)) & (F.coalesce("body", F.lit("")) == "")
     filled = marked.filter(candidate).join(found, keys, "left").withColumn(

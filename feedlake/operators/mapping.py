@@ -1,7 +1,7 @@
 """Source rows to the one article shape. Pure projections; no shuffle.
 
-The registry side of each join is a hand-written configuration (a few hundred
-rows, checked by its loader), hence the broadcast.
+The registry side of each join is a hand-written configuration of a few hundred rows;
+it is broadcast once its size is checked.
 """
 
 from pyspark.sql import DataFrame
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from feedlake import constants as C
 from feedlake.functions import clock, text
 from feedlake.functions.publisher import publisher
+from feedlake.operators.spread import if_small
 
 COLUMNS = [
     "item_id", "feed_id", "source", "asset_hint", "language", "url", "title", "body", "symbol",
@@ -33,7 +34,7 @@ def map_feed_rows(rows: DataFrame, registry: DataFrame) -> DataFrame:
     Key basis is link, else guid, else title; the url stays empty without a link. A row
     with no basis is dropped (``feed_rows_without_basis`` counts them).
     """
-    joined = rows.join(F.broadcast(registry.drop("url")), "feed_id")
+    joined = rows.join(if_small(registry.drop("url")), "feed_id")
     return (
         joined.withColumn("_basis", text.key_basis("link", "guid", "title"))
         .filter(F.col("_basis").isNotNull())
@@ -67,7 +68,7 @@ def map_search_rows(rows: DataFrame, searches: DataFrame | None = None) -> DataF
     already need no registry.
     """
     if searches is not None:
-        rows = rows.join(F.broadcast(searches), "q")
+        rows = rows.join(if_small(searches), "q")
     url = F.coalesce(text.nonempty("originallink"), F.col("link"))
     return (
         rows.withColumn("url", text.strip(url))
@@ -96,7 +97,7 @@ def map_firehose_rows(
 ) -> DataFrame:
     """Firehose rows to articles; the article endpoint names its fields differently."""
     if endpoints is not None:
-        rows = rows.join(F.broadcast(endpoints), "endpoint")
+        rows = rows.join(if_small(endpoints), "endpoint")
     article = F.col("endpoint") == article_endpoint
 
     def pick(of_article: str, of_rest: str):

@@ -9,6 +9,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SLICES = 32
+# Rows up to which a configuration table (registry, selectors) is sent to every task.
+SMALL_ROWS = 100_000
+
+
+def if_small(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint when counting shows it is small, else without.
+
+    Counting stops just past the limit. Beyond it the join is a plain shuffle join, whose
+    skewed partitions adaptive execution splits.
+    """
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
 def with_slice(rows: DataFrame, *by: str, slices: int = SLICES) -> DataFrame:

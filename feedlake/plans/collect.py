@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from feedlake import constants as C
 from feedlake.functions import clock
 from feedlake.operators import bodies, health, items as ops, mapping, paging
+from feedlake.operators.spread import if_small
 from feedlake.session import Scratch
 from feedlake.sources import lake, payloads
 from feedlake.sources.registry import sources_meta, usable_searches
@@ -43,7 +44,7 @@ class Registries:
 
 def feed_pass(scanned: DataFrame, registry: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Articles and poll rows of scanned feed responses."""
-    known = scanned.join(F.broadcast(registry.select("feed_id")), "feed_id", "left_semi")
+    known = scanned.join(if_small(registry.select("feed_id")), "feed_id", "left_semi")
     polls = known.select(
         F.lit(C.RSS).alias("family"), "feed_id", F.col("fetched_at").alias("ts"), "seq",
         "status", "is_feed", "etag", "last_modified", F.lit(None).cast("string").alias("error"),
@@ -54,7 +55,7 @@ def feed_pass(scanned: DataFrame, registry: DataFrame) -> tuple[DataFrame, DataF
 def search_pass(scanned: DataFrame, searches: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Articles and poll rows of scanned search responses; blank queries do not count."""
     usable = usable_searches(searches)
-    known = scanned.join(F.broadcast(usable.select("q")), "q", "left_semi")
+    known = scanned.join(if_small(usable.select("q")), "q", "left_semi")
     none = F.lit(None).cast("string")
     polls = known.select(
         F.lit(C.SEARCH).alias("family"), F.concat(F.lit(C.SEARCH_PREFIX), "q").alias("feed_id"),
@@ -73,7 +74,7 @@ def firehose_pass(
     Pages count up to the first short one or the cap. A bad page in that range fails the
     whole request and none of its rows are used. Requests in the blackout never happened.
     """
-    known = scanned.join(F.broadcast(endpoints.select("endpoint")), "endpoint", "left_semi")
+    known = scanned.join(if_small(endpoints.select("endpoint")), "endpoint", "left_semi")
     known = known.filter(~clock.in_blackout("fetched_at", blackout_start_hour, blackout_end_hour))
     request = ["endpoint", "fetched_at"]
     bad = (F.col("status") != 200) | ~F.col("is_feed")

@@ -227,3 +227,13 @@ def test_other_registries(spark, tmp_path):
     endpoints, settings = registry.load_firehose(spark, path)
     assert endpoints.count() == 2
     assert settings == {"lookback_days": 3, "blackout_start_hour": 7, "blackout_end_hour": None}
+
+
+def test_only_small_sides_are_broadcast(spark):
+    from feedlake.operators.spread import if_small
+
+    def hinted(limit):
+        joined = spark.range(10).join(if_small(spark.range(5), limit), "id")
+        return "ResolvedHint" in joined._jdf.queryExecution().analyzed().toString()
+
+    assert hinted(5) and not hinted(4)
