@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from feedlake.llm import bpe
+from feedlake.llm import bpe, mixing
 from feedlake.llm.frames import table
 from feedlake.plans.catalogue import query
 
@@ -19,3 +19,15 @@ def op1_byte_bpe(spark, sf_dir):
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op7_mix_to_weights", f"""
+WITH {mixing.PLAN_SQL}
+SELECT doc_id, size, source_size, target,
+  (floor(rate) + (chance < rate - floor(rate))::INT)::BIGINT * size AS taken
+FROM sized JOIN mixed ON sized.source IS NOT DISTINCT FROM mixed.source""")
+def op7_mix_to_weights(spark, sf_dir):
+    """How many words of each document the mix takes."""
+    plan = mixing.plan(table(spark, sf_dir, "documents"))
+    return plan.select("doc_id", "size", "source_size", "target",
+                       (F.col("copies") * F.col("size")).alias("taken"))
