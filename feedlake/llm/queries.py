@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from feedlake.llm import bpe, mixing
+from feedlake.llm import bpe, mixing, simhash
 from feedlake.llm.frames import table
 from feedlake.plans.catalogue import query
 
@@ -31,3 +31,10 @@ def op7_mix_to_weights(spark, sf_dir):
     plan = mixing.plan(table(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target",
                        (F.col("copies") * F.col("size")).alias("taken"))
+
+
+@query("op8_simhash_classes")
+def op8_simhash_classes(spark, sf_dir):
+    """Every document with its fingerprint and the class of near-copies it belongs to."""
+    found = simhash.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", simhash.as_hex("fingerprint").alias("fingerprint"), "component_id")
