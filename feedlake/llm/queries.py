@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from feedlake.llm import bpe, mixing, simhash
+from feedlake.llm import bpe, digest, mixing, simhash
 from feedlake.llm.frames import table
 from feedlake.plans.catalogue import query
 
@@ -38,3 +38,9 @@ def op8_simhash_classes(spark, sf_dir):
     """Every document with its fingerprint and the class of near-copies it belongs to."""
     found = simhash.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", simhash.as_hex("fingerprint").alias("fingerprint"), "component_id")
+
+
+@query("op5_similarity_digest")
+def op5_similarity_digest(spark, sf_dir):
+    """Digest of every text, and how like it are its edited text and the next document."""
+    return digest.compare_with_edits(table(spark, sf_dir, "documents"))
