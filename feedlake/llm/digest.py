@@ -256,10 +256,10 @@ def beside_next(docs: DataFrame) -> DataFrame:
                            F.lit(1).alias("guest"))
     return (own.select(columns).union(guests.select(columns)).repartition("range")
             .sortWithinPartitions("range", "guest", F.col("key").desc(), F.coalesce("text", F.lit("")))
-            .select("doc_id", "text", "range", "guest"))
+            .select(F.col("doc_id").cast("string"), "text", "range", "guest"))
 
 
-COMPARED = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
+COMPARED = ("doc_id string, n_chars long, edited_sha256 string, fingerprint string, "
             "edited_fingerprint string, near_edited double, near_next double")
 
 
@@ -284,7 +284,7 @@ def compare_with_edits(docs: DataFrame) -> DataFrame:
                 edits.append(a[1][:len(a[1]) - half] + b[1][:half])
             prints = digest.of(edits)
             yield pd.DataFrame({
-                "doc_id": pd.array([a[0] for a, _ in pairs], "Int64"),
+                "doc_id": [a[0] for a, _ in pairs],
                 "n_chars": [len(a[1]) for a, _ in pairs],
                 "edited_sha256": [hashlib.sha256(e.encode()).hexdigest() for e in edits],
                 "fingerprint": [a[4] for a, _ in pairs],
@@ -293,4 +293,6 @@ def compare_with_edits(docs: DataFrame) -> DataFrame:
                 "near_next": [likeness(a[4], b[4]) for a, b in pairs],
             })
 
-    return beside_next(docs).mapInPandas(compare, COMPARED)
+    # as strings, for pandas has no nulls among its integers
+    return beside_next(docs).mapInPandas(compare, COMPARED).withColumn(
+        "doc_id", F.col("doc_id").cast("long"))

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from feedlake.llm import bpe, digest, mixing, simhash
+from feedlake.llm import bpe, digest, mixing, secrets, simhash
 from feedlake.llm.frames import table
 from feedlake.plans.catalogue import query
 
@@ -44,3 +44,12 @@ def op8_simhash_classes(spark, sf_dir):
 def op5_similarity_digest(spark, sf_dir):
     """Digest of every text, and how like it are its edited text and the next document."""
     return digest.compare_with_edits(table(spark, sf_dir, "documents"))
+
+
+@query("op2_secret_ownership", secrets.scan_sql())
+def op2_secret_ownership(spark, sf_dir):
+    """Secrets of every text, each judged by how many owners share its value."""
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    counts = [c for c in found.columns if c.startswith("n_")]
+    return found.select(F.col("repository").alias("doc_id"), *counts,
+                        F.sha2("base", 256).alias("base_sha256"), "spans")
