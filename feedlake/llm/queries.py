@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from feedlake.llm import bpe, digest, mixing, secrets, simhash
+from feedlake.llm import bpe, digest, knn, mixing, secrets, simhash
 from feedlake.llm.frames import table
 from feedlake.plans.catalogue import query
 
@@ -53,3 +53,9 @@ def op2_secret_ownership(spark, sf_dir):
     counts = [c for c in found.columns if c.startswith("n_")]
     return found.select(F.col("repository").alias("doc_id"), *counts,
                         F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+@query("op4_voronoi_knn")
+def op4_voronoi_knn(spark, sf_dir):
+    """The 20 best partners of every vector whose id is divisible by 20."""
+    return knn.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
