@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from feedlake.llm import bpe, digest, knn, mixing, secrets, simhash
+from feedlake.llm import bpe, digest, knn, mixing, quality, secrets, simhash
 from feedlake.llm.frames import table
 from feedlake.plans.catalogue import query
 
@@ -59,3 +59,9 @@ def op2_secret_ownership(spark, sf_dir):
 def op4_voronoi_knn(spark, sf_dir):
     """The 20 best partners of every vector whose id is divisible by 20."""
     return knn.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+@query("op10_quality_trees")
+def op10_quality_trees(spark, sf_dir):
+    """Quality of every text, learnt from labels outside of the held-out fifth."""
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
