@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
-from feedlake.llm.frames import bounded_batches
+from feedlake.llm.frames import bounded_batches, strings
 
 WINDOW = 64
 #: Entropies, in thousandths of the largest, that say too little or are next to noise.
@@ -278,17 +278,19 @@ def compare_with_edits(docs: DataFrame) -> DataFrame:
                 rows.insert(0, held)
             held = rows[-1]
             pairs = [(a, b) for a, b in zip(rows, rows[1:]) if not a[3] and a[2] == b[2]]
+            if not pairs:
+                continue
             edits = []
             for a, b in pairs:
                 half = len(a[1]) // 2
                 edits.append(a[1][:len(a[1]) - half] + b[1][:half])
             prints = digest.of(edits)
             yield pd.DataFrame({
-                "doc_id": [a[0] for a, _ in pairs],
+                "doc_id": strings(a[0] for a, _ in pairs),
                 "n_chars": [len(a[1]) for a, _ in pairs],
-                "edited_sha256": [hashlib.sha256(e.encode()).hexdigest() for e in edits],
-                "fingerprint": [a[4] for a, _ in pairs],
-                "edited_fingerprint": prints,
+                "edited_sha256": strings(hashlib.sha256(e.encode()).hexdigest() for e in edits),
+                "fingerprint": strings(a[4] for a, _ in pairs),
+                "edited_fingerprint": strings(prints),
                 "near_edited": [likeness(a[4], p) for (a, _), p in zip(pairs, prints)],
                 "near_next": [likeness(a[4], b[4]) for a, b in pairs],
             })

@@ -4,6 +4,7 @@ import functools
 import tempfile
 import uuid
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 #: Rows and bytes that one Arrow batch holds at most, so that a worker's memory follows the
@@ -52,6 +53,11 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def strings(values) -> pd.Series:
+    """Strings as Python objects, which Arrow takes as one array, also if there are none."""
+    return pd.Series(list(values), dtype=object)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from feedlake.llm import bpe, digest, knn, mixing, quality, secrets, simhash
+from feedlake.llm import bpe, digest, knn, langid, mixing, quality, secrets, simhash
 from feedlake.llm.frames import table
 from feedlake.plans.catalogue import query
 
@@ -65,3 +65,10 @@ def op4_voronoi_knn(spark, sf_dir):
 def op10_quality_trees(spark, sf_dir):
     """Quality of every text, learnt from labels outside of the held-out fifth."""
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op6_language_id")
+def op6_language_id(spark, sf_dir):
+    """Language of every text, learnt from the documents that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return langid.detect(docs).select("doc_id", "held_out", "language.lang_pred", "language.score")
