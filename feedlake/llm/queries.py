@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from feedlake.llm import bpe, digest, knn, langid, mixing, quality, secrets, simhash
+from feedlake.llm import bpe, digest, knn, langid, mixing, pii, quality, secrets, simhash
 from feedlake.llm.frames import table
 from feedlake.plans.catalogue import query
 
@@ -72,3 +72,10 @@ def op6_language_id(spark, sf_dir):
     """Language of every text, learnt from the documents that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return langid.detect(docs).select("doc_id", "held_out", "language.lang_pred", "language.score")
+
+
+@query("op3_pii_surrogates")
+def op3_pii_surrogates(spark, sf_dir):
+    """Every document with personal data replaced by surrogates."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.replace(docs).withColumn("n_chars", F.char_length("text").cast("long"))
