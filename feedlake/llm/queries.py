@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from feedlake.llm import bpe, digest, knn, langid, mixing, pii, quality, secrets, simhash
+from feedlake.llm import bpe, digest, knn, langid, mixing, pii, quality, recurrent, secrets, simhash
 from feedlake.llm.frames import table
 from feedlake.plans.catalogue import query
 
@@ -79,3 +79,9 @@ def op3_pii_surrogates(spark, sf_dir):
     """Every document with personal data replaced by surrogates."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.replace(docs).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+@query("op9_recurrent_lm")
+def op9_recurrent_lm(spark, sf_dir):
+    """Every text scored by the recurrent model, beside its unigram base."""
+    return recurrent.score(table(spark, sf_dir, "documents"))
