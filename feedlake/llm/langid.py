@@ -326,7 +326,7 @@ def predictor(spark: SparkSession, model: Model | None):
         chances = posteriors(text)
         best = F.array_max(chances)
         name = F.element_at(names, F.array_position(chances, best).cast("int"))
-        return result(F.coalesce(name, F.lit(UNDETERMINED)), F.coalesce(best, F.lit(0.0)))
+        return result(F.when(best.isNull(), UNDETERMINED).otherwise(name), F.coalesce(best, F.lit(0.0)))
 
     return predict
 
