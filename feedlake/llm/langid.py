@@ -145,14 +145,14 @@ def expected(lattice: Lattice, chances: np.ndarray, counts: np.ndarray) -> np.nd
     behind = np.zeros_like(ahead)
     behind[-1] = counts / np.maximum(ahead[-1], 1e-300)
     size, languages = chances.shape
-    out = np.zeros((size, languages))
+    every, shares = [], []
     for start, end, ids in reversed(lattice.edges):
         step = chances[ids] * behind[end]
         behind[start] += step
-        share = ahead[start] * step
-        for k in range(languages):
-            out[:, k] += np.bincount(ids, share[:, k], size)
-    return out
+        every.append(ids)
+        shares.append(ahead[start] * step)
+    every, shares = np.concatenate(every), np.concatenate(shares)
+    return np.stack([np.bincount(every, shares[:, k], size) for k in range(languages)], axis=1)
 
 
 @dataclass
@@ -265,12 +265,19 @@ def maximise(words: DataFrame, model: Model) -> Model:
     def count(batches):
         chances = sent.value.lifted()
         trie = trie_of(tuple(sent.value.pieces))
-        total = np.zeros_like(chances)
+        total, held = np.zeros_like(chances), {}
+
+        def add():
+            for group in by_length(held):
+                counts = np.array([held[w] for w in group], np.float64)
+                total[:] += expected(Lattice(trie, group), chances, counts)
+            held.clear()
+
         for batch in batches:
-            counts = dict(zip(batch["word"], batch["counts"]))
-            for group in by_length(counts):
-                total += expected(Lattice(trie, group), chances,
-                                  np.array([counts[w] for w in group], np.float64))
+            held.update(zip(batch["word"], batch["counts"]))
+            if len(held) > HELD_WORDS:  # many words of a length make a step worth its while
+                add()
+        add()
         at, k = np.nonzero(total[:size])
         yield pd.DataFrame({"piece": at, "k": k, "n": total[at, k]})
 
