@@ -77,7 +77,6 @@ EMBED_MODEL = "gemini-embedding-001"
 EMBED_TASK_TYPE = "RETRIEVAL_DOCUMENT"
 EMBED_DIM = 768
 EMBED_BODY_CHARS = 500
-EMBED_CAP = 5000
 ITEM_ERROR_CODES = (400,)
 STALL_ROUNDS = 2
 
@@ -90,7 +89,6 @@ JOB_ERROR_CHARS = 280
 
 # --- fixed values: page bodies ---------------------------------------------
 MIN_BODY_CHARS = 80
-BODIES_PER_FEED = 10
 EMPTY_RATE_ALERT = 0.5
 
 # --- fixed values: status board --------------------------------------------

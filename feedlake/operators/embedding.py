@@ -1,7 +1,7 @@
 """Embedding queue: what waits, what each call gave, what is stored, what to redo."""
 
 import sys
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 
@@ -19,33 +19,30 @@ from feedlake.functions import text
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-class PermanentEmbedError(Exception):
-    """The service refused and will refuse again; ``code`` says why.
+class ServiceRefused(Exception):
+    """An answer that will not change on a second try. ``code`` tells whose fault it is.
 
-    Recognised by its ``permanent`` mark, so an embedder may raise errors of its own.
+    Any exception with a true ``permanent`` attribute counts as one.
     """
 
     permanent = True
 
-    def __init__(self, message: str, code: int | None = None):
-        super().__init__(message, code)
+    def __init__(self, reason: str, code: int | None = None):
+        super().__init__(reason)
         self.code = code
 
-    def __str__(self):
-        return str(self.args[0])
 
-
-class EmbeddingAborted(RuntimeError):
-    """A fault of the set-up, not of an item: nothing of the pass may be written."""
+class SetupFault(RuntimeError):
+    """The service or its settings are wrong for every item: the pass writes nothing."""
 
 
 # --- queue -----------------------------------------------------------------
 
-def pending_queue(items: DataFrame, *, cap: int | None = C.EMBED_CAP) -> DataFrame:
-    """Articles that wait for a vector, oldest first, at most ``cap`` per pass.
+def pending_queue(items: DataFrame, *, cap: int | None = None) -> DataFrame:
+    """Articles that wait for a vector; with ``cap``, the oldest so many.
 
-    Sort and limit run as per-task top-k lists; ``cap=None`` leaves the queue whole and
-    unsorted for a pass without a limit.
+    Without a limit the queue is whole and unsorted; sort and limit run as top-k lists per
+    task.
     """
     waiting = items.filter(F.col("embed_pending")).select(
         "item_id", text.or_empty("title").alias("title"), text.or_empty("body").alias("body"),
@@ -95,33 +92,80 @@ def set_pending(items: DataFrame, ids: DataFrame, waiting: bool) -> DataFrame:
 
 # --- calls -----------------------------------------------------------------
 
-def _call(embed: Callable[[str], list[float]], item_text: str, dim: int, item_codes):
-    if not item_text:
-        return "permanent", None, "empty input"
-    try:
-        vector = embed(item_text)
-    except Exception as e:
-        if not getattr(e, "permanent", False):
-            return "retryable", None, str(e)
-        of_item = getattr(e, "code", None) in item_codes
-        return ("permanent" if of_item else "fatal"), None, str(e)
-    if len(vector) != dim:
-        return "fatal", None, f"dim {len(vector)} != {dim} (config drift)"
-    return "ok", [float(x) for x in vector], ""
+Answer = Sequence[float] | Exception
+
+
+def one_by_one(make_single: Callable[[], Callable[[str], Sequence[float]]]):
+    """An embedder of lists from one that takes a single text and may raise."""
+    def make():
+        single = make_single()
+
+        def embed(texts: list[str]) -> Iterator[Answer]:
+            for item_text in texts:
+                try:
+                    yield single(item_text)
+                except Exception as fault:
+                    yield fault
+
+        return embed
+
+    return make
+
+
+def _outcome(answer: Answer, dim: int, item_codes) -> tuple[str, list[float] | None, str]:
+    if isinstance(answer, Exception):
+        refused = getattr(answer, "permanent", False)
+        of_item = getattr(answer, "code", None) in item_codes
+        return (("permanent" if of_item else "fatal") if refused else "retryable"), None, str(answer)
+    if len(answer) != dim:
+        return "fatal", None, f"vector of {len(answer)} numbers, {dim} expected"
+    return "ok", list(map(float, answer)), ""
+
+
+class _Caller:
+    """Outcomes of a task's texts in lists of ``size``; after a fatal one nothing more is sent."""
+
+    def __init__(self, embed, dim: int, item_codes, size: int):
+        self.embed, self.judge, self.size = embed, lambda x: _outcome(x, dim, item_codes), size
+        self.stopped = False
+
+    def ask(self, texts: list[str]) -> list[tuple]:
+        out: list[tuple] = []
+        try:
+            if not self.stopped:
+                for answer in self.embed(texts):
+                    out.append(self.judge(answer))
+                    if out[-1][0] == "fatal":
+                        self.stopped = True
+                        break
+        except Exception as fault:  # of the whole call
+            out += [self.judge(fault)] * (len(texts) - len(out))
+            self.stopped = self.stopped or out[-1][0] == "fatal"
+        return out + [("retryable", None, "not sent")] * (len(texts) - len(out))
+
+    def __call__(self, pool, texts: list[str]) -> list[tuple]:
+        full = [i for i, t in enumerate(texts) if t]
+        out = [("permanent", None, "nothing to embed")] * len(texts)
+        parts = [full[i:i + self.size] for i in range(0, len(full), self.size)]
+        for part, found in zip(parts, pool.map(lambda p: self.ask([texts[i] for i in p]), parts)):
+            for i, outcome in zip(part, found):
+                out[i] = outcome
+        return out
 
 
 def embed_outcomes(
-    queue: DataFrame, make_embedder: Callable[[], Callable[[str], list[float]]], *,
-    dim: int = C.EMBED_DIM, item_codes=C.ITEM_ERROR_CODES,
-    body_chars: int = C.EMBED_BODY_CHARS, concurrency: int = 1, partitions: int | None = None,
+    queue: DataFrame, make_embedder: Callable[[], Callable[[list[str]], Iterable[Answer]]], *,
+    dim: int = C.EMBED_DIM, item_codes=C.ITEM_ERROR_CODES, body_chars: int = C.EMBED_BODY_CHARS,
+    per_call: int = 100, concurrency: int = 1, partitions: int | None = None,
 ) -> DataFrame:
-    """Call the embedder once per queued article: ok, permanent, retryable or fatal.
-
-    ``make_embedder`` runs once per task and returns the function from text to vector.
-    An error whose code lies in ``item_codes`` belongs to the item (permanent); any other
-    permanent error and a wrong dimension belong to the set-up (fatal, see
-    ``raise_if_fatal``); the rest may be tried again. ``partitions`` sizes the stage to the
-    rate the service allows. Reasons never show a key.
+    """Send each queued article once: ok, permanent, retryable or fatal.
+
+    ``make_embedder`` runs once per task and returns the function from a list of texts to
+    their vectors or faults, in order (``one_by_one`` makes one from single texts). A refusal
+    whose code lies in ``item_codes`` belongs to the item (permanent); any other refusal and
+    a wrong dimension belong to the set-up (fatal, see ``raise_if_fatal``), and the task sends
+    nothing after it; the rest may be tried again. ``partitions`` sizes the stage to the rate
+    the service allows. Reasons never show a key.
     """
     queue = queue.select(
         "item_id", text.embed_text("title", "body", body_chars=body_chars).alias("text")
@@ -130,15 +174,11 @@ def embed_outcomes(
         queue = queue.repartition(partitions)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        embed = make_embedder()
+        call = _Caller(make_embedder(), dim, item_codes, per_call)
         with ThreadPoolExecutor(concurrency) as pool:
             for batch in batches:
-                results = list(
-                    pool.map(lambda t: _call(embed, t, dim, item_codes), batch["text"])
-                )
-                out = pd.DataFrame(results, columns=["outcome", "vector", "reason"])
-                out.insert(0, "item_id", batch["item_id"].to_numpy())
-                yield out
+                rows = [(i, *o) for i, o in zip(batch["item_id"], call(pool, batch["text"].tolist()))]
+                yield pd.DataFrame(rows, columns=["item_id", "outcome", "vector", "reason"], dtype=object)
 
     return queue.mapInPandas(run, schemas.EMBED_RESULT).withColumn(
         "reason", text.redact("reason")
@@ -147,9 +187,9 @@ def embed_outcomes(
 
 def raise_if_fatal(outcomes: DataFrame) -> None:
     """Stop the pass on a set-up fault. ``outcomes`` must be stored, or calls repeat."""
-    first = outcomes.filter(F.col("outcome") == "fatal").select("reason").head(1)
-    if first:
-        raise EmbeddingAborted(first[0]["reason"])
+    faults = outcomes.filter(F.col("outcome") == "fatal").select("reason").take(1)
+    for fault in faults:
+        raise SetupFault(fault["reason"])
 
 
 def pass_stats(outcomes: DataFrame, saved: DataFrame) -> DataFrame:

@@ -1,16 +1,14 @@
 """Feed state, job health and run verdicts, folded from append-only logs.
 
-No fold sorts a feed's rows in one task: states are ``max_by`` aggregates with partial
-aggregation, and failure streaks are counted over hash slices of each feed.
+No fold sorts a feed's rows in one task: states are aggregates with partial aggregation, and
+failure streaks are counts, with partial counts per task, of the failures after a success.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlake import constants as C
 from feedlake.functions import text
-from feedlake.operators.spread import SLICES, with_slice
-
 
 
 def is_ok(status="status", is_feed="is_feed") -> Column:
@@ -30,51 +28,43 @@ def poll_error(*, error_chars: int = C.FEED_ERROR_CHARS) -> Column:
     return text.truncate(message, error_chars)
 
 
-def fold_feed_state(
-    poll: DataFrame, prior: DataFrame | None = None, *, slices: int = SLICES
-) -> DataFrame:
+def fold_feed_state(poll: DataFrame, prior: DataFrame | None = None) -> DataFrame:
     """Poll log to feed state, one row per feed.
 
     200 sets the cursor to what the response had, even nothing; 304 keeps it; a failure
     touches neither cursor nor last_fetched, adds to the streak and records its error.
     ``prior`` continues an earlier state with later polls.
 
-    The streak is the number of failures after the last success. Each feed's last success
-    comes from an aggregate with partial results per task; it is then spread over the hash
-    slices (at most 63) in which the feed has failures, and failures are compared slice by
-    slice. A feed that holds a third of the log is so worked on by ``slices`` tasks.
+    The streak is the number of failures after the last success. Each feed's polls first
+    become one row per hour, with the failures at its end; the hours are then added up from
+    the last that had a success. So the log is read once, and a feed that has most of it is
+    worked on by as many tasks as there are hours.
     """
     ok = is_ok()
-    rows = with_slice(poll, "ts", "seq", slices=slices).select(
-        "feed_id", "_slice", F.struct("ts", "seq").alias("at"), ok.alias("ok"),
-        (ok & (F.col("status") == 200)).alias("has_cursor"),
+    rows = poll.select(
+        "feed_id", F.date_trunc("hour", "ts").alias("hour"), F.struct("ts", "seq").alias("at"),
+        ok.alias("ok"), (ok & (F.col("status") == 200)).alias("has_cursor"),
         F.struct("etag", "last_modified").alias("cursor"),
         poll_error().alias("message"),
     )
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_slice"))
-    per_feed = rows.groupBy("feed_id").agg(
+
+    def failures_at_end(steps: Column, restart) -> Column:
+        return F.aggregate(F.array_sort(steps), F.lit(0).cast("long"), restart)
+
+    hours = rows.groupBy("feed_id", "hour").agg(
         F.max(F.when(F.col("ok"), F.col("at"))).alias("ok_at"),
         F.max(F.when(F.col("has_cursor"), F.struct("at", "cursor"))).alias("cur"),
         F.max(F.struct("at", "message")).alias("last"),
-        F.bit_or(F.when(~F.col("ok"), bit)).alias("fail_slices"),
+        failures_at_end(F.collect_list(F.struct("at", "ok")), lambda n, x: F.when(
+            x["ok"], F.lit(0).cast("long")).otherwise(n + 1)).alias("failures"),
     )
-    used = F.filter(
-        F.sequence(F.lit(0), F.lit(slices - 1)),
-        lambda i: F.getbit(F.coalesce("fail_slices", F.lit(0).cast("long")), i) == 1,
-    )
-    spread = per_feed.withColumn("_slice", F.explode_outer(used)).alias("f")
-    fails = rows.filter(~F.col("ok")).select("feed_id", "_slice", "at").alias("x")
-    after = F.col("f.ok_at").isNull() | (F.col("x.at") > F.col("f.ok_at"))
-    same = (F.col("f.feed_id") == F.col("x.feed_id")) & (F.col("f._slice") == F.col("x._slice"))
     state = (
-        spread.join(fails, same & after, "left")
-        .groupBy("f.feed_id")
-        .agg(
-            F.max("f.ok_at").alias("ok_at"),
-            F.max("f.cur").alias("cur"),
-            F.max("f.last").alias("last"),
-            F.count("x.at").alias("streak"),
-        )
+        hours.groupBy("feed_id").agg(
+            F.max("ok_at").alias("ok_at"), F.max("cur").alias("cur"), F.max("last").alias("last"),
+            failures_at_end(
+                F.collect_list(F.struct("hour", F.col("ok_at").isNotNull().alias("ok"), "failures")),
+                lambda n, x: F.when(x["ok"], x["failures"]).otherwise(n + x["failures"]),
+            ).alias("streak"))
         .select(
             "feed_id",
             F.col("cur.cursor.etag").alias("etag"),
@@ -178,28 +168,54 @@ def fold_job_health(runs: DataFrame, prior: DataFrame | None = None) -> DataFram
     )
 
 
-# --- one run's summary and verdicts ----------------------------------------
+# --- summary and verdicts, of one run or of every run in a log --------------
+#
+# With ``run``, the name of a column that tells runs apart, each function works run by run and
+# keeps that column.
+
+def _keys(run: str | None) -> list[str]:
+    return [] if run is None else [run]
 
-def pass_summary(poll: DataFrame) -> DataFrame:
+
+def pass_summary(poll: DataFrame, *, run: str | None = None) -> DataFrame:
     """Per feed of a run: new articles, 0 when unchanged, -1 when failed."""
     failed = F.max((~is_ok()).cast("int"))
-    return poll.groupBy("family", "feed_id").agg(
+    return poll.groupBy(*_keys(run), "family", "feed_id").agg(
         F.when(failed == 1, F.lit(-1))
         .otherwise(F.coalesce(F.sum("new_count"), F.lit(0)))
         .cast("long").alias("outcome")
     )
 
 
+def streaks_by_run(poll: DataFrame, run: str) -> DataFrame:
+    """run, feed_id, consecutive_failures at the end of each run that polled the feed.
+
+    ``run`` must ascend with time. A feed's polls of a run become one row first; the window
+    then sees a row per run.
+    """
+    steps = poll.select(run, "feed_id", F.struct(F.struct("ts", "seq"), is_ok().alias("ok")).alias("at"))
+    at_end = F.aggregate(
+        F.array_sort(F.collect_list("at")), F.lit(0).cast("long"),
+        lambda n, x: F.when(x["ok"], F.lit(0).cast("long")).otherwise(n + 1))
+    ends = steps.groupBy(run, "feed_id").agg(at_end.alias("failures"), F.max("at.ok").alias("ok"))
+    so_far = Window.partitionBy("feed_id").orderBy(run)
+    since = ends.withColumn("_since", F.count_if("ok").over(so_far))
+    streak = F.sum("failures").over(Window.partitionBy("feed_id", "_since").orderBy(run))
+    return since.select(run, "feed_id", streak.alias("consecutive_failures"))
+
+
 def classify_failures(
-    summary: DataFrame, state: DataFrame, *, chronic_streak: int = C.CHRONIC_STREAK
+    summary: DataFrame, state: DataFrame, *, chronic_streak: int = C.CHRONIC_STREAK,
+    run: str | None = None,
 ) -> DataFrame:
     """Failed feeds as 'new' or 'chronic' by the streak that includes this run."""
     streak = F.coalesce("consecutive_failures", F.lit(0))
+    keys = [*_keys(run), "feed_id"]
     return (
         summary.filter(F.col("outcome") == -1)
-        .join(state.select("feed_id", "consecutive_failures"), "feed_id", "left")
+        .join(state.select(*keys, "consecutive_failures"), keys, "left")
         .select(
-            "family", "feed_id",
+            *_keys(run), "family", "feed_id",
             F.when(streak >= chronic_streak, "chronic").otherwise("new").alias("failure"),
         )
     )
@@ -208,28 +224,26 @@ def classify_failures(
 def family_verdicts(
     spark, summary: DataFrame, state: DataFrame, *,
     families=C.FAMILIES, chronic_streak: int = C.CHRONIC_STREAK,
-    fail_rate: float = C.FAIL_RATE, min_attempted: int = C.MIN_ATTEMPTED,
+    fail_rate: float = C.FAIL_RATE, min_attempted: int = C.MIN_ATTEMPTED, run: str | None = None,
 ) -> DataFrame:
     """Per source family: attempted, chronic, new_failed, piece of the verdict, degraded.
 
     Chronic failures are known and leave the base. The rest is a breakdown when all of it
     failed, or at least ``fail_rate`` of at least ``min_attempted``.
     """
-    failures = classify_failures(summary, state, chronic_streak=chronic_streak)
-    counted = summary.select("family", "feed_id").join(
-        failures.select("family", "feed_id", "failure"), ["family", "feed_id"], "left"
-    ).groupBy("family").agg(
+    failures = classify_failures(summary, state, chronic_streak=chronic_streak, run=run)
+    feed, family = [*_keys(run), "family", "feed_id"], [*_keys(run), "family"]
+    counted = summary.select(*feed).join(failures.select(*feed, "failure"), feed, "left").groupBy(
+        *family).agg(
         F.count("*").alias("attempted"),
         F.count_if(F.col("failure") == "chronic").alias("chronic"),
         F.count_if(F.col("failure") == "new").alias("new_failed"),
     )
-    names = spark.range(0, len(families), 1, 1).select(
-        F.col("id").cast("int").alias("rank"),
-        F.element_at(F.lit(list(families)), F.col("id").cast("int") + 1).alias("family"),
-    )
+    runs = spark.range(0, 1, 1, 1).drop("id") if run is None else summary.select(run).distinct()
+    names = runs.select(*_keys(run), F.posexplode(F.lit(list(families))).alias("rank", "family"))
     zero = F.lit(0).cast("long")
-    joined = names.join(counted, "family", "left").select(
-        "rank", "family",
+    joined = names.join(counted, family, "left").select(
+        *_keys(run), "rank", "family",
         *[F.coalesce(c, zero).alias(c) for c in ("attempted", "chronic", "new_failed")],
     ).withColumn("healthy", F.col("attempted") - F.col("chronic"))
     rate_hit = (F.col("healthy") >= min_attempted) & (
@@ -274,16 +288,20 @@ def embed_verdict(items: DataFrame, *, has_key: bool, failed: bool = False) -> D
     )
 
 
-def run_verdict(verdicts: DataFrame, embed: DataFrame) -> DataFrame:
-    """One line for the run: family pieces in order, then embedding; failed if any is.
+def run_verdict(verdicts: DataFrame, embed: DataFrame, *, run: str | None = None) -> DataFrame:
+    """One line per run: family pieces in order, then embedding; failed if any is.
 
-    The list collected here has one entry per source family plus one.
+    ``embed`` has one piece, for every run. The list collected here has one entry per source
+    family plus one.
     """
-    pieces = verdicts.select("rank", "piece", "degraded").unionByName(
-        embed.select(F.lit(len(C.FAMILIES) + 1000).alias("rank"), "piece", "degraded")
-    )
+    last = embed.select(F.lit(len(C.FAMILIES) + 1000).alias("rank"), "piece", "degraded")
+    if run is not None:  # one row against the runs
+        last = verdicts.select(run).distinct().withColumn("_one", F.lit(1)).join(
+            last.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    columns = [*_keys(run), "rank", "piece", "degraded"]
+    pieces = verdicts.select(*columns).unionByName(last.select(*columns))
     ordered = F.array_sort(F.collect_list(F.struct("rank", "piece")))
-    return pieces.agg(
+    return pieces.groupBy(*_keys(run)).agg(
         F.array_join(F.transform(ordered, lambda p: p["piece"]), " ").alias("detail"),
         F.max("degraded").alias("failed"),
     )

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from feedlake import constants as C
 from feedlake import schemas
 from feedlake.functions import classify
-from feedlake.operators.spread import spread_anti
 
 ITEM_COLUMNS = [f.name for f in schemas.ITEM]
 
@@ -21,9 +20,15 @@ def family_rank(family="family", families=C.FAMILIES) -> Column:
     return F.array_position(F.array(*[F.lit(f) for f in families]), F.col(family))
 
 
-def arrival_order() -> list[Column]:
-    """What "first" means: fetch time, family, feed position, row position."""
-    return [F.col("fetched_at"), family_rank(), F.col("feed_pos"), F.col("row_pos")]
+def arrival_columns(items: DataFrame) -> list[str]:
+    """What "first" means besides the family: fetch time, feed, response and row position."""
+    return [c for c in ("fetched_at", "feed_pos", "seq", "row_pos") if c in items.columns]
+
+
+def arrival_order(items: DataFrame) -> list[Column]:
+    """Fetch time, family, feed position, response, row position: a total order."""
+    first, *rest = arrival_columns(items)
+    return [F.col(first), family_rank(), *map(F.col, rest)]
 
 
 def stamp(items: DataFrame, *, ttl: timedelta = C.TTL) -> DataFrame:
@@ -45,7 +50,7 @@ def first_wins(
     per task. ``order`` must be a total order. Name the ``fields`` that are needed: Spark
     does not prune columns inside the aggregated row.
     """
-    order = order if order is not None else arrival_order()
+    order = order if order is not None else arrival_order(items)
     rest = fields or [c for c in items.columns if c != key]
     winner = F.min_by(F.struct(*rest), F.struct(*order))
     return items.groupBy(key).agg(winner.alias("_first")).select(key, "_first.*")
@@ -60,15 +65,13 @@ def known_ids(ids: DataFrame, stored: DataFrame, *, key: str = "item_id") -> Dat
     return stored.select(key).join(ids.select(key).distinct(), key, "left_semi")
 
 
-def new_rows(
-    batch: DataFrame, stored: DataFrame, *, key: str = "item_id",
-    by=("fetched_at", "feed_pos", "row_pos"),
-) -> DataFrame:
+def new_rows(batch: DataFrame, stored: DataFrame, *, key: str = "item_id") -> DataFrame:
     """Rows of the batch whose key the store does not hold, copies within the batch kept.
 
-    ``by`` names columns that differ between copies; they split a hot key.
+    The known keys are one row each and the batch is the left side, so adaptive execution
+    broadcasts them or splits a hot key of the batch, however large it is.
     """
-    return spread_anti(batch, stored, key, by=list(by))
+    return batch.join(known_ids(batch, stored, key=key), key, "left_anti")
 
 
 def insert_if_absent(
@@ -95,7 +98,7 @@ def insert_rescanned(
     moves the rows once and is the better one.
     """
     ranked = batch.withColumn("_rank", family_rank())
-    order = ["fetched_at", "_rank", "feed_pos", "row_pos"]
+    order = ["fetched_at", "_rank", *arrival_columns(batch)[1:]]
     winners = ranked.groupBy(key).agg(F.min(F.struct(*order)).alias("_at"))
     new = winners.join(known_ids(batch, stored, key=key), key, "left_anti").select(
         F.col(key).alias("_key"), *[F.col(f"_at.{c}").alias(f"_new_{c}") for c in order])

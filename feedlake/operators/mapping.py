@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from feedlake import constants as C
 from feedlake.functions import clock, text
 from feedlake.functions.publisher import publisher
-from feedlake.operators.spread import if_small
 
 COLUMNS = [
     "item_id", "feed_id", "source", "asset_hint", "language", "url", "title", "body", "symbol",
@@ -28,13 +27,18 @@ def body_for_mode(body_mode, summary, content):
     )
 
 
+def _seq(rows: DataFrame):
+    """Number of the response an entry came with; 0 for rows that are not from responses."""
+    return F.col("seq") if "seq" in rows.columns else F.lit(0).cast("long").alias("seq")
+
+
 def map_feed_rows(rows: DataFrame, registry: DataFrame) -> DataFrame:
     """RSS entries to articles.
 
     Key basis is link, else guid, else title; the url stays empty without a link. A row
     with no basis is dropped (``feed_rows_without_basis`` counts them).
     """
-    joined = rows.join(if_small(registry.drop("url")), "feed_id")
+    joined = rows.join(registry.drop("url"), "feed_id")
     return (
         joined.withColumn("_basis", text.key_basis("link", "guid", "title"))
         .filter(F.col("_basis").isNotNull())
@@ -48,7 +52,7 @@ def map_feed_rows(rows: DataFrame, registry: DataFrame) -> DataFrame:
             clock.feed_time("published", "updated", "tz_offset").alias("published_at"),
             "fetched_at",
             F.lit(C.RSS).alias("family"),
-            "feed_pos", "row_pos",
+            "feed_pos", _seq(rows), "row_pos",
         )
     )
 
@@ -68,7 +72,7 @@ def map_search_rows(rows: DataFrame, searches: DataFrame | None = None) -> DataF
     already need no registry.
     """
     if searches is not None:
-        rows = rows.join(if_small(searches), "q")
+        rows = rows.join(searches, "q")
     url = F.coalesce(text.nonempty("originallink"), F.col("link"))
     return (
         rows.withColumn("url", text.strip(url))
@@ -86,7 +90,7 @@ def map_search_rows(rows: DataFrame, searches: DataFrame | None = None) -> DataF
             clock.rfc822_to_utc("pubDate").alias("published_at"),
             "fetched_at",
             F.lit(C.SEARCH).alias("family"),
-            "feed_pos", "row_pos",
+            "feed_pos", _seq(rows), "row_pos",
         )
     )
 
@@ -97,7 +101,7 @@ def map_firehose_rows(
 ) -> DataFrame:
     """Firehose rows to articles; the article endpoint names its fields differently."""
     if endpoints is not None:
-        rows = rows.join(if_small(endpoints), "endpoint")
+        rows = rows.join(endpoints, "endpoint")
     article = F.col("endpoint") == article_endpoint
 
     def pick(of_article: str, of_rest: str):
@@ -128,7 +132,7 @@ def map_firehose_rows(
             clock.zone_to_utc(pick("date", "publishedDate")).alias("published_at"),
             "fetched_at",
             F.lit(C.FIREHOSE).alias("family"),
-            "feed_pos",
+            "feed_pos", _seq(rows),
             (F.col("page").cast("long") * page_size + F.col("row_pos")).alias("row_pos"),
         )
     )
@@ -136,7 +140,7 @@ def map_firehose_rows(
 
 def union_families(*families: DataFrame) -> DataFrame:
     """All source families as one frame of articles."""
-    result = families[0].select(*COLUMNS)
+    result = families[0].select(*COLUMNS, _seq(families[0]))
     for df in families[1:]:
-        result = result.unionByName(df.select(*COLUMNS))
+        result = result.unionByName(df.select(*COLUMNS, _seq(df)))
     return result

@@ -1,5 +1,6 @@
 """The collect run: landed responses to stored articles, health and verdict."""
 
+import functools
 import logging
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -10,9 +11,9 @@ from pyspark.sql import functions as F
 from feedlake import constants as C
 from feedlake.functions import clock
 from feedlake.operators import bodies, health, items as ops, mapping, paging
-from feedlake.operators.spread import if_small
+from feedlake.plans import upkeep
 from feedlake.session import Scratch
-from feedlake.sources import lake, payloads
+from feedlake.sources import payloads, store
 from feedlake.sources.registry import sources_meta, usable_searches
 
 log = logging.getLogger("feedlake.collect")
@@ -44,7 +45,7 @@ class Registries:
 
 def feed_pass(scanned: DataFrame, registry: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Articles and poll rows of scanned feed responses."""
-    known = scanned.join(if_small(registry.select("feed_id")), "feed_id", "left_semi")
+    known = scanned.join(registry.select("feed_id"), "feed_id", "left_semi")
     polls = known.select(
         F.lit(C.RSS).alias("family"), "feed_id", F.col("fetched_at").alias("ts"), "seq",
         "status", "is_feed", "etag", "last_modified", F.lit(None).cast("string").alias("error"),
@@ -55,7 +56,7 @@ def feed_pass(scanned: DataFrame, registry: DataFrame) -> tuple[DataFrame, DataF
 def search_pass(scanned: DataFrame, searches: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Articles and poll rows of scanned search responses; blank queries do not count."""
     usable = usable_searches(searches)
-    known = scanned.join(if_small(usable.select("q")), "q", "left_semi")
+    known = scanned.join(usable.select("q"), "q", "left_semi")
     none = F.lit(None).cast("string")
     polls = known.select(
         F.lit(C.SEARCH).alias("family"), F.concat(F.lit(C.SEARCH_PREFIX), "q").alias("feed_id"),
@@ -67,102 +68,118 @@ def search_pass(scanned: DataFrame, searches: DataFrame) -> tuple[DataFrame, Dat
 
 def firehose_pass(
     scanned: DataFrame, endpoints: DataFrame, *, page_size: int = C.PAGE_SIZE, caps=None,
-    default_cap: int = C.PAGE_CAP, blackout_start_hour=None, blackout_end_hour=None, **_,
+    default_cap: int = C.PAGE_CAP, blackout_start_hour: int | None = None,
+    blackout_end_hour: int | None = None, lookback_days: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Articles and poll rows of scanned firehose pages.
 
-    Pages count up to the first short one or the cap. A bad page in that range fails the
-    whole request and none of its rows are used. Requests in the blackout never happened.
+    All landed pages count up to the first short one; a page that landed twice is its last
+    good response. A bad page in that range fails the whole request and none of its rows are
+    used. ``caps`` say where the fetcher stopped asking, which makes a request cut off.
+    Requests in the blackout never happened. ``lookback_days`` is the fetcher's own matter.
     """
-    known = scanned.join(if_small(endpoints.select("endpoint")), "endpoint", "left_semi")
+    known = scanned.join(endpoints.select("endpoint"), "endpoint", "left_semi")
     known = known.filter(~clock.in_blackout("fetched_at", blackout_start_hour, blackout_end_hour))
     request = ["endpoint", "fetched_at"]
-    bad = (F.col("status") != 200) | ~F.col("is_feed")
-    pages = known.groupBy(*request, "page").agg(
-        F.max(bad).alias("bad"), F.max(F.when(bad, F.col("status"))).alias("bad_status"),
-        F.sum("n_rows").alias("n_rows"), F.min("seq").alias("seq"),
-    ).withColumn("n_rows", F.when(F.col("bad"), page_size).otherwise(F.col("n_rows")))
-    # an empty request (no page with rows) is a success with nothing in it
+    good = (F.col("status") == 200) & F.col("is_feed")
+    response = F.max(F.struct(good.alias("good"), "seq", "status", "n_rows"))
+    pages = known.groupBy(*request, "page").agg(response.alias("r")).select(*request, "page", "r.*")
+    # a bad page is read like a full one: what it would have held is not known
+    pages = pages.withColumn("n_rows", F.when(F.col("good"), F.col("n_rows")).otherwise(page_size))
+    read = paging.accepted_pages(pages, request, page_size=page_size)
     cap = paging.page_cap(caps=caps, default=default_cap)
-    read = paging.accepted_pages(pages, request, cap=cap, page_size=page_size)
-    totals = paging.page_totals(read, request).join(
-        read.filter(F.col("accepted") & F.col("bad")).groupBy(*request).agg(
-            F.max("bad_status").alias("bad_status"), F.lit(True).alias("failed")),
-        request, "left",
-    )
-    first = pages.groupBy(*request).agg(F.min("seq").alias("seq"))
-    failed = F.coalesce("failed", F.lit(False))
+    bad = F.col("accepted") & ~F.col("good")
+    requests = paging.page_totals(read, request, cap=cap).join(
+        read.groupBy(*request).agg(
+            F.min("seq").alias("seq"), F.coalesce(F.max(bad), F.lit(False)).alias("failed"),
+            F.max(F.when(bad, F.col("status"))).alias("bad_status")), request)
     none = F.lit(None).cast("string")
-    polls = first.join(totals, request, "left").select(
+    polls = requests.select(
         F.lit(C.FIREHOSE).alias("family"),
         F.concat(F.lit(C.FIREHOSE_PREFIX), "endpoint").alias("feed_id"),
         F.col("fetched_at").alias("ts"), "seq",
-        F.when(failed, F.coalesce("bad_status", F.lit(200))).otherwise(200).alias("status"),
-        (~failed).alias("is_feed"), none.alias("etag"), none.alias("last_modified"),
-        F.when(~failed, paging.truncation_note("truncated", "endpoint")).alias("error"),
+        F.when(F.col("failed"), F.coalesce("bad_status", F.lit(200))).otherwise(200).alias("status"),
+        (~F.col("failed")).alias("is_feed"), none.alias("etag"), none.alias("last_modified"),
+        F.when(~F.col("failed"), paging.truncation_note("truncated", "endpoint")).alias("error"),
     )
-    good = read.filter("accepted").select(*request, "page").join(
-        totals.filter(failed).select(*request), request, "left_anti")
-    # joined on the page as well, so that the pages of a busy endpoint spread out
-    rows = payloads.firehose_rows(
-        known.join(good, [*request, "page"], "left_semi"))
+    used = read.filter("accepted").select(*request, "page", "seq").join(
+        requests.filter(~F.col("failed")).select(*request, F.col("seq").alias("_first")), request)
+    # joined on the page as well, so that the pages of a busy endpoint spread out; the rows
+    # of all pages carry the request's number, as its poll does
+    rows = payloads.firehose_rows(known.join(used, [*request, "page", "seq"])
+                                  .withColumn("seq", F.col("_first")))
     return mapping.map_firehose_rows(rows, endpoints, page_size=page_size), polls
 
 
-def run_passes(
-    landed: Landed, registries: Registries, stage: Scratch
-) -> tuple[DataFrame, DataFrame]:
-    """All landed families as (articles, poll rows); parses are staged, being used twice."""
-    passes = []
+def _families(landed: Landed, registries: Registries, stage: Scratch):
+    """Name, and a function to (articles, polls), of each family that ran."""
     if landed.feeds is not None:
-        scanned = stage(payloads.scan_feeds(landed.feeds), "feeds")
-        passes.append(feed_pass(scanned, registries.feeds))
+        yield C.RSS, lambda: feed_pass(
+            stage(payloads.scan_feeds(landed.feeds), "feeds"), registries.feeds)
     if landed.searches is not None:
-        scanned = stage(payloads.scan_search(landed.searches), "searches")
-        passes.append(search_pass(scanned, registries.searches))
+        yield C.SEARCH, lambda: search_pass(
+            stage(payloads.scan_search(landed.searches), "searches"), registries.searches)
     if landed.firehose is not None:
-        scanned = stage(payloads.scan_firehose(landed.firehose), "firehose")
-        passes.append(firehose_pass(scanned, registries.endpoints, **registries.settings))
-    articles = mapping.union_families(*[a for a, _ in passes])
-    polls = passes[0][1].select(*_POLL_COLUMNS)
-    for _, more in passes[1:]:
-        polls = polls.unionByName(more.select(*_POLL_COLUMNS))
-    return articles, polls
+        yield C.FIREHOSE, lambda: firehose_pass(
+            stage(payloads.scan_firehose(landed.firehose), "firehose"), registries.endpoints,
+            **registries.settings)
+
+
+def run_passes(
+    landed: Landed, registries: Registries, stage: Scratch
+) -> tuple[DataFrame | None, DataFrame | None, dict[str, str]]:
+    """Articles and poll rows of all families that worked, and a marker for each that broke.
+
+    A family is stored before the next begins, so an unreadable folder or a fault in one
+    leaves the others as they are.
+    """
+    articles, polls, broken = [], [], {}
+    for name, make in _families(landed, registries, stage):
+        try:
+            found, polled = make()
+            found, polled = stage(found, f"{name}-articles"), stage(
+                polled.select(*_POLL_COLUMNS), f"{name}-polls")
+        except Exception:
+            log.exception("source family %s broke down", name)
+            broken[name] = "error"
+        else:
+            articles.append(found)
+            polls.append(polled)
+    if not polls:
+        return None, None, broken
+    return mapping.union_families(*articles), functools.reduce(DataFrame.unionByName, polls), broken
 
 
 def ingest(
     spark: SparkSession, root: str, landed: Landed, registries: Registries, stage: Scratch
-) -> DataFrame:
-    """Store what is new and log every poll; returns the poll rows with their counts.
+) -> tuple[DataFrame | None, dict[str, str]]:
+    """Store what is new and log every poll; returns poll rows with counts, and broken families.
 
-    Articles, polls and feed state are published by one commit, so a run that dies leaves
-    all of them or none.
+    Articles come first, then polls, then the state that follows from them: a run that dies
+    in between is run again, which inserts nothing twice.
     """
-    stored = lake.read(spark, root, "items")
-    articles, polls = run_passes(landed, registries, stage)
-    articles = stage(articles, "articles")
+    stored = store.read(spark, root, "items")
+    articles, polls, broken = run_passes(landed, registries, stage)
+    if polls is None:
+        return None, broken
     if landed.pages is not None and registries.selectors is not None:
         articles = stage(bodies.enrich_bodies(
             articles, stored, registries.selectors, landed.pages), "enriched")
     fresh = stage(ops.insert_rescanned(articles, stored), "fresh")
-    counts = fresh.groupBy("family", "feed_id", F.col("fetched_at").alias("ts")).agg(
+    response = ["family", "feed_id", "ts", "seq"]
+    counts = fresh.withColumnRenamed("fetched_at", "ts").groupBy(*response).agg(
         F.count("*").alias("n"))
     counted = stage(
-        polls.join(counts, ["family", "feed_id", "ts"], "left").withColumn(
+        polls.join(counts, response, "left").withColumn(
             "new_count",
             F.when(health.is_ok(), F.coalesce("n", F.lit(0).cast("long")))),
         "polls",
     )
-    state = health.fold_feed_state(counted, lake.read(spark, root, "feed_state"))
-    old_state = lake.active_parts(spark, root, "feed_state")
-    lake.commit(
-        spark, root,
-        add={"items": [lake.write_part(ops.as_item(fresh), root, "items")],
-             "poll_log": [lake.write_part(counted, root, "poll_log")],
-             "feed_state": [lake.write_part(state, root, "feed_state")]},
-        drop={"feed_state": old_state},
-    )
-    return counted
+    state = stage(health.fold_feed_state(counted, store.read(spark, root, "feed_state")), "state")
+    store.append(root, "items", fresh)
+    store.append(root, "poll_log", counted)
+    store.replace(spark, root, "feed_state", state)
+    return counted, broken
 
 
 def log_run(spark: SparkSession, root: str, job: str, at: datetime, event: str, *,
@@ -170,15 +187,10 @@ def log_run(spark: SparkSession, root: str, job: str, at: datetime, event: str,
     """Append a run event and bring the job's health row up to date."""
     seq = int(at.timestamp() * 1_000_000)
     event_row = spark.createDataFrame(
-        [(job, at, seq, event, detail, error)], lake.TABLES["run_log"])
-    now = health.fold_job_health(event_row, lake.read(spark, root, "job_health"))
-    old = lake.active_parts(spark, root, "job_health")
-    lake.commit(
-        spark, root,
-        add={"run_log": [lake.write_part(event_row, root, "run_log")],
-             "job_health": [lake.write_part(now, root, "job_health")]},
-        drop={"job_health": old},
-    )
+        [(job, at, seq, event, detail, error)], store.TABLES["run_log"])
+    now = health.fold_job_health(event_row, store.read(spark, root, "job_health"))
+    store.append(root, "run_log", event_row)
+    store.replace(spark, root, "job_health", now)
 
 
 class RunFailed(RuntimeError):
@@ -199,12 +211,14 @@ def collect_run(
     detail = ""
     try:
         if registries.feeds is not None:
-            lake.replace(spark, root, "meta", sources_meta(registries.feeds))
+            store.replace(spark, root, "meta", sources_meta(registries.feeds))
         with Scratch(spark, "collect") as stage:
-            polls = ingest(spark, root, landed, registries, stage)
-            state = lake.read(spark, root, "feed_state")
-            verdicts = stage(health.family_verdicts(
-                spark, health.pass_summary(polls), state, **rules), "verdicts")
+            polls, broken = ingest(spark, root, landed, registries, stage)
+            if polls is None:
+                polls = spark.createDataFrame([], store.TABLES["poll_log"])
+            state = store.read(spark, root, "feed_state")
+            verdicts = stage(health.mark_errors(health.family_verdicts(
+                spark, health.pass_summary(polls), state, **rules), broken), "verdicts")
             embed_failed = False
             if embed is not None:
                 try:
@@ -212,8 +226,8 @@ def collect_run(
                 except Exception:
                     log.exception("embedding pass failed")
                     embed_failed = True
-            piece = health.embed_verdict(
-                lake.read(spark, root, "items"), has_key=embed is not None, failed=embed_failed)
+            waiting = upkeep.waiting(spark, root, clock_now()).withColumn("embed_pending", F.lit(True))
+            piece = health.embed_verdict(waiting, has_key=embed is not None, failed=embed_failed)
             line = health.run_verdict(verdicts, piece).head()
         detail = line["detail"]
         if line["failed"]:

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from feedlake.functions import text
 from feedlake.functions.text import BLANKS
 from feedlake.operators import embedding as ops
-from feedlake.operators.embedding import PermanentEmbedError
+from feedlake.operators.embedding import ServiceRefused
 from feedlake.plans import tables as t
 from feedlake.plans.catalogue import query
 from feedlake.plans.tables import STORED_SQL, VEC_SQL, load
+from feedlake.session import Scratch
 
 # The stand-in embedder below travels with the plan.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -42,7 +43,7 @@ class HashEmbedder:
     def __call__(self, item_text: str) -> list[float]:
         digest = hashlib.sha1(item_text.encode("utf-8")).hexdigest()
         if digest[0] == "0":
-            raise PermanentEmbedError(f"bad input key={digest[:6]}", code=400)
+            raise ServiceRefused(f"bad input key={digest[:6]}", code=400)
         if digest[0] == "1":
             raise TimeoutError(f"no answer for {digest[:6]}")
         return [int(digest[2 * i:2 * i + 2], 16) / 256.0 for i in range(DIM)]
@@ -50,14 +51,14 @@ class HashEmbedder:
 
 def _outcomes(spark, sf_dir, cap=None):
     queue = ops.pending_queue(_waiting(spark, sf_dir), cap=cap)
-    return queue, ops.embed_outcomes(queue, HashEmbedder, dim=DIM)
+    return queue, ops.embed_outcomes(queue, ops.one_by_one(HashEmbedder), dim=DIM)
 
 
 OUTCOME_SQL = f"""{_WAITING_SQL}, outcomes AS (
   SELECT item_id, expire_at, sha1(input) AS digest,
          CASE WHEN input = '' OR sha1(input)[1] = '0' THEN 'permanent'
               WHEN sha1(input)[1] = '1' THEN 'retryable' ELSE 'ok' END AS outcome,
-         CASE WHEN input = '' THEN 'empty input'
+         CASE WHEN input = '' THEN 'nothing to embed'
               WHEN sha1(input)[1] = '0' THEN 'bad input key=[redacted]'
               WHEN sha1(input)[1] = '1' THEN 'no answer for ' || substr(sha1(input), 1, 6)
               ELSE '' END AS reason FROM waiting)"""
@@ -65,12 +66,20 @@ OUTCOME_SQL = f"""{_WAITING_SQL}, outcomes AS (
 
 @query("embed_queue", f"""
 WITH {_WAITING_SQL}
-SELECT item_id, title, body, expire_at FROM waiting ORDER BY fetched_at, item_id LIMIT 5000""")
+SELECT item_id, title, body, expire_at FROM waiting""")
 def embed_queue(spark, sf_dir):
-    """The queue of one pass, oldest first, capped at the pass limit."""
+    """The whole queue."""
     return ops.pending_queue(_waiting(spark, sf_dir))
 
 
+@query("embed_queue_capped", f"""
+WITH {_WAITING_SQL}
+SELECT item_id, title, body, expire_at FROM waiting ORDER BY fetched_at, item_id LIMIT 100""")
+def embed_queue_capped(spark, sf_dir):
+    """The oldest hundred, for a service that allows no more calls per pass."""
+    return ops.pending_queue(_waiting(spark, sf_dir), cap=100)
+
+
 @query("embed_input", f"""
 SELECT doc_id, trim(trim(split_part(text, chr(10), 1), '{BLANKS}') || ' ' || substr(text, 1, 500),
        '{BLANKS}') AS input FROM documents""")
@@ -107,11 +116,14 @@ SELECT count(*) AS pending, count(*) FILTER (WHERE outcome = 'ok') AS embedded,
        count(*) FILTER (WHERE outcome = 'permanent') AS permanent,
        count(*) FILTER (WHERE outcome = 'retryable') AS retryable FROM outcomes""")
 def embed_pass_stats(spark, sf_dir):
-    """Counts of a pass over the whole queue."""
+    """Counts of a pass over the whole queue, each text sent once: outcomes are stored first."""
     queue, outcomes = _outcomes(spark, sf_dir)
-    saved = ops.vectors_to_save(
-        ops.vector_entries(outcomes, queue), _waiting(spark, sf_dir), t.now())
-    return ops.pass_stats(outcomes, saved)
+    with Scratch(spark, "pass-stats") as stage:
+        outcomes = stage(outcomes, "outcomes")
+        saved = ops.vectors_to_save(
+            ops.vector_entries(outcomes, queue), _waiting(spark, sf_dir), t.now())
+        stats = ops.pass_stats(outcomes, saved)
+        return spark.createDataFrame(stats.collect(), stats.schema)
 
 
 _NOW = f"TIMESTAMP '{t.NOW}'"

@@ -79,26 +79,26 @@ _PAGES_SQL = """counted AS (
 ), flagged AS (
   SELECT *, page = row_number() OVER w - 1 AS in_row,
          page = row_number() OVER w - 1 AND n_rows >= {size} AS is_full
-  FROM counted WHERE page < {cap} WINDOW w AS (PARTITION BY request ORDER BY page)
+  FROM counted WINDOW w AS (PARTITION BY request ORDER BY page)
 ), read AS (
   SELECT *, in_row AND coalesce(bool_and(is_full) OVER (PARTITION BY request ORDER BY page
            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS accepted FROM flagged)"""
 
 
 @query("page_truncation", f"""
-WITH {_PAGES_SQL.format(size=1, cap=3)}
+WITH {_PAGES_SQL.format(size=1)}
 SELECT request, count(*) FILTER (WHERE accepted) AS pages_read,
        CAST(coalesce(sum(n_rows) FILTER (WHERE accepted), 0) AS BIGINT) AS rows_read,
-       count(*) FILTER (WHERE accepted AND is_full) = 3 AS truncated
+       count(*) FILTER (WHERE accepted AND is_full) >= 3 AS truncated
 FROM read GROUP BY request""")
 def page_truncation(spark, sf_dir):
-    """Requests read to the end, to a gap or to the cap of three pages."""
-    read = paging.accepted_pages(t.order_pages(spark, sf_dir), ["request"], cap=3, page_size=1)
-    return paging.page_totals(read, ["request"])
+    """Every request, read to the end or to a gap; cut off if the fetcher stopped at three pages."""
+    read = paging.accepted_pages(t.order_pages(spark, sf_dir), ["request"], page_size=1)
+    return paging.page_totals(read, ["request"], cap=3)
 
 
 @query("page_concat", f"""
-WITH {_PAGES_SQL.format(size=2, cap=100)}
+WITH {_PAGES_SQL.format(size=2)}
 SELECT request, page, n_rows FROM read WHERE accepted""")
 def page_concat(spark, sf_dir):
     """Pages that count: up to and with the first one of fewer than two rows."""
@@ -106,45 +106,67 @@ def page_concat(spark, sf_dir):
     return read.filter("accepted").select("request", "page", "n_rows")
 
 
-def _last_run(spark, sf_dir):
-    """The polls of the last day as one run, and the state after them."""
-    polls = t.event_polls(spark, sf_dir)
-    run = polls.filter(F.col("ts") >= F.lit("2024-01-30").cast("timestamp"))
-    return health.pass_summary(run), health.fold_feed_state(polls)
+@query("page_concat_capped", f"""
+WITH {_PAGES_SQL.format(size=1)}
+SELECT request, page, n_rows FROM read WHERE accepted AND page < 2""")
+def page_concat_capped(spark, sf_dir):
+    """The first two pages at most, on request."""
+    read = paging.accepted_pages(t.order_pages(spark, sf_dir), ["request"], cap=2, page_size=1)
+    return read.filter("accepted").select("request", "page", "n_rows")
+
 
+def _runs(spark, sf_dir):
+    """Every day of the log as a run: summaries, and the streaks as of each."""
+    polls = t.event_polls(spark, sf_dir).withColumn("run", F.to_date("ts"))
+    return health.pass_summary(polls, run="run"), health.streaks_by_run(polls, "run")
 
-_SUMMARY_SQL = f"""{POLL_SQL}, {STATE_SQL}, summary AS (
-  SELECT family, feed_id, CASE WHEN bool_or(NOT ok) THEN -1
+
+_SUMMARY_SQL = f"""{POLL_SQL}, numbered AS (
+  SELECT *, CAST(ts AS DATE) AS run, row_number() OVER (PARTITION BY feed_id ORDER BY ts, seq) AS n
+  FROM poll_ok
+), streaks AS (
+  SELECT run, feed_id, n - coalesce(max(CASE WHEN ok THEN n END) OVER (
+    PARTITION BY feed_id ORDER BY n), 0) AS streak FROM numbered
+  QUALIFY row_number() OVER (PARTITION BY feed_id, run ORDER BY n DESC) = 1
+), summary AS (
+  SELECT run, family, feed_id, CASE WHEN bool_or(NOT ok) THEN -1
          ELSE CAST(coalesce(sum(new_count), 0) AS BIGINT) END AS outcome
-  FROM poll_ok WHERE ts >= TIMESTAMP '2024-01-30' GROUP BY family, feed_id
+  FROM numbered GROUP BY run, family, feed_id
 ), failures AS (
-  SELECT family, feed_id, CASE WHEN coalesce(consecutive_failures, 0) >= 2 THEN 'chronic'
-         ELSE 'new' END AS failure
-  FROM summary LEFT JOIN feed_state USING (feed_id) WHERE outcome = -1)"""
+  SELECT run, family, feed_id, CASE WHEN coalesce(streak, 0) >= 2 THEN 'chronic' ELSE 'new' END AS failure
+  FROM summary LEFT JOIN streaks USING (run, feed_id) WHERE outcome = -1)"""
 
 
-@query("pass_summary", f"WITH {_SUMMARY_SQL} SELECT family, feed_id, outcome FROM summary")
+@query("pass_summary", f"WITH {_SUMMARY_SQL} SELECT run, family, feed_id, outcome FROM summary")
 def pass_summary(spark, sf_dir):
-    """New articles per feed of a run, 0 when unchanged, -1 when failed."""
-    return _last_run(spark, sf_dir)[0]
+    """New articles per run and feed, 0 when unchanged, -1 when failed."""
+    return _runs(spark, sf_dir)[0]
+
+
+@query("streaks_by_run", f"WITH {_SUMMARY_SQL} "
+                         "SELECT run, feed_id, CAST(streak AS BIGINT) AS consecutive_failures FROM streaks")
+def streaks_by_run(spark, sf_dir):
+    """Failures in a row at the end of each run."""
+    return _runs(spark, sf_dir)[1]
 
 
 @query("chronic_split", f"WITH {_SUMMARY_SQL} SELECT * FROM failures")
 def chronic_split(spark, sf_dir):
-    """Failed feeds of the run, split by their streak."""
-    summary, state = _last_run(spark, sf_dir)
-    return health.classify_failures(summary, state, chronic_streak=2)
+    """Failed feeds of each run, split by their streak."""
+    summary, state = _runs(spark, sf_dir)
+    return health.classify_failures(summary, state, chronic_streak=2, run="run")
 
 
 def _verdict_sql(rate: float) -> str:
     return f"""{_SUMMARY_SQL}, counted AS (
-  SELECT rank, n.family, count(s.feed_id) AS attempted,
+  SELECT r.run, rank, n.family, count(s.feed_id) AS attempted,
          count(*) FILTER (WHERE failure = 'chronic') AS chronic,
          count(*) FILTER (WHERE failure = 'new') AS new_failed
-  FROM (VALUES (0, 'rss'), (1, 'naver'), (2, 'fmp'), (3, 'quiet')) n(rank, family)
-  LEFT JOIN summary s ON s.family = n.family
-  LEFT JOIN failures f ON f.family = s.family AND f.feed_id = s.feed_id
-  GROUP BY rank, n.family
+  FROM (SELECT DISTINCT run FROM summary) r
+  CROSS JOIN (VALUES (0, 'rss'), (1, 'naver'), (2, 'fmp'), (3, 'quiet')) n(rank, family)
+  LEFT JOIN summary s ON s.family = n.family AND s.run = r.run
+  LEFT JOIN failures f ON f.family = s.family AND f.feed_id = s.feed_id AND f.run = s.run
+  GROUP BY r.run, rank, n.family
 ), judged AS (
   SELECT *, attempted - chronic AS healthy,
          attempted > chronic AND (new_failed = attempted - chronic OR
@@ -161,9 +183,9 @@ _FAMILIES = ("rss", "naver", "fmp", "quiet")
 @query("systemic_verdict",
        f"WITH {_verdict_sql(0.5)} SELECT * FROM verdicts")
 def systemic_verdict(spark, sf_dir):
-    """Verdict per source family with the default fail rate."""
+    """Verdict per run and source family with the default fail rate."""
     return health.family_verdicts(
-        spark, *_last_run(spark, sf_dir), families=_FAMILIES, chronic_streak=2)
+        spark, *_runs(spark, sf_dir), families=_FAMILIES, chronic_streak=2, run="run")
 
 
 @query("systemic_verdict_strict",
@@ -171,23 +193,24 @@ def systemic_verdict(spark, sf_dir):
 def systemic_verdict_strict(spark, sf_dir):
     """The same with a low fail rate, so that families fail."""
     return health.family_verdicts(
-        spark, *_last_run(spark, sf_dir), families=_FAMILIES, chronic_streak=2, fail_rate=0.2)
+        spark, *_runs(spark, sf_dir), families=_FAMILIES, chronic_streak=2, fail_rate=0.2, run="run")
 
 
 @query("run_verdict", f"""
 WITH {_verdict_sql(0.5)}, pieces AS (
-  SELECT rank, CASE WHEN family = 'naver' THEN 'naver=timeout' ELSE piece END AS piece,
+  SELECT run, rank, CASE WHEN family = 'naver' THEN 'naver=timeout' ELSE piece END AS piece,
          degraded OR family = 'naver' AS degraded FROM verdicts
-  UNION ALL SELECT 99, 'embed=fail(no_key)', true)
-SELECT string_agg(piece, ' ' ORDER BY rank) AS detail, bool_or(degraded) AS failed FROM pieces""")
+  UNION ALL SELECT DISTINCT run, 99, 'embed=fail(no_key)', true FROM verdicts)
+SELECT run, string_agg(piece, ' ' ORDER BY rank) AS detail, bool_or(degraded) AS failed
+FROM pieces GROUP BY run""")
 def run_verdict(spark, sf_dir):
-    """The run's line: one family timed out, and embedding has work but no key."""
+    """Each run's line: one family timed out, and embedding has work but no key."""
     verdicts = health.family_verdicts(
-        spark, *_last_run(spark, sf_dir), families=_FAMILIES, chronic_streak=2)
+        spark, *_runs(spark, sf_dir), families=_FAMILIES, chronic_streak=2, run="run")
     waiting = t.stored_docs(spark, sf_dir).withColumn("embed_pending", F.col("kind") == "story")
     return health.run_verdict(
         health.mark_errors(verdicts, {"naver": "timeout"}),
-        health.embed_verdict(waiting, has_key=False))
+        health.embed_verdict(waiting, has_key=False), run="run")
 
 
 @query("job_health_fold", f"WITH {RUN_SQL} SELECT * FROM health")

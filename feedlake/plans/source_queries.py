@@ -131,41 +131,48 @@ def search_scan(spark, sf_dir):
         "item_id", "feed_id", "source", "url", "title", "published_at")
 
 
-@query("firehose_scan", """
-WITH p AS (
+def firehose_payloads(spark, sf_dir):
+    """part as landed firehose pages: ten part keys to a page, four pages to a request."""
+    parts = t.firehose_parts(spark, sf_dir)
+    key = F.col("row_pos")
+    parts = parts.withColumn("request", F.floor(key / 40)).withColumn(
+        "page", F.floor(key % 40 / 10).cast("int"))
+    entry = F.struct("symbol", "publishedDate", "publisher", "site", "title", "text", "url",
+                     "link", "content", "date", "tickers")
+    # ten part keys share a page, so each list below has at most ten entries
+    return parts.groupBy("endpoint", "request", "page").agg(
+        F.to_json(F.sort_array(F.collect_list(entry))).alias("payload")
+    ).withColumns({"status": F.lit(200), "seq": (F.col("request") * 4 + F.col("page")).cast("long")})
+
+
+FIREHOSE_SQL = """p AS (
   SELECT *, CASE WHEN p_type IN ('ECONOMY', 'PROMO') THEN 'fmp-articles' ELSE 'stock-latest' END
     AS endpoint, p_partkey // 40 AS request, p_partkey % 40 // 10 AS page FROM part
 ), counted AS (
-  SELECT endpoint, request, page, count(*) AS n FROM p GROUP BY ALL
+  SELECT endpoint, request, page, {rows} AS n FROM p GROUP BY endpoint, request, page
 ), flagged AS (
   SELECT *, page = row_number() OVER w - 1 AS in_row,
          page = row_number() OVER w - 1 AND n >= 3 AS is_full
-  FROM counted WHERE page < CASE endpoint WHEN 'fmp-articles' THEN 2 ELSE 100 END
-  WINDOW w AS (PARTITION BY endpoint, request ORDER BY page)
+  FROM counted WINDOW w AS (PARTITION BY endpoint, request ORDER BY page)
 ), read AS (
   SELECT *, in_row AND coalesce(bool_and(is_full) OVER (PARTITION BY endpoint, request
            ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS accepted
-  FROM flagged)
+  FROM flagged)"""
+
+
+@query("firehose_scan", f"""
+WITH {FIREHOSE_SQL.format(rows="count(*)")}
 SELECT p.endpoint, p.request, p.page, count(*) AS articles,
        CAST(sum(p_partkey) AS BIGINT) AS key_sum
 FROM p JOIN read r ON p.endpoint = r.endpoint AND p.request = r.request AND p.page = r.page
 WHERE accepted GROUP BY ALL""")
 def firehose_scan(spark, sf_dir):
     """Firehose pages as JSON text: parsed, cut after the first short page, counted."""
-    parts = t.firehose_parts(spark, sf_dir)
-    key = F.col("row_pos")
-    parts = parts.withColumn("request", F.floor(key / 40)).withColumn(
-        "page", F.floor(key % 40 / 10).cast("int"))
-    entry = F.struct("symbol", "publishedDate", "publisher", "site", "title", "text", "url",
-                     "link", "content", "date", "tickers")
-    # ten part keys share a page, so each list below has at most ten entries
-    landed = parts.groupBy("endpoint", "request", "page").agg(
-        F.to_json(F.sort_array(F.collect_list(entry))).alias("payload")
-    ).withColumn("status", F.lit(200))
-    scanned = payloads.scan_firehose(landed.withColumn("fetched_at", t.now()))
+    scanned = payloads.scan_firehose(
+        firehose_payloads(spark, sf_dir).withColumn("fetched_at", t.now()))
     request = ["endpoint", "request"]
     read = paging.accepted_pages(
-        scanned.select(*request, "page", "n_rows"), request, cap=paging.page_cap(), page_size=3)
+        scanned.select(*request, "page", "n_rows"), request, page_size=3)
     rows = scanned.join(
         read.filter("accepted").select(*request, "page"), [*request, "page"], "left_semi"
     ).select(*request, "page", F.explode("entries").alias("entry"))
@@ -279,14 +286,16 @@ def _store_of_pages(spark, sf_dir):
     return _headlines(spark, sf_dir).join(labels, "row_pos", "left_semi")
 
 
-def _fetched(spark, sf_dir, per_feed):
+def _fetched(spark, sf_dir, per_feed=None):
     selectors = spark.createDataFrame(_SELECTORS, "source string, selector string")
     targets = bodies.body_targets(
         _headlines(spark, sf_dir), _store_of_pages(spark, sf_dir), selectors, per_feed=per_feed)
     return bodies.fetch_bodies(targets, _page_payloads(spark, sf_dir))
 
 
-def _fetched_sql(per_feed: int) -> str:
+def _fetched_sql(per_feed: int | None = None) -> str:
+    limit = "" if per_feed is None else (
+        f"QUALIFY row_number() OVER (PARTITION BY feed_id ORDER BY page_id) <= {per_feed}")
     article = sql_clean(r"regexp_extract(html, '(?s)<article>(.*?)(</article>|\z)', 1)", " ")
     ad = sql_clean(r'''regexp_extract(html, '(?s)<div class="ad">(.*?)(</div>|\z)', 1)''', " ")
     table = ", ".join(f"('{a}', '{b}')" for a, b in _SELECTORS)
@@ -295,7 +304,7 @@ def _fetched_sql(per_feed: int) -> str:
 ), targets AS (
   SELECT a.*, selector FROM art a JOIN (VALUES {table}) v(source, selector) USING (source)
   WHERE page_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)
-  QUALIFY row_number() OVER (PARTITION BY feed_id ORDER BY page_id) <= {per_feed}
+  {limit}
 ), fetched AS (
   SELECT page_id, feed_id, sha1(url) AS item_id, CASE WHEN contains(url, 'page=2') THEN ''
     WHEN length(b) >= 80 THEN b ELSE '' END AS body
@@ -303,15 +312,20 @@ def _fetched_sql(per_feed: int) -> str:
                ELSE '' END AS b FROM targets))"""
 
 
-@query("body_targets", f"WITH {_fetched_sql(C.BODIES_PER_FEED)} "
-                       "SELECT item_id, feed_id FROM fetched")
+@query("body_targets", f"WITH {_fetched_sql()} SELECT item_id, feed_id FROM fetched")
 def body_targets(spark, sf_dir):
-    """Articles whose page is fetched: the first ten new ones per feed."""
-    return _fetched(spark, sf_dir, C.BODIES_PER_FEED).select("item_id", "feed_id")
+    """Articles whose page is asked for: all new ones of listed sources."""
+    return _fetched(spark, sf_dir).select("item_id", "feed_id")
+
+
+@query("body_targets_capped", f"WITH {_fetched_sql(2)} SELECT item_id, feed_id FROM fetched")
+def body_targets_capped(spark, sf_dir):
+    """The first two per feed, for sites that ration calls."""
+    return _fetched(spark, sf_dir, 2).select("item_id", "feed_id")
 
 
 @query("body_enrich", f"""
-WITH {_fetched_sql(C.BODIES_PER_FEED)}
+WITH {_fetched_sql()}
 SELECT sha1(s.url) AS item_id, coalesce(f.body, '') AS body
 FROM search s LEFT JOIN fetched f USING (page_id)""")
 def body_enrich(spark, sf_dir):
@@ -323,12 +337,12 @@ def body_enrich(spark, sf_dir):
 
 
 @query("empty_body_rate", f"""
-WITH {_fetched_sql(C.BODIES_PER_FEED)}
+WITH {_fetched_sql()}
 SELECT feed_id, count(*) AS targets, count(*) FILTER (WHERE body = '') AS empty,
        round(count(*) FILTER (WHERE body = '') / count(*), 6) AS rate,
        count(*) FILTER (WHERE body = '') / count(*) >= 0.5 AS alert
 FROM fetched GROUP BY feed_id""")
 def empty_body_rate(spark, sf_dir):
     """Share of fetched pages per feed that gave no body."""
-    rates = bodies.empty_body_rate(_fetched(spark, sf_dir, C.BODIES_PER_FEED))
+    rates = bodies.empty_body_rate(_fetched(spark, sf_dir))
     return rates.withColumn("rate", F.round("rate", 6))

@@ -1,38 +1,50 @@
-"""Catalogue: the streaming forms, run over the given tables until all is read."""
+"""Catalogue: the streaming forms, run over the given tables until all is read.
+
+The input lands in several parts, each of which becomes a micro-batch. Input and checkpoint go
+away when the stream has ended; the tables that it wrote are the result and stay.
+"""
+
+from pyspark.sql import functions as F
 
 from feedlake.plans import health_queries  # noqa: F401  (its SQL is reused)
 from feedlake.plans import tables as t
 from feedlake.plans.catalogue import ORACLE_SQL, query
 from feedlake.plans.tables import DOC_SQL, sql_kind
-from feedlake.session import scratch_path
+from feedlake.session import Scratch, scratch_path
+from feedlake.sources import store
 from feedlake.streaming import ingest
 
+BATCHES = 3
+
 
-def _stream(spark, sf_dir, name):
-    """Stream over a given table. As a pattern, its path may be one file or a folder."""
-    schema = t.load(spark, sf_dir, name).schema
-    return ingest.stream_files(spark, f"{sf_dir}/{name}.parque[t]", schema)
+def _run(spark, sf_dir, name, order, shape, start):
+    """The table ``name`` landed in BATCHES parts by ``order``, each streamed before the next lands."""
+    target = scratch_path(spark, f"stream-{name}")
+    rows = t.load(spark, sf_dir, name)
+    place = F.col(order).cast("double")
+    shares = [k / BATCHES for k in range(1, BATCHES)]
+    cuts = rows.select(place.alias("place")).approxQuantile("place", shares, 0.01)
+    part = sum((F.when(place > cut, 1).otherwise(0) for cut in cuts), F.lit(0))
+    with Scratch(spark, "stream-input") as job:
+        for k in range(BATCHES):
+            rows.filter(part == k).write.mode("append").parquet(f"{job.path}/in")
+            source = ingest.stream_files(spark, f"{job.path}/in", rows.schema)
+            start(shape(source), target, f"{job.path}/checkpoint").awaitTermination()
+    return target
 
 
 @query("stream_insert", f"""
 WITH {DOC_SQL}
-SELECT item_id, doc_id, fetched_at, {sql_kind("title")} AS kind FROM doc
+SELECT item_id, feed_id, fetched_at, {sql_kind("title")} AS kind FROM doc
 QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY doc_id) = 1""")
 def stream_insert(spark, sf_dir):
     """Documents streamed into an empty store, batch by batch."""
-    base = scratch_path(spark, "stream-insert")
-    source = _stream(spark, sf_dir, "documents")
-    q = ingest.stream_insert(t.doc_items_of(source), f"{base}/items", f"{base}/checkpoint")
-    q.awaitTermination()
-    stored = spark.read.parquet(f"{base}/items")
-    return stored.select("item_id", "doc_id", "fetched_at", "kind")
+    root = _run(spark, sf_dir, "documents", "doc_id", t.doc_items_of, ingest.stream_insert)
+    return store.read(spark, root, "items").select("item_id", "feed_id", "fetched_at", "kind")
 
 
 @query("stream_feed_state", ORACLE_SQL["feed_state_fold"])
 def stream_feed_state(spark, sf_dir):
-    """Feed state after the event log streamed through."""
-    base = scratch_path(spark, "stream-state")
-    source = _stream(spark, sf_dir, "events")
-    q = ingest.stream_feed_state(t.event_polls_of(source), f"{base}/state", f"{base}/checkpoint")
-    q.awaitTermination()
-    return ingest.read_snapshot(spark, f"{base}/state")
+    """Feed state after the event log streamed through, in order of time."""
+    target = _run(spark, sf_dir, "events", "ts", t.event_polls_of, ingest.stream_feed_state)
+    return ingest.read_snapshot(spark, target)

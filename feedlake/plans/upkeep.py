@@ -9,78 +9,93 @@ from feedlake import constants as C
 from feedlake.operators import embedding as emb
 from feedlake.operators import items as ops
 from feedlake.session import Scratch
-from feedlake.sources import lake
+from feedlake.sources import store
 
 
-def _parts_with(spark, root, table, ids: DataFrame) -> DataFrame:
-    """Parts of a table that hold any of the ids; only the key column is read."""
-    rows = lake.read_parts(spark, root, table, lake.active_parts(spark, root, table))
-    return rows.select("item_id", "_part").join(ids.select("item_id").distinct(), "item_id",
-                                                "left_semi")
+def waiting(spark: SparkSession, root: str, now: datetime, *,
+            min_life: timedelta = C.MIN_LIFE) -> DataFrame:
+    """Ids that still want a vector, derived from the tables: no article row carries a state.
+
+    Stories that live on, without a vector of the current contract and without a refusal of
+    it. So a change of the contract queues everything again by itself.
+    """
+    items, vectors, failures = (
+        store.read(spark, root, name) for name in ("items", "item_vectors", "embed_failures"))
+    unset = items.withColumn("embed_pending", F.lit(None).cast("boolean"))
+    ids = emb.unembedded(unset, vectors, now, min_life=min_life)
+    refused = failures.filter(emb.is_current_contract()).select("item_id")
+    return ids.join(refused, "item_id", "left_anti")
 
 
 def embed_pass(
-    spark: SparkSession, root: str, make_embedder, now: datetime, *,
-    cap: int | None = C.EMBED_CAP, **calls,
+    spark: SparkSession, root: str, make_embedder, now: datetime, *, cap: int | None = None,
+    min_life: timedelta = C.MIN_LIFE, **calls,
 ) -> dict:
-    """One pass over the queue: pending, embedded, permanent and retryable counts.
+    """One pass over all that waits: pending, embedded, permanent and retryable counts.
 
     Outcomes are stored before anything else: the calls are not repeated, and a set-up
-    fault stops the pass with no table changed. Vectors and flags are published together.
+    fault stops the pass with no table changed. A pass appends vectors and refusals and
+    writes no article. ``cap`` limits a pass to the oldest so many.
     """
-    items = lake.read(spark, root, "items")
+    items = store.read(spark, root, "items")
     with Scratch(spark, "embed") as stage:
-        queue = stage(emb.pending_queue(items, cap=cap), "queue")
-        if queue.isEmpty():
-            return {"pending": 0, "embedded": 0, "permanent": 0, "retryable": 0}
+        ids = waiting(spark, root, now, min_life=min_life)
+        asked = items.join(ids, "item_id", "left_semi").withColumn("embed_pending", F.lit(True))
+        queue = stage(emb.pending_queue(asked, cap=cap), "queue")
         outcomes = stage(emb.embed_outcomes(queue, make_embedder, **calls), "outcomes")
         emb.raise_if_fatal(outcomes)
         saved = stage(
             emb.vectors_to_save(emb.vector_entries(outcomes, queue), items, now), "vectors")
-        done = saved.select("item_id").unionByName(
-            outcomes.filter(F.col("outcome") == "permanent").select("item_id"))
-        flags = lake.rewrite(
-            spark, root, "items", _parts_with(spark, root, "items", done),
-            lambda rows: emb.set_pending(rows, done, False))
-        # vectors of an older contract give way; usually none are, and nothing is rewritten
-        replaced = lake.rewrite(
-            spark, root, "item_vectors", _parts_with(spark, root, "item_vectors", saved),
-            lambda rows: rows.join(saved.select("item_id"), "item_id", "left_anti"))
-        added = {"add": {"item_vectors": [lake.write_part(saved, root, "item_vectors")]}}
-        lake.commit_all(spark, root, flags, replaced, added)
+        refused = outcomes.filter(F.col("outcome") == "permanent").select(
+            "item_id", F.lit(C.EMBED_MODEL).alias("embed_model"),
+            F.lit(C.EMBED_TASK_TYPE).alias("embed_task_type"), "reason",
+            F.lit(now).cast("timestamp").alias("failed_at"))
+        store.append(root, "item_vectors", saved)
+        store.append(root, "embed_failures", refused)
         return emb.pass_stats(outcomes, saved).head().asDict()
 
 
-def mark_pending(
-    spark: SparkSession, root: str, now: datetime, *, min_life: timedelta = C.MIN_LIFE
-) -> int:
-    """Queue stories without a current vector; returns how many. A second call finds none."""
-    items, vectors = lake.read(spark, root, "items"), lake.read(spark, root, "item_vectors")
-    with Scratch(spark, "mark") as stage:
-        ids = stage(emb.unembedded(items, vectors, now, min_life=min_life), "ids")
-        lake.commit_all(spark, root, lake.rewrite(
-            spark, root, "items", _parts_with(spark, root, "items", ids),
-            lambda rows: emb.set_pending(rows, ids, True)))
-        return ids.count()
-
-
 def drain(
-    spark: SparkSession, root: str, make_embedder, now: datetime, *,
-    cap: int | None = C.EMBED_CAP, stall_rounds: int = C.STALL_ROUNDS, **calls,
+    spark: SparkSession, root: str, make_embedder, now: datetime, *, cap: int | None = None,
+    patience: int = C.STALL_ROUNDS, **calls,
 ) -> dict:
-    """Embedding passes until the queue is empty, or no progress ``stall_rounds`` times running."""
-    totals = {"embedded": 0, "permanent": 0, "stalled": False}
-    idle = 0
-    while True:
-        stats = embed_pass(spark, root, make_embedder, now, cap=cap, **calls)
-        if stats["pending"] == 0:
-            return totals
-        progress = stats["embedded"] + stats["permanent"]
-        totals["embedded"] += stats["embedded"]
-        totals["permanent"] += stats["permanent"]
-        idle = 0 if progress else idle + 1
-        if idle >= stall_rounds:
-            return {**totals, "stalled": True}
+    """Passes until nothing waits; stalled if the last ``patience`` passes settled nothing.
+
+    Without a cap the first pass takes everything, and later ones only what may be retried.
+    """
+    settled: list[dict] = []
+    stalled = False
+    while not stalled:
+        result = embed_pass(spark, root, make_embedder, now, cap=cap, **calls)
+        if not result["pending"]:
+            break
+        settled.append({name: result[name] for name in ("embedded", "permanent")})
+        recent = settled[-patience:]
+        stalled = len(recent) == patience and not any(sum(s.values()) for s in recent)
+    sums = {name: sum(s[name] for s in settled) for name in ("embedded", "permanent")}
+    return {**sums, "stalled": stalled}
+
+
+def _days_of(rows: DataFrame, ids: DataFrame) -> list:
+    """Days that hold any of the ids: as many as the retention has at most."""
+    hit = rows.select("item_id", store.DAY).join(ids.select("item_id"), "item_id", "left_semi")
+    return [r[0] for r in hit.select(store.DAY).distinct().collect()]
+
+
+def drop_stale_vectors(spark: SparkSession, root: str) -> None:
+    """After a re-embedding, remove the vectors of other contracts."""
+    vectors = store.read(spark, root, "item_vectors")
+    _keep(spark, root, "item_vectors", vectors, emb.is_current_contract())
+
+
+def _keep(spark: SparkSession, root: str, table: str, rows: DataFrame, kept) -> None:
+    """Leave only the rows that satisfy ``kept``: days without one go, mixed days are rewritten."""
+    by_day = rows.groupBy(store.DAY).agg(
+        F.count("*").alias("n"), F.count_if(kept).alias("kept")).filter("kept < n").collect()
+    mixed = [r[store.DAY] for r in by_day if r["kept"]]
+    if mixed:
+        store.overwrite_days(root, table, store.on_days(rows, mixed).filter(kept))
+    store.drop_days(spark, root, table, [r[store.DAY] for r in by_day if not r["kept"]])
 
 
 def recompute_retention(
@@ -88,41 +103,27 @@ def recompute_retention(
 ) -> dict:
     """Bring expire_at of articles and their vectors in line with ``ttl``; returns counts.
 
-    Recomputed from fetched_at and not added to, so a second run changes nothing. Only
-    parts with a wrong row are rewritten; both tables change in one commit.
+    Recomputed from fetched_at and not added to, so a second run changes nothing, and a run
+    that died between the tables is finished by the next. Only days with a wrong row are
+    rewritten, vectors first: an article is wrong until its own day is done.
     """
-    items, vectors = lake.read(spark, root, "items"), lake.read(spark, root, "item_vectors")
+    items, vectors = store.read(spark, root, "items"), store.read(spark, root, "item_vectors")
     stats = ops.retention_stats(items, vectors, ttl=ttl).head().asDict()
     if dry_run or not stats["items_updated"]:
         return stats
     with Scratch(spark, "retention") as stage:
         targets = stage(ops.retention_targets(items, ttl=ttl), "targets")
-
-        def new_expiry(rows: DataFrame) -> DataFrame:
-            return rows.join(targets, "item_id", "left").withColumn(
-                "expire_at", F.coalesce("new_expire", "expire_at")).drop("new_expire")
-
-        lake.commit_all(spark, root, *[
-            lake.rewrite(spark, root, table, _parts_with(spark, root, table, targets), new_expiry)
-            for table in ("items", "item_vectors")])
+        for table, rows in (("item_vectors", vectors), ("items", items)):
+            days = _days_of(rows, targets)
+            if days:
+                store.overwrite_days(root, table, store.on_days(rows, days).join(
+                    targets, "item_id", "left").withColumn(
+                        "expire_at", F.coalesce("new_expire", "expire_at")))
     return stats
 
 
 def purge(spark: SparkSession, root: str, now: datetime) -> None:
-    """Drop expired articles and vectors; parts without an expired row stay as they are."""
-    changes = []
+    """Remove expired articles and vectors with their files."""
     for table in ("items", "item_vectors"):
-        rows = lake.read_parts(spark, root, table, lake.active_parts(spark, root, table))
-        expired = rows.filter(F.col("expire_at") <= F.lit(now)).select("_part")
-        changes.append(lake.rewrite(
-            spark, root, table, expired, lambda part: ops.purge_expired(part, now)))
-    lake.commit_all(spark, root, *changes)
-
-
-def compact(spark: SparkSession, root: str, table: str, parts: list[str] | None = None) -> None:
-    """Join parts (all by default, or a month's worth of runs) into one; rows stay the same."""
-    parts = parts or lake.active_parts(spark, root, table)
-    if len(parts) > 1:
-        merged = lake.read_parts(spark, root, table, parts)
-        lake.commit(spark, root, add={table: [lake.write_part(merged, root, table)]},
-                    drop={table: parts})
+        alive = F.col("expire_at").isNull() | (F.col("expire_at") > F.lit(now))
+        _keep(spark, root, table, store.read(spark, root, table), alive)

@@ -24,7 +24,7 @@ ITEM_FIELDS = (
     "published_at timestamp, fetched_at timestamp"
 )
 # An article as mapped from a source, with the position that decides "first wins".
-MAPPED_ITEM = _schema(f"{ITEM_FIELDS}, family string, feed_pos long, row_pos long")
+MAPPED_ITEM = _schema(f"{ITEM_FIELDS}, family string, feed_pos long, seq long, row_pos long")
 # An article as stored.
 ITEM = _schema(f"{ITEM_FIELDS}, kind string, expire_at timestamp, embed_pending boolean")
 
@@ -32,6 +32,9 @@ VECTOR = _schema(
     "item_id string, vector array<double>, embed_model string, embed_task_type string, "
     "embedded_at timestamp, expire_at timestamp"
 )
+EMBED_FAILURE = _schema(
+    "item_id string, embed_model string, embed_task_type string, reason string, failed_at timestamp"
+)
 EMBED_RESULT = _schema("item_id string, outcome string, vector array<double>, reason string")
 
 FEED_STATE = _schema(

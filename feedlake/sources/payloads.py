@@ -112,7 +112,7 @@ def _entry_rows(scanned: DataFrame, *keys: str) -> DataFrame:
 
 def feed_rows(scanned: DataFrame) -> DataFrame:
     """One row per entry of a successful response, with its position."""
-    return _entry_rows(scanned, "feed_id", "fetched_at")
+    return _entry_rows(scanned, "feed_id", "fetched_at", "seq")
 
 
 def scan_search(payloads: DataFrame) -> DataFrame:
@@ -130,7 +130,7 @@ def scan_search(payloads: DataFrame) -> DataFrame:
 
 
 def search_rows(scanned: DataFrame) -> DataFrame:
-    return _entry_rows(scanned, "q", "fetched_at")
+    return _entry_rows(scanned, "q", "fetched_at", "seq")
 
 
 def scan_firehose(payloads: DataFrame) -> DataFrame:
@@ -150,7 +150,7 @@ def scan_firehose(payloads: DataFrame) -> DataFrame:
 
 
 def firehose_rows(scanned: DataFrame) -> DataFrame:
-    return _entry_rows(scanned, "endpoint", "page", "fetched_at")
+    return _entry_rows(scanned, "endpoint", "page", "fetched_at", "seq")
 
 
 def _ddl(fields: str) -> str:

@@ -1,8 +1,7 @@
-"""Registries: YAML files of a few hundred rows, checked on the driver when loaded.
+"""Registries: hand-written YAML files, and the same checks for registries kept in tables.
 
-The file is configuration written by hand, so its size is bounded and the DataFrames
-made from it may be broadcast. The same checks exist as DataFrame operations for
-registries kept in tables.
+A file becomes a table as it is, with every field as text; the checks are DataFrame operations, whose
+findings are put together before anything is refused.
 """
 
 from pathlib import Path
@@ -15,76 +14,76 @@ from feedlake import constants as C
 from feedlake import schemas
 from feedlake.functions.text import strip
 
-_FEED_DEFAULTS = {
-    "asset_hint": "", "language": "en", "body_mode": "summary",
-    "tz_offset": None, "tier": "wire",
-}
-_FEED_REQUIRED = ("feed_id", "url", "source")
+#: Value of a field that a feed leaves out; fields that are not here must be given.
+FEED_DEFAULTS = {"asset_hint": "", "language": "en", "body_mode": "summary", "tz_offset": None, "tier": "wire"}
 
 
 class RegistryError(ValueError):
-    """The registry file breaks its contract."""
+    """The registry breaks its contract; the message lists all faults."""
 
 
-def _read_yaml(path) -> dict:
-    return yaml.safe_load(Path(path).read_text(encoding="utf-8")) or {}
+def _entries(path, name: str) -> tuple[list, dict]:
+    """The list of that name in a file, and what else stands there."""
+    whole = yaml.safe_load(Path(path).read_text(encoding="utf-8")) or {}
+    rest = {key: value for key, value in whole.items() if key != name}
+    return whole.get(name) or [], rest
 
 
-def _check_feed(row: dict) -> dict:
-    unknown = sorted(set(row) - set(_FEED_DEFAULTS) - set(_FEED_REQUIRED))
-    if unknown:
-        raise RegistryError(f"unknown registry keys: {unknown}")
-    missing = [k for k in _FEED_REQUIRED if row.get(k) is None]
-    if missing:
-        raise RegistryError(f"missing registry keys: {missing}")
-    full = {**_FEED_DEFAULTS, **row}
-    for key, domain in (("body_mode", C.BODY_MODES), ("tier", C.TIERS)):
-        if full[key] not in domain:
-            raise RegistryError(f"{key} must be one of {domain}: {full[key]!r}")
-    if full["tz_offset"] is not None:
-        full["tz_offset"] = float(full["tz_offset"])
-    return full
+def _refuse(faults: list[str]) -> None:
+    if faults:
+        raise RegistryError("; ".join(faults))
+
+
+def _feed_faults(entries: list[dict]) -> list[str]:
+    """Fields that a feed has too many or too few."""
+    fields = {f.name for f in schemas.FEED_REGISTRY} - {"feed_pos"}
+    needed = fields - FEED_DEFAULTS.keys()
+    faults = []
+    for at, entry in enumerate(entries):
+        given = {key for key, value in entry.items() if value is not None}
+        for what, names in (("does not know", entry.keys() - fields), ("lacks", needed - given)):
+            if names:
+                faults.append(f"feed {at} {what} {', '.join(sorted(names))}")
+    return faults
 
 
 def load_feeds(spark: SparkSession, path) -> DataFrame:
-    """RSS registry; unknown keys, bad domains and duplicate ids are errors."""
-    rows = [_check_feed(r) for r in _read_yaml(path).get("feeds") or []]
-    ids = [r["feed_id"] for r in rows]
-    dups = sorted({i for i in ids if ids.count(i) > 1})
-    if dups:
-        raise RegistryError(f"duplicate feed_id in registry: {dups}")
-    fields = [f.name for f in schemas.FEED_REGISTRY if f.name != "feed_pos"]
-    data = [tuple(r[f] for f in fields) + (pos,) for pos, r in enumerate(rows)]
-    return spark.createDataFrame(data, schemas.FEED_REGISTRY)
+    """RSS registry; unknown or missing fields, values out of bounds and repeated ids are refused."""
+    entries, _ = _entries(path, "feeds")
+    _refuse(_feed_faults(entries))
+    table = spark.createDataFrame(
+        [({**FEED_DEFAULTS, **{k: None if v is None else str(v) for k, v in e.items()}}, at)
+         for at, e in enumerate(entries)], "entry map<string,string>, feed_pos long")
+    feeds = table.select(*[
+        F.col("feed_pos") if f.name == "feed_pos" else F.col("entry")[f.name].cast(f.dataType).alias(f.name)
+        for f in schemas.FEED_REGISTRY])
+    repeated = sorted(r["feed_id"] for r in duplicate_feeds(feeds).collect())
+    odd = invalid_feeds(feeds).select("feed_id", "body_mode", "tier").collect()
+    _refuse(([f"repeated: {repeated}"] if repeated else [])
+            + [f"{r['feed_id']} has body_mode {r['body_mode']} and tier {r['tier']}" for r in odd])
+    return feeds
+
+
+def _load(spark: SparkSession, path, name: str, schema, row) -> tuple[DataFrame, dict]:
+    """Entries of a file as ``row(entry)`` with their place, and its settings; none is refused."""
+    entries, settings = _entries(path, name)
+    _refuse([] if entries else [f"no {name} in the registry"])
+    return spark.createDataFrame([(*row(e), at) for at, e in enumerate(entries)], schema), settings
 
 
 def load_searches(spark: SparkSession, path) -> tuple[DataFrame, dict]:
-    """Search registry and its settings; no query at all is an error.
-
-    A blank query stays in the frame; ``usable_searches`` sets it aside.
-    """
-    data = _read_yaml(path)
-    queries = data.get("queries") or []
-    if not queries:
-        raise RegistryError("search registry has no queries")
-    rows = [(r.get("q"), (r.get("asset_hint") or "").strip(), i) for i, r in enumerate(queries)]
-    settings = {"display": int(data.get("display", C.SEARCH_DISPLAY))}
-    return spark.createDataFrame(rows, schemas.SEARCH_REGISTRY), settings
+    """Search registry and its settings. A blank query stays; ``usable_searches`` sets it aside."""
+    searches, settings = _load(spark, path, "queries", schemas.SEARCH_REGISTRY,
+                               lambda e: (e.get("q"), str(e.get("asset_hint") or "").strip()))
+    return searches, {"display": int(settings.get("display", C.SEARCH_DISPLAY))}
 
 
 def load_firehose(spark: SparkSession, path) -> tuple[DataFrame, dict]:
-    """Firehose endpoints and settings; no endpoint at all is an error."""
-    data = _read_yaml(path)
-    endpoints = data.get("endpoints") or []
-    if not endpoints:
-        raise RegistryError("firehose registry has no endpoints")
-    hours = {
-        key: None if data.get(key) is None else int(data[key])
-        for key in ("blackout_start_hour", "blackout_end_hour")
-    }
-    settings = {"lookback_days": int(data.get("lookback_days", C.LOOKBACK_DAYS)), **hours}
-    rows = [(e, i) for i, e in enumerate(endpoints)]
-    return spark.createDataFrame(rows, schemas.FIREHOSE_REGISTRY), settings
+    """Firehose endpoints and settings: lookback, and hours of the blackout if there is one."""
+    endpoints, settings = _load(spark, path, "endpoints", schemas.FIREHOSE_REGISTRY, lambda e: (e,))
+    wanted = {"lookback_days": C.LOOKBACK_DAYS, "blackout_start_hour": None, "blackout_end_hour": None}
+    given = {k: settings[k] for k in wanted if settings.get(k) is not None}
+    return endpoints, {k: v if v is None else int(v) for k, v in {**wanted, **given}.items()}
 
 
 def usable_searches(searches: DataFrame) -> DataFrame:

@@ -1,16 +1,17 @@
 """Micro-batch forms. Both give after the last batch what the batch operators give at once.
 
 Late and repeated rows need no watermark: every batch is compared with the stored table,
-so the horizon of de-duplication is the retention period. Each batch writes one part named
-by its batch id; a batch that is run again replaces its own part.
+so the horizon of de-duplication is the retention period, and rows of the batch job count
+as stored too. States are one snapshot per batch; a batch that is run again replaces its own.
 """
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedlake.operators import health, items as ops
+from feedlake.session import Scratch
+from feedlake.sources import store
 
 
 def stream_files(spark: SparkSession, path: str, schema: T.StructType, *,
@@ -22,28 +23,18 @@ def stream_files(spark: SparkSession, path: str, schema: T.StructType, *,
     return reader.parquet(path)
 
 
-def _earlier(spark, path, batch_id, schema) -> DataFrame:
-    """Rows written by the batches before this one."""
-    try:
-        df = spark.read.schema(schema).option("basePath", path).parquet(f"{path}/batch=*")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-    return df.filter(F.col("batch") < batch_id).drop("batch")
+def stream_insert(articles: DataFrame, root: str, checkpoint: str, *, trigger=None):
+    """Insert-if-absent of streamed articles into the stored ``items`` below ``root``.
 
-
-def stream_insert(articles: DataFrame, target: str, checkpoint: str, *, trigger=None):
-    """Insert-if-absent of streamed articles into the table folder ``target``.
-
-    A rerun of a batch sees only earlier batches as stored and overwrites its own part, so
-    every article is stored exactly once.
+    The batch is stored once and read from there. A batch that is run again finds its own
+    rows stored, so every article is stored exactly once.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        schema = ops.stamp(batch.limit(0)).schema
-        fresh = ops.insert_if_absent(batch, _earlier(spark, target, batch_id, schema))
-        fresh.select(schema.names).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        with Scratch(spark, "stream-batch") as stage:
+            rows = stage(batch, "batch")
+            fresh = ops.insert_rescanned(rows, store.read(spark, root, "items"))
+            store.append(root, "items", stage(ops.as_item(fresh), "fresh"))
 
     return (
         articles.writeStream.foreachBatch(write)

@@ -41,7 +41,7 @@ def items(spark):
 
     defaults = dict(
         item_id="i", feed_id="f1", source="S", asset_hint="", language="en", url="", title="t", body="b",
-        symbol="", published_at=None, fetched_at=NOW, family="rss", feed_pos=0)
+        symbol="", published_at=None, fetched_at=NOW, family="rss", feed_pos=0, seq=0)
 
     def make(*rows):
         full = [{**defaults, "row_pos": i, **r} for i, r in enumerate(rows)]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from conftest import NOW
 from feedlake.operators import embedding as emb
 from feedlake.operators import items as ops
-from feedlake.operators.embedding import PermanentEmbedError
+from feedlake.operators.embedding import ServiceRefused
 from feedlake.schemas import ITEM, VECTOR
 
 
@@ -28,14 +28,17 @@ class Scripted:
         if "transient" in text:
             raise TimeoutError("slow ?key=SECRET-1&x")
         if "refused" in text:
-            raise PermanentEmbedError("bad key=SECRET-2 input", code=400)
+            raise ServiceRefused("bad key=SECRET-2 input", code=400)
         if "denied" in text:
-            raise PermanentEmbedError("who?", code=401)
+            raise ServiceRefused("who?", code=401)
         if "short" in text:
             return [0.1] * 10
         return [0.5] * 768
 
 
+LISTS = emb.one_by_one(Scripted)
+
+
 @pytest.fixture
 def stories(items):
     def make(*titles, **more):
@@ -56,33 +59,73 @@ def test_outcomes(stories):
     queue = emb.pending_queue(stories("good", "transient", "refused", ""))
     queue = queue.withColumn("body", F.when(F.col("title") != "", F.col("body")))
     got = {r["item_id"]: r for r in emb.embed_outcomes(
-        queue, Scripted, concurrency=4, partitions=2).collect()}
+        queue, LISTS, concurrency=4, per_call=1, partitions=2).collect()}
     assert {k: r["outcome"] for k, r in got.items()} == {
         "i0": "ok", "i1": "retryable", "i2": "permanent", "i3": "permanent"}
     assert len(got["i0"]["vector"]) == 768 and got["i1"]["vector"] is None
     assert got["i1"]["reason"] == "slow ?key=[redacted]&x"
     assert got["i2"]["reason"] == "bad key=[redacted] input"
-    assert got["i3"]["reason"] == "empty input"
+    assert got["i3"]["reason"] == "nothing to embed"
 
 
 @pytest.mark.parametrize("title, reason", [
-    ("denied", "who"), ("short", "dim 10 != 768")])
+    ("denied", "who"), ("short", "10 numbers, 768 expected")])
 def test_setup_faults_abort(stories, title, reason):
-    outcomes = emb.embed_outcomes(emb.pending_queue(stories("good", title)), Scripted)
-    with pytest.raises(emb.EmbeddingAborted, match=reason):
+    outcomes = emb.embed_outcomes(emb.pending_queue(stories("good", title)), LISTS)
+    with pytest.raises(emb.SetupFault, match=reason):
         emb.raise_if_fatal(outcomes)
 
 
+class Counting:
+    """Writes down every text that it is sent."""
+
+    def __init__(self, path):
+        self.path = path
+
+    def __call__(self, texts):
+        with open(self.path, "a") as log:
+            log.writelines(f"{t}\n" for t in texts)
+        for text in texts:
+            yield ServiceRefused("who?", code=403) if "denied" in text else [0.5] * 768
+
+
+def test_each_text_is_sent_once(stories, tmp_path):
+    path = str(tmp_path / "sent")
+    queue = emb.pending_queue(stories(*[f"title {n}" for n in range(40)])).coalesce(2)
+    assert emb.embed_outcomes(queue, lambda: Counting(path), per_call=7).filter("outcome = 'ok'").count() == 40
+    sent = open(path).read().split("\n")[:-1]
+    assert len(sent) == len(set(sent)) == 40
+
+
+def test_nothing_is_sent_after_a_fatal_answer(stories, tmp_path):
+    path = str(tmp_path / "sent")
+    queue = emb.pending_queue(stories("denied", *[f"title {n}" for n in range(60)])).coalesce(1).sort("item_id")
+    got = emb.embed_outcomes(queue, lambda: Counting(path), per_call=5).collect()
+    outcomes = [r["outcome"] for r in got]
+    assert len(got) == 61 and outcomes.count("fatal") == 1
+    assert [r["reason"] for r in got].count("not sent") == outcomes.count("retryable") == 60
+    assert len(open(path).read().split("\n")[:-1]) == 5  # the first list alone
+
+
+def test_a_call_that_fails_whole_may_be_retried(stories):
+    def broken(texts):
+        raise TimeoutError("slow ?key=SECRET-1&x")
+
+    got = emb.embed_outcomes(emb.pending_queue(stories("a", "b")), lambda: broken).collect()
+    assert {(r["outcome"], r["reason"]) for r in got} == {("retryable", "slow ?key=[redacted]&x")}
+
+
 def test_embedding_input_is_cut(spark, items):
     queue = emb.pending_queue(ops.stamp(items({"item_id": "a", "title": "T", "body": "x" * 900})))
-    seen = emb.embed_outcomes(queue, lambda: (lambda text: [float(len(text))]), dim=1).head()
+    seen = emb.embed_outcomes(
+        queue, lambda: (lambda texts: [[float(len(t))] for t in texts]), dim=1).head()
     assert seen["vector"] == [502.0]
 
 
 def test_save_vectors(stories, spark):
     held = stories("m", "k")
     queue = emb.pending_queue(held)
-    entries = emb.vector_entries(emb.embed_outcomes(queue, Scripted), queue)
+    entries = emb.vector_entries(emb.embed_outcomes(queue, LISTS), queue)
     saved = emb.vectors_to_save(entries, held.filter("item_id = 'i1'"), NOW)
     row = saved.collect()
     assert len(row) == 1 and row[0]["item_id"] == "i1"

@@ -1,6 +1,7 @@
 """Folds of poll and run logs, and the verdicts of a run."""
 
 import random
+import re
 from datetime import timedelta
 
 import pytest
@@ -83,9 +84,9 @@ def fold_by_hand(rows):
     return {f: (s["etag"], s["ok"], s["n"], s["err"], s["err_at"]) for f, s in state.items()}
 
 
-@pytest.mark.parametrize("slices", [1, 32, 63])
-def test_fold_equals_row_by_row(spark, slices):
-    rng = random.Random(slices)
+@pytest.mark.parametrize("seed", [1, 32, 63])
+def test_fold_equals_row_by_row(spark, seed):
+    rng = random.Random(seed)
     rows = []
     for seq in range(4000):
         feed = "hot" if rng.random() < 0.4 else f"f{rng.randrange(60)}"
@@ -103,22 +104,47 @@ def test_fold_equals_row_by_row(spark, slices):
         return {r["feed_id"]: (r["etag"], r["last_success"], r["consecutive_failures"],
                                r["last_error"], r["last_error_at"]) for r in state.collect()}
 
-    assert got(health.fold_feed_state(df, slices=slices)) == fold_by_hand(rows)
+    assert got(health.fold_feed_state(df)) == fold_by_hand(rows)
     middle = F.lit(naive(NOW + timedelta(minutes=250)))
-    prior = health.fold_feed_state(df.filter(F.col("ts") < middle), slices=slices)
-    both = health.fold_feed_state(df.filter(F.col("ts") >= middle), prior, slices=slices)
+    prior = health.fold_feed_state(df.filter(F.col("ts") < middle))
+    both = health.fold_feed_state(df.filter(F.col("ts") >= middle), prior)
     assert got(both) == fold_by_hand(rows)
 
 
-def test_fold_has_no_window_and_splits_the_feed(polls, spark):
+def test_fold_reads_the_log_once_and_splits_the_feed(polls, spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = health.fold_feed_state(polls(("f", 0, 500)))._jdf.queryExecution().executedPlan()
         text = plan.toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "Window" not in text and "partial_max" in text
-    assert "_slice" in text.split("SortMergeJoin")[1].split("\n")[0]
+    assert "Window" not in text and "Join" not in text
+    assert re.search(r"hashpartitioning\(feed_id#\d+, hour#\d+", text)
+
+
+def test_a_hot_feed_meets_more_tasks_as_its_log_grows(spark):
+    def groups(n_hours):
+        rows = [("rss", "hot" if n % 3 else f"f{n}", NOW + timedelta(minutes=n * 20), n, 500, True,
+                 None, None, 0, None) for n in range(n_hours * 3)]
+        df = spark.createDataFrame(rows, POLL_LOG)
+        state = states(health.fold_feed_state(df))
+        assert state["hot"]["consecutive_failures"] == n_hours * 2
+        return df.filter("feed_id = 'hot'").select(F.date_trunc("hour", "ts")).distinct().count()
+
+    assert groups(40) > groups(10)
+
+
+def test_streaks_by_run_are_those_of_a_fold_up_to_the_run(spark):
+    rng = random.Random(3)
+    rows = [("rss", f"f{rng.randrange(4)}", naive(NOW + timedelta(hours=rng.randrange(200))), seq,
+             rng.choice([200, 500, 500, 304]), True, None, None, 0, None) for seq in range(300)]
+    polls = spark.createDataFrame(rows, POLL_LOG).withColumn("run", F.to_date("ts"))
+    got = {}
+    for r in health.streaks_by_run(polls, "run").collect():
+        got.setdefault(r["run"], {})[r["feed_id"]] = r["consecutive_failures"]
+    for run, streaks in got.items():
+        whole = states(health.fold_feed_state(polls.filter(F.col("run") <= run)))
+        assert streaks == {f: whole[f]["consecutive_failures"] for f in streaks}
 
 
 def test_prior_without_new_polls(spark, polls):

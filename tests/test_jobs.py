@@ -1,8 +1,9 @@
-"""Whole runs over a table folder: collect, embed, re-embed, retention, purge."""
+"""Whole runs over stored tables: collect, embed, re-embed, retention, purge."""
 
 import json
 import sys
 from datetime import timedelta
+from pathlib import Path
 
 import pytest
 from pyspark import cloudpickle
@@ -12,10 +13,10 @@ from conftest import NOW
 from feedlake import schemas
 from feedlake.operators import embedding as emb
 from feedlake.operators import items as ops
-from feedlake.operators.embedding import PermanentEmbedError
+from feedlake.operators.embedding import ServiceRefused
 from feedlake.plans import collect, upkeep
 from feedlake.session import Scratch
-from feedlake.sources import lake
+from feedlake.sources import store
 
 
 def rss(*links):
@@ -55,7 +56,9 @@ def ingest(spark, root, registries):
     """Ingest a run and return what was logged for it."""
     def run(landed):
         with Scratch(spark, "test") as stage:
-            return outcomes(collect.ingest(spark, root, landed, registries, stage))
+            polls, broken = collect.ingest(spark, root, landed, registries, stage)
+            assert broken == {}
+            return outcomes(polls)
 
     return run
 
@@ -78,19 +81,20 @@ def test_two_collect_runs(spark, root, ingest, landed):
                                          {"title": "own", "originallink": "https://e/q"}]})],
         firehose=[("stock-latest", 0, 200, [row(1), row(2)]),
                   ("stock-latest", 1, 200, [row(3), row("a")]),
-                  ("stock-latest", 2, 200, [row("beyond the cap")]),
+                  ("stock-latest", 2, 200, [row("beyond the fetcher's stop")]),
                   ("fmp-articles", 0, 200, [{"title": "m", "link": "https://e/m"}] * 2)])
     got = ingest(first)
     assert got == {
         "f0": (200, True, 2, None), "f1": (304, False, 0, None), "f2": (200, False, None, None),
         "naver:q1": (200, True, 1, None), "fmp:fmp-articles": (200, True, 1, None),
-        "fmp:stock-latest": (200, True, 3, "truncated at page cap")}
-    stored = {r["url"]: r["feed_id"] for r in lake.read(spark, root, "items").collect()}
+        "fmp:stock-latest": (200, True, 4, "truncated at page cap")}
+    stored = {r["url"]: r["feed_id"] for r in store.read(spark, root, "items").collect()}
     assert stored == {
         "https://e/a": "f0", "https://e/b": "f0", "https://e/q": "naver:q1",
         "https://e/1": "fmp:stock-latest", "https://e/2": "fmp:stock-latest",
-        "https://e/3": "fmp:stock-latest", "https://e/m": "fmp:fmp-articles"}
-    state = {r["feed_id"]: r for r in lake.read(spark, root, "feed_state").collect()}
+        "https://e/3": "fmp:stock-latest", "https://e/beyond the fetcher's stop": "fmp:stock-latest",
+        "https://e/m": "fmp:fmp-articles"}
+    state = {r["feed_id"]: r for r in store.read(spark, root, "feed_state").collect()}
     assert state["f0"]["etag"] == "e0" and state["f2"]["etag"] is None
     assert state["f2"]["consecutive_failures"] == 1
     assert state["fmp:stock-latest"]["last_error"] == "truncated at page cap"
@@ -106,13 +110,38 @@ def test_two_collect_runs(spark, root, ingest, landed):
         "f0": (500, False, None, None), "f2": (200, True, 1, None),
         "naver:q1": (200, True, 0, None), "fmp:fmp-articles": (200, True, 0, None),
         "fmp:stock-latest": (500, False, None, None)}
-    items = lake.read(spark, root, "items")
-    assert items.count() == 8 and items.select("item_id").distinct().count() == 8
-    state = {r["feed_id"]: r for r in lake.read(spark, root, "feed_state").collect()}
+    items = store.read(spark, root, "items")
+    assert items.count() == 9 and items.select("item_id").distinct().count() == 9
+    state = {r["feed_id"]: r for r in store.read(spark, root, "feed_state").collect()}
     assert state["f0"]["etag"] == "e0" and state["f0"]["consecutive_failures"] == 1
     assert state["f2"]["consecutive_failures"] == 0 and state["f2"]["etag"] == "e2"
     assert state["f1"]["last_success"] == NOW.replace(tzinfo=None)
-    assert lake.read(spark, root, "poll_log").count() == 11
+    assert store.read(spark, root, "poll_log").count() == 11
+
+
+def test_two_responses_at_one_time_count_once_each(spark, root, ingest, landed):
+    got = landed(NOW, feeds=[("f0", 200, None, rss("a", "b")), ("f0", 200, None, rss("b", "c"))])
+    ingest(got)
+    polls = store.read(spark, root, "poll_log").orderBy("seq").collect()
+    assert [(r["feed_id"], r["new_count"]) for r in polls] == [("f0", 2), ("f0", 1)]
+
+
+def test_a_page_landed_twice_is_its_last_good_response(spark, root, ingest, landed):
+    run = landed(NOW, firehose=[
+        ("stock-latest", 0, 500, None), ("stock-latest", 0, 200, [row(1)]), ("stock-latest", 0, 503, None),
+        ("stock-latest", 1, 200, [row("beyond a short page")])])
+    assert ingest(run) == {"fmp:stock-latest": (200, True, 1, None)}
+    assert [r["url"] for r in store.read(spark, root, "items").collect()] == ["https://e/1"]
+
+
+def test_a_broken_family_leaves_the_others(spark, root, registries, landed):
+    ticks = iter(NOW + timedelta(seconds=s) for s in range(100))
+    run = landed(NOW, feeds=[("f0", 200, None, rss("a"))], searches=[("q1", 200, {"items": []})])
+    run.searches = run.searches.withColumn("status", F.raise_error(F.lit("unreadable")).cast("int"))
+    with pytest.raises(collect.RunFailed, match="rss=ok naver=error fmp=ok embed=ok"):
+        collect.collect_run(spark, root, run, registries, clock_now=lambda: next(ticks), embed=lambda: None)
+    assert [r["url"] for r in store.read(spark, root, "items").collect()] == ["https://e/a"]
+    assert [r["feed_id"] for r in store.read(spark, root, "poll_log").collect()] == ["f0"]
 
 
 def test_blackout_leaves_no_trace(spark, root, ingest, landed):
@@ -120,7 +149,7 @@ def test_blackout_leaves_no_trace(spark, root, ingest, landed):
     run = landed(night, feeds=[("f0", 200, None, rss("a"))],
                  firehose=[("stock-latest", 0, 200, [row(1)])])
     assert set(ingest(run)) == {"f0"}
-    assert lake.read(spark, root, "feed_state").count() == 1
+    assert store.read(spark, root, "feed_state").count() == 1
 
 
 def test_run_verdict_and_health(spark, root, registries, landed):
@@ -130,17 +159,17 @@ def test_run_verdict_and_health(spark, root, registries, landed):
     line = collect.collect_run(spark, root, good, registries, clock_now=lambda: next(ticks),
                                embed=lambda: calls.append(1))
     assert line == "rss=ok naver=ok fmp=ok embed=ok" and calls == [1]
-    health = lake.read(spark, root, "job_health").head()
+    health = store.read(spark, root, "job_health").head()
     assert (health["last_status"], health["detail"]) == ("ok", line)
-    assert lake.read(spark, root, "meta").head()["sources"] == ["S0", "S1", "S2"]
+    assert store.read(spark, root, "meta").head()["sources"] == ["S0", "S1", "S2"]
 
     bad = landed(NOW + timedelta(minutes=15), feeds=[("f0", 500, None, None), ("f1", 500, None, None)])
     with pytest.raises(collect.RunFailed, match=r"rss=fail\(2/2\) .*embed=fail\(no_key\)"):
         collect.collect_run(spark, root, bad, registries, clock_now=lambda: next(ticks))
-    health = lake.read(spark, root, "job_health").collect()
+    health = store.read(spark, root, "job_health").collect()
     assert len(health) == 1 and health[0]["last_status"] == "fail"
     assert "| ERROR: rss=fail(2/2)" in health[0]["detail"]
-    assert lake.read(spark, root, "run_log").count() == 4
+    assert store.read(spark, root, "run_log").count() == 4
 
 
 # --- embedding over stored tables ------------------------------------------
@@ -153,103 +182,115 @@ class Scripted:
         if "beta" in text:
             raise TimeoutError("later")
         if "gamma" in text:
-            raise PermanentEmbedError("bad", code=400)
+            raise ServiceRefused("bad", code=400)
         if "denied" in text:
-            raise PermanentEmbedError("who?", code=403)
+            raise ServiceRefused("who?", code=403)
         return [0.1] * 4
 
 
 CALLS = {"dim": 4}
+EMBEDDER = emb.one_by_one(Scripted)
 
 
-def store(spark, root, items, *titles):
+def keep(spark, root, items, *titles):
     for n, title in enumerate(titles):
-        lake.append(spark, root, "items", ops.as_item(ops.stamp(
-            items({"item_id": title, "title": title, "fetched_at": NOW + timedelta(minutes=n)}))))
+        store.append(root, "items", ops.as_item(ops.stamp(
+            items({"item_id": title, "title": title, "fetched_at": NOW + timedelta(days=n)}))))
+
 
+def waiting(spark, root):
+    return {r["item_id"] for r in upkeep.waiting(spark, root, NOW).collect()}
 
-def flags(spark, root):
-    return {r["item_id"]: r["embed_pending"] for r in lake.read(spark, root, "items").collect()}
 
+def files(root, table):
+    return {p: p.stat().st_mtime_ns for p in Path(root, table).rglob("*.parquet")}
 
-def test_embed_pass(spark, root, items):
-    store(spark, root, items, "alpha", "beta", "gamma")
-    stored = lake.read_parts(spark, root, "items", lake.active_parts(spark, root, "items"))
-    untouched = [r["_part"] for r in stored.filter("item_id = 'beta'").collect()]
-    stats = upkeep.embed_pass(spark, root, Scripted, NOW, **CALLS)
+
+def test_embed_pass_writes_no_article(spark, root, items):
+    keep(spark, root, items, "alpha", "beta", "gamma")
+    before = files(root, "items")
+    stats = upkeep.embed_pass(spark, root, EMBEDDER, NOW, **CALLS)
     assert stats == {"pending": 3, "embedded": 1, "permanent": 1, "retryable": 1}
-    assert flags(spark, root) == {"alpha": None, "beta": True, "gamma": None}
-    vectors = lake.read(spark, root, "item_vectors").collect()
-    assert [v["item_id"] for v in vectors] == ["alpha"]
-    assert set(untouched) <= set(lake.active_parts(spark, root, "items"))
-    assert upkeep.embed_pass(spark, root, Scripted, NOW, **CALLS) == {
+    assert waiting(spark, root) == {"beta"}
+    assert [v["item_id"] for v in store.read(spark, root, "item_vectors").collect()] == ["alpha"]
+    assert files(root, "items") == before
+    assert upkeep.embed_pass(spark, root, EMBEDDER, NOW, **CALLS) == {
         "pending": 1, "embedded": 0, "permanent": 0, "retryable": 1}
 
 
 def test_cap_empty_queue_and_abort(spark, root, items):
-    assert upkeep.embed_pass(spark, root, Scripted, NOW, **CALLS)["pending"] == 0
-    store(spark, root, items, "a", "b", "denied")
-    assert upkeep.embed_pass(spark, root, Scripted, NOW, cap=2, **CALLS)["embedded"] == 2
-    before = (lake.active_parts(spark, root, "items"), lake.active_parts(spark, root, "item_vectors"))
-    with pytest.raises(emb.EmbeddingAborted):
-        upkeep.embed_pass(spark, root, Scripted, NOW, **CALLS)
-    assert before == (lake.active_parts(spark, root, "items"),
-                      lake.active_parts(spark, root, "item_vectors"))
+    assert upkeep.embed_pass(spark, root, EMBEDDER, NOW, **CALLS)["pending"] == 0
+    keep(spark, root, items, "a", "b", "denied")
+    assert upkeep.embed_pass(spark, root, EMBEDDER, NOW, cap=2, **CALLS)["embedded"] == 2
+    with pytest.raises(emb.SetupFault):
+        upkeep.embed_pass(spark, root, EMBEDDER, NOW, **CALLS)
+    assert waiting(spark, root) == {"denied"}
+    assert store.read(spark, root, "item_vectors").count() == 2
 
 
 def test_drain(spark, root, items):
-    store(spark, root, items, "a", "b", "c")
-    assert upkeep.drain(spark, root, Scripted, NOW, cap=2, **CALLS) == {
+    keep(spark, root, items, "a", "b", "c")
+    assert upkeep.drain(spark, root, EMBEDDER, NOW, cap=2, **CALLS) == {
         "embedded": 3, "permanent": 0, "stalled": False}
-    store(spark, root, items, "beta")
-    assert upkeep.drain(spark, root, Scripted, NOW, **CALLS) == {
+    keep(spark, root, items, "beta")
+    assert upkeep.drain(spark, root, EMBEDDER, NOW, **CALLS) == {
         "embedded": 0, "permanent": 0, "stalled": True}
-    assert flags(spark, root)["beta"] is True
+    assert waiting(spark, root) == {"beta"}
 
 
 def test_contract_change_embeds_again(spark, root, items):
-    store(spark, root, items, "a", "b")
-    upkeep.drain(spark, root, Scripted, NOW, **CALLS)
-    assert upkeep.mark_pending(spark, root, NOW) == 0
-    old = lake.read(spark, root, "item_vectors").withColumn(
+    keep(spark, root, items, "a", "b")
+    upkeep.drain(spark, root, EMBEDDER, NOW, **CALLS)
+    assert waiting(spark, root) == set()
+    old = store.read(spark, root, "item_vectors").withColumn(
         "embed_task_type", F.when(F.col("item_id") == "a", "OLD").otherwise(F.col("embed_task_type")))
-    lake.replace(spark, root, "item_vectors", old)
-    assert upkeep.mark_pending(spark, root, NOW) == 1
-    assert upkeep.mark_pending(spark, root, NOW) == 0
-    later = NOW + timedelta(hours=1)
-    assert upkeep.drain(spark, root, Scripted, later, **CALLS)["embedded"] == 1
-    vectors = lake.read(spark, root, "item_vectors")
+    store.overwrite_days(root, "item_vectors", old)
+    assert waiting(spark, root) == {"a"}
+    assert upkeep.drain(spark, root, EMBEDDER, NOW + timedelta(days=1), **CALLS)["embedded"] == 1
+    upkeep.drop_stale_vectors(spark, root)
+    vectors = store.read(spark, root, "item_vectors")
     assert vectors.count() == 2 and vectors.filter("embed_task_type = 'OLD'").count() == 0
+    assert waiting(spark, root) == set()
 
 
 def test_retention_and_purge(spark, root, items):
-    store(spark, root, items, "a", "b")
-    upkeep.drain(spark, root, Scripted, NOW, **CALLS)
+    keep(spark, root, items, "a", "b")
+    upkeep.drain(spark, root, EMBEDDER, NOW, **CALLS)
     short = timedelta(days=60)
     stats = upkeep.recompute_retention(spark, root, ttl=short, dry_run=True)
     assert (stats["items_updated"], stats["vectors_updated"]) == (2, 2)
     day60 = NOW + short
     upkeep.purge(spark, root, day60)
-    assert lake.read(spark, root, "items").count() == 2
+    assert store.read(spark, root, "items").count() == 2
     assert upkeep.recompute_retention(spark, root, ttl=short)["items_updated"] == 2
     again = upkeep.recompute_retention(spark, root, ttl=short)
     assert (again["items_updated"], again["vectors_updated"], again["already_ok"]) == (0, 0, 2)
+    before = files(root, "items")
+    upkeep.purge(spark, root, day60)
+    assert [r["item_id"] for r in store.read(spark, root, "items").collect()] == ["b"]
+    assert [r["item_id"] for r in store.read(spark, root, "item_vectors").collect()] == ["b"]
+    left = files(root, "items")
+    assert len(left) < len(before) and left.items() <= before.items()  # gone, and the rest untouched
     upkeep.purge(spark, root, day60)
-    assert [r["item_id"] for r in lake.read(spark, root, "items").collect()] == ["b"]
-    assert [r["item_id"] for r in lake.read(spark, root, "item_vectors").collect()] == ["b"]
+    assert files(root, "items") == left
 
 
-def test_uncommitted_parts_are_invisible(spark, root, items):
-    store(spark, root, items, "a")
-    lake.write_part(ops.as_item(ops.stamp(items({"item_id": "lost"}))), root, "items")
-    assert set(flags(spark, root)) == {"a"}
+def test_a_day_is_rewritten_only_where_rows_change(spark, root, items):
+    both = ops.as_item(ops.stamp(items({"item_id": "x"}, {"item_id": "y"}))).withColumn(
+        "expire_at", F.when(F.col("item_id") == "x", F.lit(NOW)).otherwise(F.col("expire_at")))
+    store.append(root, "items", both)
+    keep(spark, root, items, "other", "day")
+    upkeep.purge(spark, root, NOW)
+    assert {r["item_id"] for r in store.read(spark, root, "items").collect()} == {"y", "other", "day"}
 
 
 def test_compact(spark, root, items):
-    store(spark, root, items, "a", "b", "c")
-    upkeep.compact(spark, root, "items")
-    assert len(lake.active_parts(spark, root, "items")) == 1
-    assert set(flags(spark, root)) == {"a", "b", "c"}
+    for n in range(3):
+        store.append(root, "items", ops.as_item(ops.stamp(items({"item_id": f"k{n}"}))))
+    rows = store.read(spark, root, "items")
+    store.compact(spark, root, "items", [rows.head()["day"]])
+    assert len(files(root, "items")) == 1
+    assert store.read(spark, root, "items").count() == 3
 
 
 def test_bodies_are_filled_before_the_insert(spark, root, registries, landed):
@@ -260,5 +301,5 @@ def test_bodies_are_filled_before_the_insert(spark, root, registries, landed):
     registries.selectors = spark.createDataFrame([("S0", "article")], "source string, selector string")
     with Scratch(spark, "test") as stage:
         collect.ingest(spark, root, run, registries, stage)
-    got = {r["url"]: len(r["body"]) > 80 for r in lake.read(spark, root, "items").collect()}
+    got = {r["url"]: len(r["body"]) > 80 for r in store.read(spark, root, "items").collect()}
     assert got == {"https://e/a": True, "https://e/b": False, "https://e/c": False}

@@ -174,11 +174,13 @@ def test_page_verdict(spark):
             ("short", 0, 250), ("short", 1, 3), ("short", 2, 250),
             ("gap", 0, 250), ("gap", 2, 250), ("late", 1, 250), ("none", 0, 0)]
     pages = spark.createDataFrame(rows, "endpoint string, page int, n_rows long")
-    read = paging.accepted_pages(pages, ["endpoint"], cap=2)
+    read = paging.accepted_pages(pages, ["endpoint"])
     got = {r["endpoint"]: (r["pages_read"], r["rows_read"], r["truncated"])
-           for r in paging.page_totals(read, ["endpoint"]).collect()}
-    assert got == {"full": (2, 500, True), "short": (2, 253, False), "gap": (1, 250, False),
-                   "late": (0, 0, False)}
+           for r in paging.page_totals(read, ["endpoint"], cap=2).collect()}
+    assert got == {"full": (3, 750, True), "short": (2, 253, False), "gap": (1, 250, False),
+                   "late": (0, 0, False), "none": (0, 0, False)}
+    capped = paging.accepted_pages(pages, ["endpoint"], cap=2).filter("accepted")
+    assert capped.filter("endpoint = 'full'").count() == 2
 
 
 def test_truncation_note(spark):
@@ -227,13 +229,3 @@ def test_other_registries(spark, tmp_path):
     endpoints, settings = registry.load_firehose(spark, path)
     assert endpoints.count() == 2
     assert settings == {"lookback_days": 3, "blackout_start_hour": 7, "blackout_end_hour": None}
-
-
-def test_only_small_sides_are_broadcast(spark):
-    from feedlake.operators.spread import if_small
-
-    def hinted(limit):
-        joined = spark.range(10).join(if_small(spark.range(5), limit), "id")
-        return "ResolvedHint" in joined._jdf.queryExecution().analyzed().toString()
-
-    assert hinted(5) and not hinted(4)
