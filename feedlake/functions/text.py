@@ -16,13 +16,12 @@ BLANKS = (
 _ODD_BLANK = r"(?U)[\s\x{1c}-\x{1f}&&[^ ]]"
 
 # One pass over comments, elements whose text nobody reads, and tags. Possessive
-# quantifiers and the bounded attribute count keep the regex engine from backtracking
-# or recursing deeply on hostile pages. A construct left open runs to the end.
+# quantifiers keep the regex engine from backtracking on hostile pages. A construct left open runs to the end.
 _MARKUP = (
     r"(?is)<(?:!--.*?(?:-->|\z)"
     r"|(script|style|template|rt|rp)\b[^>]*+>.*?(?:</\1\s*+>|\z)"
     r"|[a-z/!?][^>=]*+"
-    r"""(?>=\s*+(?:"[^"]*+"|'[^']*+')?+[^>=]*+){0,200}+"""
+    r"""(?>=\s*+(?:"[^"]*+"|'[^']*+')?+[^>=]*+)*+"""
     r"[^>]*+(?:>|\z))"
 )
 
@@ -77,7 +76,7 @@ def decode_entities(c) -> Column:
     named = _named_entities()
 
     def numeric(part: Column) -> Column:
-        token = F.regexp_extract(part, r"^#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6})", 1)
+        token = F.regexp_extract(part, r"^#(0*[0-9]{1,7}|[xX]0*[0-9a-fA-F]{1,6})", 1)
         is_hex = F.lower(token).startswith("x")
         cp = F.when(is_hex, F.conv(F.substr(token, F.lit(2)), 16, 10)).otherwise(
             nonempty(token)

@@ -141,8 +141,15 @@ def overdue(last, now, *, period_seconds: int = C.PERIOD_SECONDS, market_data: b
     )
 
 
-def card_freshness(latest: DataFrame, *, card: str = "card", last: str = "last_fetched") -> DataFrame:
-    """Per card the oldest of its collections' latest times; one empty one empties the card."""
+def card_freshness(
+    latest: DataFrame, cards: DataFrame | None = None, *, card: str = "card", last: str = "last_fetched",
+) -> DataFrame:
+    """Per card the oldest of its collections' latest times; one empty one empties the card.
+
+    ``cards`` lists the cards there are; one without a collection is empty too.
+    """
+    if cards is not None:
+        latest = cards.select(card).distinct().join(latest, card, "left")
     empty = F.max(F.col(last).isNull())
     return latest.groupBy(card).agg(
         F.when(~empty, F.min(last)).alias("last_fetched"), empty.alias("any_empty")

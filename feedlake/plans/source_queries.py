@@ -100,6 +100,30 @@ def notafeed_guard(spark, sf_dir):
         "seq", "is_feed", F.size("entries").alias("entries"))
 
 
+@query("broken_feeds", """
+SELECT doc_id AS seq, doc_id % 3 <> 2 AS is_feed, CASE doc_id % 3 WHEN 0 THEN 2 WHEN 1 THEN 3 ELSE 0 END AS entries,
+       CASE doc_id % 3 WHEN 0 THEN 'https://e/' || doc_id || '/2' WHEN 1 THEN 'https://e/' || doc_id || '/3' END
+         AS last_link FROM documents""")
+def broken_feeds(spark, sf_dir):
+    """Documents as feeds cut in their third item, left unclosed, or block pages with items."""
+    doc = load(spark, sf_dir, "documents")
+    ident = F.col("doc_id").cast("string")
+    item = lambda n: F.concat(
+        F.lit("<item><title>a &nbsp; b</title><link>https://e/"), ident, F.lit(f"/{n}</link></item>"))
+    two = F.concat(item(1), item(2))
+    head = F.lit('<rss version="2.0"><channel><title>c</title>')
+    payload = (
+        F.when(F.col("doc_id") % 3 == 0, F.concat(head, two, F.lit("<item><title>lost</title><li")))
+        .when(F.col("doc_id") % 3 == 1, F.concat(head, two, item(3), F.lit("</channel>")))
+        .otherwise(F.concat(F.lit("<!DOCTYPE html><html><body>blocked"), two, F.lit("<p></body>"))))
+    landed = doc.select(
+        F.col("doc_id").alias("seq"), F.lit("f").alias("feed_id"), t.now().alias("fetched_at"),
+        F.lit(200).alias("status"), payload.alias("payload"))
+    return payloads.scan_feeds(landed).select(
+        "seq", "is_feed", F.size("entries").alias("entries"),
+        F.try_element_at("entries", F.lit(-1))["link"].alias("last_link"))
+
+
 @query("dropped_entries", """
 SELECT 'feed-en' AS feed_id, count(*) AS dropped FROM documents WHERE lang = 'en'
 HAVING count(*) > 0""")

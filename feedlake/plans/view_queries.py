@@ -203,9 +203,10 @@ SELECT card, CASE WHEN NOT bool_or(last_at IS NULL) THEN min(last_at) END AS las
        bool_or(last_at IS NULL) AS any_empty FROM last GROUP BY card
 UNION ALL
 SELECT event_type, min(last_at), false FROM (
-  SELECT event_type, user_id % 10, max(ts) AS last_at FROM events GROUP BY ALL) GROUP BY event_type""")
+  SELECT event_type, user_id % 10, max(ts) AS last_at FROM events GROUP BY ALL) GROUP BY event_type
+UNION ALL SELECT DISTINCT 'priority ' || o_orderpriority, NULL, true FROM orders""")
 def card_freshness(spark, sf_dir):
-    """Cards over customer segments, some without events, and over event types."""
+    """Cards over customer segments, some without events, over event types, and without any collection."""
     events = load(spark, sf_dir, "events")
     per_user = events.groupBy(F.col("user_id").alias("c_custkey")).agg(F.max("ts").alias("ts"))
     segments = load(spark, sf_dir, "customer").join(per_user, "c_custkey", "left").groupBy(
@@ -213,8 +214,10 @@ def card_freshness(spark, sf_dir):
     types = events.groupBy(
         F.col("event_type").alias("card"), (F.col("user_id") % 10).alias("part")
     ).agg(F.max("ts").alias("last_fetched"))
-    return views.card_freshness(
-        segments.select("card", "last_fetched").unionByName(types.select("card", "last_fetched")))
+    latest = segments.select("card", "last_fetched").unionByName(types.select("card", "last_fetched"))
+    bare = load(spark, sf_dir, "orders").select(
+        F.concat(F.lit("priority "), "o_orderpriority").alias("card"))
+    return views.card_freshness(latest, latest.select("card").unionByName(bare))
 
 
 _BOARD_SQL = f"""{RUN_SQL}, {STORED_SQL}, jobs AS (

@@ -1,9 +1,13 @@
 """Session settings and the shared scratch folder."""
 
+import logging
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+log = logging.getLogger("feedlake.session")
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # Zone-less parquet clocks are instants on the UTC clock; without a cast in between,
@@ -21,9 +25,10 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
         try:
             spark.conf.set(key, value)
-        except Exception:  # a setting this Spark version does not know or allow
+        except AnalysisException as e:  # one that this Spark fixes at its start
             if key == "spark.sql.session.timeZone":
                 raise
+            log.warning("%s stays as it is: %s", key, e)
     return spark
 
 

@@ -27,6 +27,9 @@ _DOCUMENT = (
 _ROOT = r"(?s)^\s*(?:<\?.*?\?>|<!--.*?-->|<!DOCTYPE[^>]*>|\s)*<([A-Za-z_][\w:.-]*)"
 # Root elements of RSS, Atom and RDF feeds.
 FEED_ROOTS = ("rss", "feed", "rdf:rdf")
+# A whole item or entry, which a cut or unclosed document may still hold.
+_BLOCK = r"(?s)<(item|entry)(?:\s[^>]*)?>(?:(?!<\1[\s>]).)*?</\1>"
+_BLOCK_ROWS = f"struct<item:{_ITEM},entry:{_ENTRY},_corrupt_record:string>"
 # A bare ampersand or an HTML entity, which XML does not know.
 _LOOSE_AMP = r"&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#[xX][0-9a-fA-F]+);)"
 
@@ -74,8 +77,10 @@ def scan_feeds(payloads: DataFrame) -> DataFrame:
     """RSS, Atom and RDF bodies to ``entries`` and the not-a-feed guard ``is_feed``.
 
     A body that is not well-formed gets a second reading with its loose ampersands
-    escaped, the usual fault of feeds. No entry and either no readable XML or an
-    unknown root means the response was not a feed.
+    escaped, the usual fault of feeds. If that fails too, whole items and entries are cut
+    out of a body with a feed's root and read one by one, so a cut document keeps what
+    came through. No entry and either no readable XML or an unknown root means the
+    response was not a feed.
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
     parsed = _once(payloads, "_first", F.from_xml("payload", _DOCUMENT, options))
@@ -83,7 +88,17 @@ def scan_feeds(payloads: DataFrame) -> DataFrame:
     repaired = F.when(broken, F.regexp_replace("payload", _LOOSE_AMP, "&amp;"))
     parsed = _once(parsed, "_again", F.from_xml(repaired, _DOCUMENT, options))
     doc = F.when(broken, F.col("_again")).otherwise(F.col("_first"))
+    known_root = F.lower(F.regexp_extract("payload", _ROOT, 1)).isin(*FEED_ROOTS)
+    lost = broken & F.col("_again._corrupt_record").isNotNull() & known_root
+    blocks = F.when(lost, F.regexp_extract_all(
+        F.regexp_replace("payload", _LOOSE_AMP, "&amp;"), F.lit(_BLOCK), F.lit(0)))
+    read = F.transform(blocks, lambda block: F.from_xml(
+        F.concat(F.lit("<block>"), block, F.lit("</block>")), _BLOCK_ROWS, options))
+    parsed = _once(parsed, "_blocks", F.filter(read, lambda b: b["_corrupt_record"].isNull()))
+    saved = F.transform("_blocks", lambda b: F.when(
+        b["entry"].isNotNull(), _atom_entry(b["entry"])).otherwise(_rss_entry(b["item"])))
     entries = F.coalesce(
+        F.when(F.size("_blocks") > 0, saved),
         F.transform(doc["channel"]["item"], _rss_entry),
         F.transform(doc["item"], _rss_entry),
         F.transform(doc["entry"], _atom_entry),
@@ -92,7 +107,6 @@ def scan_feeds(payloads: DataFrame) -> DataFrame:
             "content:string,published:string,updated:string>>"
         ),
     )
-    known_root = F.lower(F.regexp_extract("payload", _ROOT, 1)).isin(*FEED_ROOTS)
     readable = F.coalesce(known_root & doc["_corrupt_record"].isNull(), F.lit(False))
     scanned = _once(parsed, "_scan", F.struct(entries.alias("entries"), readable.alias("readable")))
     return scanned.select(
