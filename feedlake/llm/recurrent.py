@@ -42,7 +42,9 @@ LANES, WINDOW, GRADIENT_EVERY = 256, 32, 4
 STRETCH = 8 * WINDOW
 ROUNDS, RATE, CLIP = 2, 0.01, 5.0
 #: Words that wait to be dealt to the lanes, and distinct ones counted before they are sent on.
-HELD_WORDS, COUNTED_WORDS = 1 << 20, 300_000
+HELD_WORDS, COUNTED_WORDS = 1 << 21, 300_000
+#: Steps whose outputs are computed together in scoring.
+OUTPUT_ROWS = 1 << 16
 ADDED = 0.1
 END, OTHER = 0, 1
 
@@ -184,31 +186,34 @@ def first_weights(counts: np.ndarray, classes: Classes) -> Weights:
                    small(len(counts), STATE) * 0.1, np.log(chance).astype(np.float32))
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (np.tanh(0.5 * x) + 1)
-
-
 def run_window(w: Weights, state: np.ndarray, read: np.ndarray, fresh: np.ndarray) -> dict:
-    """States of one window; ``fresh`` marks where a lane begins a document."""
+    """States of one window; ``fresh`` marks where a lane begins a document.
+
+    Inside, lanes are the last axis, so that each gate is one stretch of memory. What comes
+    out by step and lane is ``hidden``; the rest is kept for the gradients.
+    """
     steps, lanes = read.shape
-    gates = w.into[read]
-    states = np.empty((steps + 1, lanes, STATE), np.float32)
-    before = np.empty((steps, lanes, STATE), np.float32)
-    turned = np.empty((steps, lanes, STATE), np.float32)
-    states[0] = state
-    keep = (~fresh)[:, :, None].astype(np.float32)
+    s = STATE
+    gates = np.ascontiguousarray(w.into[read].transpose(0, 2, 1))
+    hidden, before, turned = (np.empty((steps, s, lanes), np.float32) for _ in range(3))
+    keep, on_rows = (~fresh).astype(np.float32), np.ascontiguousarray(w.on.T)
+    h = state.T
     for t in range(steps):
-        h = np.multiply(states[t], keep[t], out=before[t])
-        on = h @ w.on
-        gate = gates[t]
-        gate[:, :2 * STATE] += on[:, :2 * STATE]
-        gate[:, :2 * STATE] = _sigmoid(gate[:, :2 * STATE])
-        turned[t] = on[:, 2 * STATE:]
-        gate[:, 2 * STATE:] += gate[:, STATE:2 * STATE] * turned[t]
-        np.tanh(gate[:, 2 * STATE:], out=gate[:, 2 * STATE:])
-        z, n = gate[:, :STATE], gate[:, 2 * STATE:]
-        states[t + 1] = n + z * (h - n)
-    return {"gates": gates, "states": states, "before": before, "turned": turned, "keep": keep}
+        h = np.multiply(h, keep[t], out=before[t])
+        on, both, n = on_rows @ h, gates[t, :2 * s], gates[t, 2 * s:]
+        both += on[:2 * s]  # update and reset by the logistic function
+        both *= 0.5
+        np.tanh(both, out=both)
+        both += 1
+        both *= 0.5
+        turned[t] = on[2 * s:]
+        n += both[s:] * turned[t]
+        np.tanh(n, out=n)
+        move = h - n
+        move *= both[:s]
+        h = np.add(n, move, out=hidden[t])
+    return {"gates": gates, "before": before, "turned": turned, "keep": keep,
+            "hidden": np.ascontiguousarray(hidden.transpose(0, 2, 1))}
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
@@ -251,22 +256,24 @@ def outputs(w: Weights, classes: Classes, hidden: np.ndarray, target: np.ndarray
 def back_through(w: Weights, kept: dict, read: np.ndarray, back: np.ndarray, grad: Weights) -> None:
     """Gradients of one window, from its last step to its first; ``back`` is by step and lane."""
     steps, lanes = read.shape
-    moves = np.empty((steps, lanes, 3 * STATE), np.float32)
-    carried = np.zeros((lanes, STATE), np.float32)
+    s = STATE
+    back = np.ascontiguousarray(back.transpose(0, 2, 1))
+    moves = np.empty((steps, 3 * s, lanes), np.float32)
+    by_state = np.empty((3 * s, lanes), np.float32)
+    carried = np.zeros((s, lanes), np.float32)
     for t in range(steps - 1, -1, -1):
         d = back[t] + carried
-        gate, h = kept["gates"][t], kept["before"][t]
-        z, r, n = gate[:, :STATE], gate[:, STATE:2 * STATE], gate[:, 2 * STATE:]
-        move = moves[t]
+        gate, h, move = kept["gates"][t], kept["before"][t], moves[t]
+        z, r, n = gate[:s], gate[s:2 * s], gate[2 * s:]
         dn = d * (1 - z) * (1 - n * n)
-        move[:, :STATE] = d * (h - n) * z * (1 - z)
-        move[:, STATE:2 * STATE] = dn * kept["turned"][t] * r * (1 - r)
-        move[:, 2 * STATE:] = dn
-        by_state = move.copy()
-        by_state[:, 2 * STATE:] *= r
-        grad.on += h.T @ by_state
-        carried = (d * z + by_state @ w.on.T) * kept["keep"][t]
-    flat, words = moves.reshape(-1, 3 * STATE), read.ravel()
+        move[:s] = d * (h - n) * z * (1 - z)
+        move[s:2 * s] = dn * kept["turned"][t] * r * (1 - r)
+        move[2 * s:] = dn
+        by_state[:2 * s] = move[:2 * s]
+        by_state[2 * s:] = dn * r
+        grad.on += h @ by_state.T
+        carried = (d * z + w.on @ by_state) * kept["keep"][t]
+    flat, words = moves.transpose(0, 2, 1).reshape(-1, 3 * s), read.ravel()
     order = np.argsort(words, kind="stable")
     seen, starts = np.unique(words[order], return_index=True)
     grad.into[seen] += np.add.reduceat(flat[order], starts, axis=0)
@@ -294,7 +301,7 @@ def windows(docs: list[np.ndarray]) -> Iterator[tuple[np.ndarray, ...]]:
     lanes = sorted(lanes_of([len(d) + 1 for d in docs]), key=lambda lane: -sum(len(docs[d]) + 1 for d in lane))
     tapes = []
     for lane in lanes:
-        target = np.concatenate([np.append(docs[d], END) for d in lane])
+        target = np.concatenate([np.append(docs[d], END) for d in lane]).astype(np.int64)
         tapes.append((target, np.repeat(lane, [len(docs[d]) + 1 for d in lane])))
     last, before = np.zeros(len(tapes), np.int64), np.full(len(tapes), -1)
     for start in range(0, len(tapes[0][0]), STRETCH):
@@ -317,7 +324,7 @@ def states(w: Weights, docs: list[np.ndarray]) -> Iterator[tuple]:
     state = np.zeros((LANES, STATE), np.float32)
     for read, target, fresh, doc in windows(docs):
         kept = run_window(w, state[:read.shape[1]], read, fresh)
-        state = kept["states"][-1]
+        state = kept["hidden"][-1]
         yield kept, read, target, doc
 
 
@@ -340,7 +347,7 @@ class Trainer:
 
     def _step(self, kept, read, target, there) -> None:
         at = np.flatnonzero(there.ravel())
-        hidden = kept["states"][1:].reshape(-1, STATE)
+        hidden = kept["hidden"].reshape(-1, STATE)
         self.slope[:] = 0
         _, back = outputs(self.w, self.classes, hidden[at], target.ravel()[at], self.grad)
         whole = np.zeros_like(hidden)
@@ -361,11 +368,24 @@ class Trainer:
 
 def likelihoods(w: Weights, classes: Classes, docs: list[np.ndarray]) -> np.ndarray:
     """Natural log probability of each document under the model, the end included."""
-    out = np.zeros(len(docs))
+    out, held, size = np.zeros(len(docs)), [], 0
+
+    def add():
+        hidden, target, owner = (np.concatenate(part) for part in zip(*held))
+        logs, _ = outputs(w, classes, hidden, target)
+        out[:] += np.bincount(owner, logs, len(docs))
+        held.clear()
+
     for kept, _, target, doc in states(w, docs):
         at = np.flatnonzero(doc.ravel() >= 0)
-        logs, _ = outputs(w, classes, kept["states"][1:].reshape(-1, STATE)[at], target.ravel()[at])
-        out += np.bincount(doc.ravel()[at], logs, len(docs))
+        if len(at):
+            held.append((kept["hidden"].reshape(-1, STATE)[at], target.ravel()[at], doc.ravel()[at]))
+            size += len(at)
+        if size >= OUTPUT_ROWS:  # each class is worth its call
+            add()
+            size = 0
+    if held:
+        add()
     return out
 
 
@@ -388,7 +408,7 @@ def train(docs: DataFrame, words: Vocabulary) -> tuple[Weights, Classes]:
             trainer, held, size = Trainer(weights, classes), [], 0
             for batch in batches:
                 for text in batch["text"]:
-                    held.append(np.array([ids.get(t, OTHER) for t in tokens(text or "")], np.int64))
+                    held.append(np.array([ids.get(t, OTHER) for t in tokens(text or "")], np.uint16))
                     size += len(held[-1]) + 1
                     if size >= HELD_WORDS:
                         trainer.learn(held)
@@ -440,9 +460,12 @@ def score(docs: DataFrame, parts: int = 10, hold: int = 0) -> DataFrame:
 
     def judge(batches):
         weights, classes, words = sent.value
-        known, ids = words.known, words.ids
-        base = {w: words.base(n) for w, n in known.items()}
-        inside = {w: math.log10((n + ADDED) / words.other_all) for w, n in known.items() if w not in ids}
+        place = {w: i for i, w in enumerate(words.known)}.get
+        counts = np.array([*words.known.values(), 0], np.float64)  # the last: not in the table
+        base = np.log10((counts + ADDED) / words.base_all)
+        inside = np.log10((counts + ADDED) / words.other_all)
+        own = len(words.ids)  # the commonest come first: ids 2 and on
+        inside[:own] = base[-1] = inside[-1] = 0.0
         end, held, rows, size = words.base(words.texts), [], [], 0
 
         def flush():
@@ -455,14 +478,12 @@ def score(docs: DataFrame, parts: int = 10, hold: int = 0) -> DataFrame:
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 found = tokens(text or "")
-                counted = Counter(found)
-                rare = {w: n for w, n in counted.items() if w not in base}
-                n_rare = sum(rare.values())
-                held.append(np.array([ids.get(t, OTHER) for t in found], np.int64))
+                at = np.array([place(t, -1) for t in found], np.int64)
+                held.append(np.where((at >= 0) & (at < own), at + 2, OTHER).astype(np.uint16))
+                rare = Counter(found[i] for i in np.flatnonzero(at < 0).tolist())
                 rows.append((
-                    doc_id, len(found) + 1, len(found) - n_rare + (words.texts > 0),
-                    end + sum(n * base[w] for w, n in counted.items() if w in base),
-                    sum(n * inside[w] for w, n in counted.items() if w in inside),
+                    doc_id, len(found) + 1, int((at >= 0).sum()) + (words.texts > 0),
+                    end + float(base[at].sum()), float(inside[at].sum()),
                     [w.decode() for w in rare], list(rare.values())))
                 size += len(found) + 1
                 if size >= HELD_WORDS:

@@ -60,7 +60,7 @@ def test_gradients(monkeypatch):
     one = recurrent.Trainer(w, classes)
     (kept, read, target, doc), = recurrent.states(one.w, docs)
     at = np.flatnonzero(doc.ravel() >= 0)
-    hidden = kept["states"][1:].reshape(-1, recurrent.STATE)
+    hidden = kept["hidden"].reshape(-1, recurrent.STATE)
     _, back = recurrent.outputs(one.w, classes, hidden[at], target.ravel()[at], one.grad)
     whole = np.zeros_like(hidden)
     whole[at] = back
