@@ -74,7 +74,7 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rate: int = MA
     """doc_id, size, source_size, target, copies of every document."""
     rows = staged(docs.select("doc_id", "source", n_words("text").alias("size"),
                               draw("doc_id", "text", seed).alias("chance")), "mix-sizes")
-    of_source = targets(rows, weights=weights, max_rate=max_rate)
+    of_source = staged(targets(rows, weights=weights, max_rate=max_rate), "mix-targets")
     joined = rows.alias("d").join(of_source.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")))
     return joined.select(
         "d.doc_id", "d.size", "s.source_size", "s.target",
@@ -83,9 +83,12 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rate: int = MA
 
 def emit(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rate: int = MAX_RATE,
          seed: str = SEED) -> DataFrame:
-    """The mixed documents: each row as often as the mix takes it, columns as they were."""
+    """The mixed documents: each row as often as the mix takes it, columns as they were.
+
+    The targets are stored, so that the planner knows their size before it would shuffle texts.
+    """
     rows = staged(docs.select("source", n_words("text").alias("size")), "mix-sizes")
-    of_source = targets(rows, weights=weights, max_rate=max_rate)
+    of_source = staged(targets(rows, weights=weights, max_rate=max_rate), "mix-targets")
     times = copies(F.col("s.source_size"), F.col("s.target"),
                    draw("d.doc_id", "d.text", seed))
     joined = docs.alias("d").join(of_source.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")))
