@@ -295,9 +295,10 @@ def run_verdict(verdicts: DataFrame, embed: DataFrame, *, run: str | None = None
     family plus one.
     """
     last = embed.select(F.lit(len(C.FAMILIES) + 1000).alias("rank"), "piece", "degraded")
-    if run is not None:  # one row against the runs
-        last = verdicts.select(run).distinct().withColumn("_one", F.lit(1)).join(
-            last.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    if run is not None:
+        only = last.head()
+        last = verdicts.select(run).distinct().select(
+            run, *[F.lit(only[name]).alias(name) for name in ("rank", "piece", "degraded")])
     columns = [*_keys(run), "rank", "piece", "degraded"]
     pieces = verdicts.select(*columns).unionByName(last.select(*columns))
     ordered = F.array_sort(F.collect_list(F.struct("rank", "piece")))

@@ -116,8 +116,12 @@ def test_bodies(spark, items):
     stored = items({"item_id": "k00"})
     targets = bodies.body_targets(batch, stored, selectors)
     assert sorted(r["item_id"] for r in targets.collect()) == [
+        f"k{n:02}" for n in range(1, 25)] + ["late"]
+    assert "Window" not in targets._jdf.queryExecution().executedPlan().toString()
+    capped = bodies.body_targets(batch, stored, selectors, per_feed=10)
+    assert sorted(r["item_id"] for r in capped.collect()) == [
         f"k{n:02}" for n in range(1, 11)] + ["late"]
-    plan = targets._jdf.queryExecution().executedPlan().toString()
+    plan = capped._jdf.queryExecution().executedPlan().toString()
     limits = [line for line in plan.splitlines() if "WindowGroupLimit" in line]
     assert any(line.endswith("Partial") for line in limits)  # top-k per task, then per feed
     pages = spark.createDataFrame(
@@ -127,11 +131,11 @@ def test_bodies(spark, items):
     assert out.columns == batch.columns and out.count() == batch.count()
     text = {r["item_id"]: r["body"] for r in out.collect()}
     filled = {k for k, v in text.items() if v.startswith("본문 내용입니다.")}
-    assert filled == {f"k{n:02}" for n in (1, 2, 5, 6, 7, 8, 9, 10)}
+    assert filled == {f"k{n:02}" for n in (1, 2, *range(5, 25))}
     assert text["h"] == "has one" and text["o"] == "" and text["late"] == ""
     rates = bodies.empty_body_rate(bodies.fetch_bodies(targets, pages))
     assert {r["feed_id"]: (r["targets"], r["empty"], r["alert"]) for r in rates.collect()} == {
-        "hot": (10, 2, False), "f2": (1, 1, True)}
+        "hot": (24, 2, False), "f2": (1, 1, True)}
 
 
 def test_body_targets_of_one_hot_url(spark, items):
