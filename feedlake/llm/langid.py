@@ -44,7 +44,7 @@ CHARACTERS = 1 << 16
 LIFT = math.exp(6.0)
 #: Words a worker keeps (distinct ones with their scores, or with counts before they are sent on),
 #: and words that it looks up at a time.
-KEPT_WORDS, HELD_WORDS = 400_000, 200_000
+KEPT_WORDS, HELD_WORDS = 250_000, 100_000
 #: More languages than this are taken for a mistake in the table.
 MOST_LANGUAGES = 1000
 
@@ -85,8 +85,9 @@ class Trie:
                         places[piece[:end]] = len(places)
                         letter = alphabet.setdefault(piece[end - 1], len(alphabet) + 1)
                         steps.append((places[piece[:end - 1]], letter))
-        self.first = np.zeros(len(alphabet) + 1, np.int32)
-        self.next = np.zeros((len(places), len(alphabet) + 1), np.int32)
+        kind = np.uint16 if len(places) < 1 << 16 else np.int32  # the table is nodes by letters
+        self.first = np.zeros(len(alphabet) + 1, kind)
+        self.next = np.zeros((len(places), len(alphabet) + 1), kind)
         for node, (before, letter) in enumerate(steps, 1):
             (self.next[before] if before else self.first)[letter] = node
         self.piece = np.full(len(places), self.none, np.int32)
