@@ -4,7 +4,8 @@ Words are counted over all texts that may teach. The model knows the commonest o
 one word to it, inside of which the counts decide. The probability of a word is that of its class
 times that of the word in its class, so a step needs a few dozen outputs instead of all. Training is
 truncated backpropagation: lanes of documents run side by side, their states carry on from window to
-window and start anew with each document, gradients stay within a window. Each task trains its own
+window and start anew with each document, gradients stay within a window and are taken in each, so every
+token of every text that may teach is in the loss once. Each task trains its own
 copy on its documents; after each round the copies are averaged, weighted by their words. The state
 carries through whole documents in scoring too, however long.
 
@@ -37,7 +38,7 @@ MODEL_WORDS, CLASSES, STATE = 2048, 45, 16
 #: Words of the table that every task holds, and their longest in bytes.
 KNOWN_WORDS, KNOWN_BYTES = 200_000, 64
 #: Documents side by side, steps of a window; gradients are taken in every so many windows.
-LANES, WINDOW, GRADIENT_EVERY = 256, 32, 4
+LANES, WINDOW, GRADIENT_EVERY = 256, 32, 1
 #: Steps that are laid out at a time.
 STRETCH = 8 * WINDOW
 ROUNDS, RATE, CLIP = 2, 0.01, 5.0

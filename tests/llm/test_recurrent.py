@@ -88,6 +88,14 @@ def test_training_lowers_the_loss(monkeypatch):
     assert recurrent.likelihoods(one.w, classes, docs).sum() > 0.5 * before
 
 
+def test_every_token_is_trained_on():
+    w, classes = little()
+    for docs in ([np.array([2, 3])], documents(40), documents(300, most=400)):
+        one = recurrent.Trainer(w, classes)
+        one.learn(docs)
+        assert one.updates and one.seen == sum(len(d) + 1 for d in docs)
+
+
 def check_base(rows, out):
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 10 == 0
     counts, ends = Counter(), 0
