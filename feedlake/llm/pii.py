@@ -50,6 +50,16 @@ ENDINGS = {
 LETTERS = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзийклмнопрстуфхцчшщэюя",
            "greek": "αβγδεζηθικλμνξοπρστυφχψω"}
 
+#: Characters of an IBAN after country and check digits, by country; others are found by their groups.
+ACCOUNT = {
+    11: "NO", 12: "BE", 14: "DK FI FK FO GL NL SD", 15: "MK SI", 16: "AT BA EE KZ LT LU MN XK",
+    17: "CH HR LI LV", 18: "BG BH CR DE GB GE IE ME RS VA", 19: "AE GI IL IQ OM SO TL",
+    20: "AD CZ ES MD PK RO SA SE SK TN VG", 21: "LY PT ST", 22: "IS TR", 23: "BI DJ FR GR IT MC MR SM",
+    24: "AL AZ BY CY DO GT HN HU LB NI PL SV", 25: "BR EG PS QA UA", 26: "JO KW MU YE", 27: "MT SC", 28: "LC",
+    29: "RU"}
+_IBAN = "|".join(
+    rf"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{n // 4}}}" + rf" ?[A-Z0-9]{{{n % 4}}}" * (n % 4 > 0)
+    for n, countries in ACCOUNT.items())
 _START, _END = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 _FORMS = "|".join(x for f in ADDRESS["f"] + ADDRESS["m"] for x in dict.fromkeys((f, f[0].upper() + f[1:])))
@@ -61,7 +71,7 @@ PATTERNS = {
     "card": rf"{_START}(?:[0-9]{{13,19}}|[0-9]{{4}}([ -])[0-9]{{4}}\1[0-9]{{4}}\1[0-9]{{1,7}}"
             rf"|[0-9]{{4}}[ -][0-9]{{6}}[ -][0-9]{{5}}){_END}",
     "ssn": r"(?<![\p{L}\p{N}-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{L}\p{N}-])",
-    "iban": rf"{_START}[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?{_END}",
+    "iban": rf"{_START}(?:(?:{_IBAN})|[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?){_END}",
     "phone": r"(?<![\p{L}\p{N}+])(?:\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
              r"|\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}"
              rf"|\([0-9]{{3}}\) ?[0-9]{{3}}[ .-][0-9]{{4}}|[0-9]{{3}}-[0-9]{{3}}-[0-9]{{4}}){_END}",
@@ -132,10 +142,24 @@ def _name_parts(mention: Column) -> Column:
     return F.transform(words, part)
 
 
+def _iban_parts(mention: Column) -> Column:
+    """The longest run of words from the first that has right check digits, and what follows it."""
+    words = F.split(mention, " ")
+    run = lambda n: F.array_join(F.slice(words, F.lit(1), n), "")
+    right = F.filter(F.sequence(F.size(words), F.lit(1), F.lit(-1)), lambda n: _mod97(run(n)) == 1)
+    n = F.get(right, F.lit(0))
+    part = lambda text, kind, value: F.struct(
+        text.alias("part"), kind.alias("type"), value.alias("value"))
+    none = F.lit(None).cast("string")
+    rest = F.array_join(F.slice(words, n + 1, F.size(words)), " ")
+    iban = part(F.array_join(F.slice(words, F.lit(1), n), " "), F.lit("iban"), run(n))
+    return (F.when(n.isNull(), F.array(part(mention, none, F.regexp_replace(mention, " ", ""))))
+            .when(n < F.size(words), F.array(iban, part(rest, none, rest))).otherwise(F.array(iban)))
+
+
 def _parts(mention: Column) -> Column:
     """The parts of a mention; what only looks like personal data has no type."""
     digits = F.regexp_replace(mention, "[^0-9]", "")
-    packed = F.regexp_replace(mention, " ", "")
     whole = lambda kind, value: F.array(F.struct(
         mention.alias("part"), kind.alias("type"), value.alias("value")))
     is_kind = lambda kind: mention.rlike(f"^(?:{PATTERNS[kind]})$")
@@ -145,7 +169,7 @@ def _parts(mention: Column) -> Column:
             .when(is_kind("card"), whole(F.when(_check_sum(digits) % 10 == 0, "card"), digits))
             .when(is_kind("ssn"), whole(F.lit("ssn"), digits))
             .when(mention.rlike(r"^[+(0-9]"), whole(F.lit("phone"), phone))
-            .when(is_kind("iban"), whole(F.when(_mod97(packed) == 1, "iban"), packed))
+            .when(is_kind("iban"), _iban_parts(mention))
             .otherwise(_name_parts(mention)))
 
 

@@ -77,6 +77,30 @@ def test_accounts(out):
     assert re.fullmatch(r"\d{3}-\d\d-\d{4}", number) and number != "078-05-1120"
 
 
+def iban(country, account):
+    turned = "".join(str(int(c, 36)) for c in account + country + "00")
+    return f"{country}{98 - int(turned) % 97:02d}{account}"
+
+
+def test_accounts_before_upper_case_words_and_numbers(docs):
+    unlisted = iban("XX", "12345678")
+    spaced = " ".join(unlisted[i:i + 4] for i in range(0, 12, 4))
+    new = replaced(docs(
+        (1, "AT61 1904 3002 3457 3201 EUR 50"), (2, "AT611904300234573201 IN full"),
+        (3, "ES91 2100 0418 4502 0005 1332 2024"), (4, "BE68 5390 0754 7034 AT61 1904 3002 3457 3201 GMBH"),
+        (5, f"{spaced} EUR 50"), (6, "ES91 2100 0418 4502 0005 1332 4944339490429605")))
+    first, = re.fullmatch(r"(AT\d\d(?: \d{4}){4}) EUR 50", new[1]).groups()
+    packed, = re.fullmatch(r"(AT\d{18}) IN full", new[2]).groups()
+    dated, = re.fullmatch(r"(ES\d\d(?: \d{4}){5}) 2024", new[3]).groups()
+    belgian, again = re.fullmatch(r"(BE\d\d(?: \d{4}){3}) (AT\d\d(?: \d{4}){4}) GMBH", new[4]).groups()
+    other, = re.fullmatch(r"(XX\d\d \d{4} \d{4}) EUR 50", new[5]).groups()
+    before, card = re.fullmatch(r"(ES\d\d(?: \d{4}){5}) (\d{16})", new[6]).groups()
+    found = {x.replace(" ", "") for x in (first, packed, dated, belgian, again, other, before)}
+    assert len(found) == 4 and all(mod97(x) == 1 for x in found) and first == again and dated == before
+    assert first != "AT61 1904 3002 3457 3201" and other != spaced and luhn(card) and card != "4944339490429605"
+    assert not found & {"BE68539007547034", "ES9121000418450200051332"}
+
+
 def test_clean_texts_stay(out):
     assert out[8] == "The The 2024-01-15 12345 3.14 12:30 1,000,000 hello@ @home a@b"
     assert out[9] is None and out[10] == ""
