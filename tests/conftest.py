@@ -1,5 +1,4 @@
 import sys
-from datetime import datetime, timezone
 from pathlib import Path
 
 import pytest
@@ -8,8 +7,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from feedlake.session import configure  # noqa: E402
-
-NOW = datetime(2026, 6, 12, 7, 0, tzinfo=timezone.utc)
+from tests.values import NOW  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -7,7 +7,7 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from conftest import NOW
+from tests.values import NOW
 from feedlake.operators import embedding as emb
 from feedlake.operators import items as ops
 from feedlake.operators.embedding import ServiceRefused

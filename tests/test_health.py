@@ -7,7 +7,7 @@ from datetime import timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import NOW
+from tests.values import NOW
 from feedlake.operators import health
 from feedlake.schemas import FEED_STATE, JOB_HEALTH, POLL_LOG, RUN_LOG
 

@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from conftest import NOW
+from tests.values import NOW
 from feedlake.operators import items as ops
 from feedlake.schemas import ITEM, VECTOR
 

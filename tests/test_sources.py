@@ -7,7 +7,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import NOW
+from tests.values import NOW
 from feedlake import schemas
 from feedlake.operators import mapping, paging
 from feedlake.sources import payloads, registry

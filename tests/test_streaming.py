@@ -2,7 +2,7 @@
 
 from datetime import timedelta
 
-from conftest import NOW
+from tests.values import NOW
 from feedlake.operators import health
 from feedlake.operators import items as ops
 from feedlake.schemas import MAPPED_ITEM, POLL_LOG
