@@ -1,7 +1,5 @@
 """Helpers shared by the operators: stored intermediate results and Arrow batch sizes."""
 
-import functools
-import tempfile
 import uuid
 
 import pandas as pd
@@ -13,19 +11,12 @@ BATCH_ROWS = 512
 BATCH_BYTES = 8 << 20
 
 
-@functools.cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="feedlake-llm-")
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; only a local master, which is one machine, may go without."""
+    """The folder that every executor reaches, as the cluster names it in spark.checkpoint.dir."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    return _local_folder()
+    return folder.rstrip("/")
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
@@ -61,3 +52,8 @@ def strings(values) -> pd.Series:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def surrogate_key(spark: SparkSession) -> str:
+    """The key of surrogates, from spark.feedlake.surrogateKey; invented tables go without a secret one."""
+    return spark.conf.get("spark.feedlake.surrogateKey", "key for invented data")

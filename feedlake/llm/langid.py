@@ -11,6 +11,8 @@ Results by case: a text that is null or has no letter is ``und`` with score 0, a
 nothing could be learnt. Characters outside of the vocabulary count as the unknown piece. Runs of
 more than WORD_LENGTH letters are read as several words. Rows without doc_id are not learnt from and
 not held out. Repeated rows each count in learning. Equal posteriors go to the first language by name.
+Of more than MOST_LANGUAGES values of lang the ones of most texts are learnt; the others' texts are still
+given one of these.
 An empty table gives no rows. Only doc_id, text and, for learning, lang are read.
 """
 
@@ -33,8 +35,8 @@ from feedlake.llm.frames import bounded_batches, staged, strings
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 MARK = "▁"
 UNDETERMINED = "und"
-#: Letters of a word that are segmented together, and of a piece.
-WORD_LENGTH, PIECE_LENGTH = 64, 14
+#: Letters of a word that are segmented together.
+WORD_LENGTH = 64
 ITERATIONS = 2
 #: Added to each piece's count.
 SMOOTHING = 0.05
@@ -45,7 +47,7 @@ LIFT = math.exp(6.0)
 #: Words a worker keeps (distinct ones with their scores, or with counts before they are sent on),
 #: and words that it looks up at a time.
 KEPT_WORDS, HELD_WORDS = 250_000, 100_000
-#: More languages than this are taken for a mistake in the table.
+#: Languages that are learnt at most, the ones of most texts: a model has a column for each.
 MOST_LANGUAGES = 1000
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -65,7 +67,7 @@ def letter_pieces(path: str = VOCABULARY) -> list[str]:
     pieces = (processor.id_to_piece(i) for i in range(processor.get_piece_size()))
     fits = re.compile(rf"{MARK}?(?:[^\W\d_])*")
     return [p for p in pieces
-            if p and fits.fullmatch(p) and p == p.lower() and len(p) <= PIECE_LENGTH]
+            if p and fits.fullmatch(p) and p == p.lower()]
 
 
 class Trie:
@@ -77,6 +79,7 @@ class Trie:
 
     def __init__(self, pieces: tuple[str, ...]):
         self.unknown, self.none = len(pieces), len(pieces) + 1
+        self.longest = max(map(len, pieces), default=1)
         places, alphabet, steps = {"": 0}, {}, []
         for piece in pieces:
             if len(piece) > 1:
@@ -117,7 +120,7 @@ class Lattice:
         by_end = [[(end - 1, end, trie.single[codes[:, end - 1]])] for end in range(1, self.length + 1)]
         for start in range(self.length - 1):
             node = trie.first[letters[:, start]]
-            for end in range(start + 2, min(self.length, start + PIECE_LENGTH) + 1):
+            for end in range(start + 2, min(self.length, start + trie.longest) + 1):
                 node = trie.next[node, letters[:, end - 1]]
                 if not node.any():
                     break
@@ -294,11 +297,10 @@ def learn(docs: DataFrame, vocabulary: str = VOCABULARY, iterations: int = ITERA
     """A model from all texts with a language; the vocabulary's order gives the first guess."""
     bounded_batches(docs.sparkSession)
     docs = docs.where("lang IS NOT NULL AND text IS NOT NULL")
-    found = docs.groupBy("lang").count().orderBy("lang").limit(MOST_LANGUAGES + 1).collect()
-    if len(found) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    found = docs.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
     if not found:
         return None
+    found.sort(key=lambda r: r["lang"])
     numbers = np.array([r["count"] for r in found], np.float64)
     pieces = letter_pieces(vocabulary)
     guess = np.append(1.0 / np.arange(10, len(pieces) + 10), 1e-3)
@@ -344,10 +346,15 @@ def remainder(doc_id: str | Column, parts: int = 3) -> Column:
     return F.crc32(F.col(doc_id).cast("string")) % parts
 
 
-def detect(docs: DataFrame, parts: int = 3, hold: int = 1, vocabulary: str = VOCABULARY) -> DataFrame:
-    """The rows with ``held_out`` and ``language`` (lang_pred, score), learnt from those not held out."""
-    model = learn(docs.where(remainder("doc_id", parts) != hold).select("lang", "text"), vocabulary)
+def detect(docs: DataFrame, parts: int = 3, hold: int | None = 1, vocabulary: str = VOCABULARY) -> DataFrame:
+    """The rows with ``held_out`` and ``language`` (lang_pred, score), learnt from those not held out.
+
+    With ``hold`` None no row is held out and all that have a language teach, also those without doc_id.
+    """
+    kept_out = F.lit(False) if hold is None else remainder("doc_id", parts) == hold
+    teaching = docs if hold is None else docs.where(~kept_out)
+    model = learn(teaching.select("lang", "text"), vocabulary)
     predict = predictor(docs.sparkSession, model)
     return docs.withColumns({
-        "held_out": F.coalesce(remainder("doc_id", parts) == hold, F.lit(False)),
+        "held_out": F.coalesce(kept_out, F.lit(False)),
         "language": predict(F.col("text"))})

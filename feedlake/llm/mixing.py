@@ -41,8 +41,8 @@ def targets(sizes: DataFrame, source: str = "source", size: str = "size",
     """source, source_size, target of each source.
 
     ``sizes`` may hold many rows per source, also one source with most rows: partial sums
-    come first. The windows see one row per source, which is as long as the mix's own list
-    of weights.
+    come first. The windows see one row per source (a few dozen bytes) in one task: that bounds
+    the sources of one mix to some millions, which is far more than anyone gives targets to.
     """
     total = sizes.groupBy(F.col(source).alias("source")).agg(F.sum(size).alias("source_size"))
     place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
@@ -57,7 +57,7 @@ def targets(sizes: DataFrame, source: str = "source", size: str = "size",
     level = stops.withColumn("level", rest / F.sum("weight").over(onward))
     # sources are stopped up to the first whose level stays within its own stop
     within = F.min(F.when(F.col("level") * F.col("weight") <= F.col("stop"),
-                          F.struct(F.col("stop") / F.col("weight"), "source", "level"))).over(everything)
+                          F.struct(F.col("stop") / F.col("weight"), F.isnull("source"), "source", "level"))).over(everything)
     return level.select(
         "source", "source_size",
         F.least(F.col("stop").cast("double"), F.col("weight") * within["level"]).alias("target"))

@@ -1,6 +1,6 @@
 r"""Personal data replaced by keyed surrogates of the same type, gender, script and format.
 
-Mentions are found by pattern: addresses, phone numbers, card numbers (only with a right check digit),
+Mentions are found by pattern: addresses (an empty label in a domain does not matter), phone numbers, card numbers (only with a right check digit),
 IPv4 addresses, social security numbers, IBANs (likewise), and names behind a form of address or a
 well-known given name. A mention has one part, a name one per word; equal parts, whatever their
 spacing or case, are one entity. An entity's surrogate comes from a hash of key, type and value:
@@ -11,6 +11,9 @@ Collisions are checked over the corpus: no two entities of a type share a surrog
 a value that occurs. Who comes second tries again with the next hash, names with longer ones in time.
 After ROUNDS tries, when a format is all but used up, the type and 24 hash digits stand in.
 
+Limits: given names are a fixed list, names behind other words are not found, titles without gender
+(Dr, Prof) neither; a national phone number needs the form ddd-ddd-dddd or (ddd) ddd-dddd.
+
 Results by case: null texts stay null, texts without a mention stay as they are, empty ones too. Rows
 keep all columns of any name, repeated rows are replaced alike. Long texts are read whole. An empty
 table gives no rows. Only the text is read.
@@ -21,7 +24,6 @@ from pyspark.sql import functions as F
 
 from feedlake.llm.frames import staged
 
-KEY = "surrogates-1"
 ROUNDS = 24
 
 # Forms of address and common given names, by gender.
@@ -66,7 +68,8 @@ _FORMS = "|".join(x for f in ADDRESS["f"] + ADDRESS["m"] for x in dict.fromkeys(
 _WORD = rf"(?!(?:{_FORMS})\b)\p{{Lu}}[\p{{L}}'’-]+"
 _KNOWN = "|".join(GIVEN["f"] + GIVEN["m"])
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[\p{L}\p{N}-]++\.)+\p{L}{2,}",
+    # labels are not told apart here: a loop around them would recurse once a label
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?=[\p{L}\p{N}-])[\p{L}\p{N}.-]+\.\p{L}{2,}",
     "ip": rf"(?<![\p{{L}}\p{{N}}.])(?:{_OCTET}\.){{3}}{_OCTET}(?![\p{{L}}\p{{N}}]|\.[0-9])",
     "card": rf"{_START}(?:[0-9]{{13,19}}|[0-9]{{4}}([ -])[0-9]{{4}}\1[0-9]{{4}}\1[0-9]{{1,7}}"
             rf"|[0-9]{{4}}[ -][0-9]{{6}}[ -][0-9]{{5}}){_END}",
@@ -240,7 +243,7 @@ def _surrogate() -> Column:
     return out.otherwise(_same_kind(value))
 
 
-def surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
+def surrogates(entities: DataFrame, key: str) -> DataFrame:
     """type, value, surrogate of each entity (type, value; each once), all distinct by type."""
     values = entities.select("type", F.col("value").alias("surrogate"))
     waiting, done, attempt = entities.select("type", "value"), None, 0
@@ -264,7 +267,11 @@ def surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
 
 
 def _put(part: Column, kind: Column, surrogate: Column) -> Column:
-    """A surrogate in the spacing and case of a mention's part; what leads a number stays."""
+    """A surrogate in the spacing and case of a mention's part; what leads a number stays.
+
+    An address is its own format and may have any length; all else that is filled character by character
+    is bounded by its pattern.
+    """
     room = F.length(F.regexp_replace(part, r"[^\p{L}\p{N}]", ""))
     fill = F.regexp_replace(surrogate, r"[^\p{L}\p{N}]", "")
     more = room - F.length(fill)  # country code that the value is without
@@ -276,11 +283,13 @@ def _put(part: Column, kind: Column, surrogate: Column) -> Column:
     filled = F.array_join(F.transform(_chars(part), one), "")
     cased = F.when(part.rlike(r"\p{L}") & (part == F.upper(part)), F.upper(filled)).otherwise(filled)
     name = F.when((part == F.upper(part)) & (F.length(part) > 1), F.upper(surrogate)).otherwise(F.initcap(surrogate))
-    return F.when(kind.rlike("^(given|surname)_"), name).when(more < 0, surrogate).otherwise(cased)
+    address = F.when(part == F.upper(part), F.upper(surrogate)).otherwise(surrogate)
+    return (F.when(kind.rlike("^(given|surname)_"), name).when(kind == "email", address)
+            .when(more < 0, surrogate).otherwise(cased))
 
 
-def replace(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFrame:
-    """The rows with personal data replaced in ``text``.
+def replace(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """The rows with personal data replaced in ``text``; who has ``key`` can link surrogates to values.
 
     Only texts with a mention are joined, by a hash of what they mention; each text is then put
     together from what stands between its mentions and their replacements.

@@ -166,12 +166,18 @@ def held_out(doc_id: str | Column, parts: int, which: int = 0) -> Column:
 
 
 def sample(rows: DataFrame, labels: DataFrame, most: int = SAMPLE_ROWS) -> DataFrame:
-    """features, quality of labelled rows that may teach, by hash so many that ``most`` suffice."""
-    known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").select("doc_id", "quality")
-    usable = known.where(~held_out("doc_id", 5))
-    share = min(1.0, most / max(1, usable.count()))
+    """features, quality of at most ``most`` labelled ids that may teach: those of the smallest hashes.
+
+    An id teaches once, by the smallest of its labels and of its texts' statistics, however often either
+    table repeats it.
+    """
+    known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").where(~held_out("doc_id", 5))
+    usable = known.groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    share = min(1.0, 1.2 * most / max(1, usable.count()) + 0.01)  # a little more than needed
     usable = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < math.ceil(1_000_000 * share))
-    return rows.join(usable, "doc_id").select("doc_id", "features", "quality").limit(most)
+    found = rows.join(usable, "doc_id").groupBy("doc_id").agg(
+        F.min("features").alias("features"), F.first("quality").alias("quality"))
+    return found.orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)), "doc_id").limit(most)
 
 
 def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:

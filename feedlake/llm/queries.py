@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from feedlake.llm import bpe, digest, knn, langid, mixing, pii, quality, recurrent, secrets, simhash
-from feedlake.llm.frames import table
+from feedlake.llm.frames import surrogate_key, table
 from feedlake.plans.catalogue import query
 
 
@@ -78,7 +78,7 @@ def op6_language_id(spark, sf_dir):
 def op3_pii_surrogates(spark, sf_dir):
     """Every document with personal data replaced by surrogates."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pii.replace(docs).withColumn("n_chars", F.char_length("text").cast("long"))
+    return pii.replace(docs, surrogate_key(spark)).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
 @query("op9_recurrent_lm")

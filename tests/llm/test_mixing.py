@@ -19,7 +19,7 @@ def waterfill(sizes, weights=(5, 2, 1), most=3):
 
 
 def test_targets_are_the_fixed_point(docs):
-    cases = [{"a": 1000, "b": 10, "c": 500}, {"a": 1, "b": 1, "c": 1, "d": 5000, None: 7}, {"x": 5},
+    cases = [{"a": 500, None: 200}, {"a": 500, "b": 200, "c": 100, None: 500}, {"a": 1000, "b": 10, "c": 500}, {"a": 1, "b": 1, "c": 1, "d": 5000, None: 7}, {"x": 5},
              {"a": 0, "b": 3}, {"a": 0}, {"a": 10, "b": 100, "c": 1000, "d": 9, "e": 90, "f": 900, "g": 3}]
     for sizes in cases:
         df = docs(*[(i, "w " * n, "en", s) for i, (s, n) in enumerate(sizes.items())])

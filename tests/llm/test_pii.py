@@ -4,9 +4,11 @@ import pytest
 
 from feedlake.llm import pii
 
+KEY = "key of the tests"
+
 
 def replaced(df):
-    return {r["doc_id"]: r["text"] for r in pii.replace(df).collect()}
+    return {r["doc_id"]: r["text"] for r in pii.replace(df, KEY).collect()}
 
 
 def luhn(digits):
@@ -110,7 +112,7 @@ def test_surrogates_are_distinct_and_no_value_that_occurs(spark):
     # one digit per octet: so few addresses that most surrogates collide at first
     values = [f"{a}.{b}.1.1" for a in range(1, 10) for b in range(1, 10)]
     entities = spark.createDataFrame([("ip", v) for v in values], "type string, value string")
-    rows = pii.surrogates(entities).collect()
+    rows = pii.surrogates(entities, KEY).collect()
     new = [r["surrogate"] for r in rows]
     assert sorted(r["value"] for r in rows) == sorted(values)
     assert len(set(new)) == len(new) and not set(new) & set(values)
@@ -119,7 +121,7 @@ def test_surrogates_are_distinct_and_no_value_that_occurs(spark):
 def test_a_used_up_format_still_gives_distinct_surrogates(spark):
     values = [f"{a}.{b}.{c}.{d}" for a in "123456789" for b in "123456789" for c in "123456789" for d in "12345678"]
     entities = spark.createDataFrame([("ip", v) for v in values], "type string, value string")
-    new = [r["surrogate"] for r in pii.surrogates(entities).collect()]
+    new = [r["surrogate"] for r in pii.surrogates(entities, KEY).collect()]
     assert len(set(new)) == len(values) and not set(new) & set(values)
 
 
@@ -130,7 +132,16 @@ def test_keys_differ_and_runs_agree(docs):
 
 
 def test_odd_rows_keep_their_columns(odd, empty):
-    out = pii.replace(odd)
+    out = pii.replace(odd, KEY)
     assert out.columns == odd.columns
     assert sorted(map(str, out.collect())) == sorted(map(str, odd.collect()))
-    assert pii.replace(empty).collect() == []
+    assert pii.replace(empty, KEY).collect() == []
+
+
+def test_very_long_addresses(docs):
+    labels = "x@" + "a." * 100_000 + "com"
+    local = "b" * 200_000 + "@mail.org"
+    new = replaced(docs((1, f"to {labels} or"), (2, f"to {local} or"), (3, "x@" + "a." * 100_000 + "1")))
+    assert re.fullmatch(r"to \w@(?:\w\.){100000}com or", new[1]) and labels not in new[1]
+    assert re.fullmatch(r"to \w{200000}@\w{4}\.org or", new[2]) and local not in new[2]
+    assert new[3] == "x@" + "a." * 100_000 + "1"

@@ -66,3 +66,15 @@ def test_held_out_labels_teach_nothing(spark, docs):
     df = docs(*[(i, "a b c") for i in ids])
     labels = labels_of(spark, *[(i, 0, 0, "x", "x") for i in ids])
     assert {r["score"] for r in quality.score(df, labels).collect()} == {0.5}
+
+
+def test_each_id_teaches_once(spark):
+    rows = spark.createDataFrame([(i % 50, [float(i)]) for i in range(400)] + [(7, [-1.0])] * 300,
+                                 "doc_id long, features array<double>")
+    labels = spark.createDataFrame([(i, q) for i in range(50) for q in (1, 0)] * 3, "doc_id long, quality int")
+    got = quality.sample(rows, labels, 10).collect()
+    again = quality.sample(rows.repartition(5), labels.repartition(3), 10).collect()
+    assert got == again and len({r["doc_id"] for r in got}) == len(got) == 10
+    everyone = quality.sample(rows, labels, 1000).collect()
+    assert sorted(r["doc_id"] for r in everyone) == [i for i in range(50) if zlib.crc32(str(i).encode()) % 5]
+    assert all(r["features"] == [-1.0 if r["doc_id"] == 7 else float(r["doc_id"])] and r["quality"] == 0 for r in everyone)
