@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from feedlake.llm import bpe, digest, knn, langid, mixing, pii, quality, recurrent, secrets, simhash
+from feedlake.llm import (
+    bpe, digest, knn, langid, mixing, packing, pii, quality, recurrent, secrets, simhash,
+)
 from feedlake.llm.frames import surrogate_key, table
 from feedlake.plans.catalogue import query
 
@@ -85,3 +87,9 @@ def op3_pii_surrogates(spark, sf_dir):
 def op9_recurrent_lm(spark, sf_dir):
     """Every text scored by the recurrent model, beside its unigram base."""
     return recurrent.score(table(spark, sf_dir, "documents"))
+
+
+@query("op11_exchange_packing")
+def op11_exchange_packing(spark, sf_dir):
+    """Every document's pieces and their places in as few sequences as exchanges lead to."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
