@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from feedlake.llm import (
-    bpe, digest, knn, langid, mixing, packing, pii, quality, recurrent, secrets, simhash,
+    bpe, digest, knn, langid, mixing, packing, periodic, pii, quality, recurrent, secrets, simhash, variants,
 )
 from feedlake.llm.frames import surrogate_key, table
 from feedlake.plans.catalogue import query
@@ -93,3 +93,18 @@ def op9_recurrent_lm(spark, sf_dir):
 def op11_exchange_packing(spark, sf_dir):
     """Every document's pieces and their places in as few sequences as exchanges lead to."""
     return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op12_trie_variants")
+def op12_trie_variants(spark, sf_dir):
+    """Frequent words, each with its number of neighbours, its likely right form and that form's root."""
+    return variants.of_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark, sf_dir):
+    """Runs of every text, some with a tail repeated, and the text without the repetitions by digest."""
+    found = periodic.scan(table(spark, sf_dir, "documents"), repeat_tails=True)
+    return found.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli",
+                        F.sha2(periodic.runs_text("runs"), 256).alias("runs_sha256"),
+                        F.sha2("collapsed", 256).alias("collapsed_sha256"))
