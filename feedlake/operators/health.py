@@ -1,7 +1,7 @@
 """Feed state, job health and run verdicts, folded from append-only logs.
 
-No fold sorts a feed's rows in one task: states are aggregates with partial aggregation, and
-failure streaks are counts, with partial counts per task, of the failures after a success.
+No fold sorts or lists a feed's rows: states are maxima with partial aggregation, and failure
+streaks are counts, with partial counts per task, of the failures after the last success.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -28,6 +28,18 @@ def poll_error(*, error_chars: int = C.FEED_ERROR_CHARS) -> Column:
     return text.truncate(message, error_chars)
 
 
+def _failures_since(polls: DataFrame, heads: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, failures after ``ok_at`` of ``heads`` (null: all of them).
+
+    A count with partial sums over narrow rows. ``heads`` has a row per key, so adaptive execution sends
+    it to the polls or splits the polls of a hot key, also if all are of one hour.
+    """
+    failed = polls.filter(~is_ok()).select(*keys, F.struct("ts", "seq").alias("at"))
+    after = F.col("ok_at").isNull() | (F.col("at") > F.col("ok_at"))
+    return failed.join(heads.select(*keys, "ok_at"), keys).filter(after).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("failures"))
+
+
 def fold_feed_state(poll: DataFrame, prior: DataFrame | None = None) -> DataFrame:
     """Poll log to feed state, one row per feed.
 
@@ -35,53 +47,44 @@ def fold_feed_state(poll: DataFrame, prior: DataFrame | None = None) -> DataFram
     touches neither cursor nor last_fetched, adds to the streak and records its error.
     ``prior`` continues an earlier state with later polls.
 
-    The streak is the number of failures after the last success. Each feed's polls first
-    become one row per hour, with the failures at its end; the hours are then added up from
-    the last that had a success. So the log is read once, and a feed that has most of it is
-    worked on by as many tasks as there are hours.
+    The streak is the number of failures after the last success. Last success, cursor and
+    poll are maxima, of which each task sends one row per feed; the failures after the success
+    are then counted. So no task holds a feed's polls, however many there are in whatever time.
     """
     ok = is_ok()
     rows = poll.select(
-        "feed_id", F.date_trunc("hour", "ts").alias("hour"), F.struct("ts", "seq").alias("at"),
-        ok.alias("ok"), (ok & (F.col("status") == 200)).alias("has_cursor"),
-        F.struct("etag", "last_modified").alias("cursor"),
-        poll_error().alias("message"),
+        "feed_id", F.struct("ts", "seq").alias("at"), ok.alias("ok"),
+        (ok & (F.col("status") == 200)).alias("has_cursor"),
+        F.struct("etag", "last_modified").alias("cursor"), poll_error().alias("message"),
     )
-
-    def failures_at_end(steps: Column, restart) -> Column:
-        return F.aggregate(F.array_sort(steps), F.lit(0).cast("long"), restart)
-
-    hours = rows.groupBy("feed_id", "hour").agg(
+    heads = rows.groupBy("feed_id").agg(
         F.max(F.when(F.col("ok"), F.col("at"))).alias("ok_at"),
         F.max(F.when(F.col("has_cursor"), F.struct("at", "cursor"))).alias("cur"),
         F.max(F.struct("at", "message")).alias("last"),
-        failures_at_end(F.collect_list(F.struct("at", "ok")), lambda n, x: F.when(
-            x["ok"], F.lit(0).cast("long")).otherwise(n + 1)).alias("failures"),
     )
-    state = (
-        hours.groupBy("feed_id").agg(
-            F.max("ok_at").alias("ok_at"), F.max("cur").alias("cur"), F.max("last").alias("last"),
-            failures_at_end(
-                F.collect_list(F.struct("hour", F.col("ok_at").isNotNull().alias("ok"), "failures")),
-                lambda n, x: F.when(x["ok"], x["failures"]).otherwise(n + x["failures"]),
-            ).alias("streak"))
-        .select(
-            "feed_id",
-            F.col("cur.cursor.etag").alias("etag"),
-            F.col("cur.cursor.last_modified").alias("last_modified"),
-            F.col("ok_at.ts").alias("last_fetched"),
-            F.col("ok_at.ts").alias("last_success"),
-            F.col("streak").alias("consecutive_failures"),
-            F.col("last.message").alias("last_error"),
-            F.when(F.col("last.message").isNotNull(), F.col("last.at.ts")).alias("last_error_at"),
-            F.col("cur").isNotNull().alias("_cursor_set"),
-        )
+    state = heads.join(_failures_since(poll, heads, ["feed_id"]), "feed_id", "left").select(
+        "feed_id",
+        F.col("cur.cursor.etag").alias("etag"),
+        F.col("cur.cursor.last_modified").alias("last_modified"),
+        F.col("ok_at.ts").alias("last_fetched"),
+        F.col("ok_at.ts").alias("last_success"),
+        F.coalesce("failures", F.lit(0).cast("long")).alias("consecutive_failures"),
+        F.col("last.message").alias("last_error"),
+        F.when(F.col("last.message").isNotNull(), F.col("last.at.ts")).alias("last_error_at"),
+        F.col("cur").isNotNull().alias("_cursor_set"),
     )
     if prior is None:
         return state.drop("_cursor_set")
     return _continue_state(prior, state)
 
 
+def later_polls(poll: DataFrame, prior: DataFrame) -> DataFrame:
+    """Polls later than what a feed's state already holds: a success or an error leaves its time there."""
+    held = prior.select("feed_id", F.greatest("last_success", "last_error_at").alias("_held"))
+    later = F.col("_held").isNull() | (F.col("ts") > F.col("_held"))
+    return poll.join(held, "feed_id", "left").filter(later).drop("_held")
+
+
 def _continue_state(prior: DataFrame, state: DataFrame) -> DataFrame:
     """Earlier state and the fold of later polls, one row per feed on both sides."""
     p, s = prior.alias("p"), state.alias("s")
@@ -190,14 +193,13 @@ def pass_summary(poll: DataFrame, *, run: str | None = None) -> DataFrame:
 def streaks_by_run(poll: DataFrame, run: str) -> DataFrame:
     """run, feed_id, consecutive_failures at the end of each run that polled the feed.
 
-    ``run`` must ascend with time. A feed's polls of a run become one row first; the window
-    then sees a row per run.
+    ``run`` must ascend with time. A feed's polls of a run are counted first; the window then
+    sees a row per run.
     """
-    steps = poll.select(run, "feed_id", F.struct(F.struct("ts", "seq"), is_ok().alias("ok")).alias("at"))
-    at_end = F.aggregate(
-        F.array_sort(F.collect_list("at")), F.lit(0).cast("long"),
-        lambda n, x: F.when(x["ok"], F.lit(0).cast("long")).otherwise(n + 1))
-    ends = steps.groupBy(run, "feed_id").agg(at_end.alias("failures"), F.max("at.ok").alias("ok"))
+    keys = [run, "feed_id"]
+    heads = poll.groupBy(*keys).agg(F.max(F.when(is_ok(), F.struct("ts", "seq"))).alias("ok_at"))
+    ends = heads.join(_failures_since(poll, heads, keys), keys, "left").select(
+        *keys, F.coalesce("failures", F.lit(0).cast("long")).alias("failures"), F.col("ok_at").isNotNull().alias("ok"))
     so_far = Window.partitionBy("feed_id").orderBy(run)
     since = ends.withColumn("_since", F.count_if("ok").over(so_far))
     streak = F.sum("failures").over(Window.partitionBy("feed_id", "_since").orderBy(run))

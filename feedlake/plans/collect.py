@@ -13,7 +13,7 @@ from feedlake.functions import clock
 from feedlake.operators import bodies, health, items as ops, mapping, paging
 from feedlake.plans import upkeep
 from feedlake.session import Scratch
-from feedlake.sources import payloads, store
+from feedlake.sources import keys, payloads, store
 from feedlake.sources.registry import sources_meta, usable_searches
 
 log = logging.getLogger("feedlake.collect")
@@ -155,33 +155,58 @@ def ingest(
 ) -> tuple[DataFrame | None, dict[str, str]]:
     """Store what is new and log every poll; returns poll rows with counts, and broken families.
 
-    Articles come first, then polls, then the state that follows from them: a run that dies
-    in between is run again, which inserts nothing twice.
+    Articles come first, then polls, then the state that follows from them. Each step leaves
+    out what is there already and reads its result from the tables, so a run that died anywhere
+    and is run again ends as one that did not die, and a second run over the same responses
+    changes nothing.
     """
-    stored = store.read(spark, root, "items")
     articles, polls, broken = run_passes(landed, registries, stage)
     if polls is None:
         return None, broken
+    stored = keys.days_that_may_hold(spark, root, articles)
     if landed.pages is not None and registries.selectors is not None:
         articles = stage(bodies.enrich_bodies(
             articles, stored, registries.selectors, landed.pages), "enriched")
-    fresh = stage(ops.insert_rescanned(articles, stored), "fresh")
+    keys.append_items(spark, root, stage(ops.as_item(ops.insert_rescanned(articles, stored)), "fresh"))
+    counted = stage(_counted(spark, root, articles, polls), "polls")
+    log = store.on_days(store.read(spark, root, "poll_log"), _days(counted, "ts"))
     response = ["family", "feed_id", "ts", "seq"]
-    counts = fresh.withColumnRenamed("fetched_at", "ts").groupBy(*response).agg(
-        F.count("*").alias("n"))
-    counted = stage(
-        polls.join(counts, response, "left").withColumn(
-            "new_count",
-            F.when(health.is_ok(), F.coalesce("n", F.lit(0).cast("long")))),
-        "polls",
-    )
-    state = stage(health.fold_feed_state(counted, store.read(spark, root, "feed_state")), "state")
-    store.append(root, "items", fresh)
-    store.append(root, "poll_log", counted)
+    logged = log.join(counted.select(*response), response, "left_semi").select(*response)
+    new_polls = stage(counted.join(logged, response, "left_anti"), "new-polls")
+    prior = store.read(spark, root, "feed_state")
+    if prior.isEmpty():  # lost or never written: the log has it all
+        earlier = store.read(spark, root, "poll_log").select(*new_polls.columns)
+        state = health.fold_feed_state(earlier.unionByName(new_polls))
+    else:
+        state = health.fold_feed_state(health.later_polls(counted, prior), prior)
+    state = stage(state, "state")
+    store.append(root, "poll_log", new_polls)
     store.replace(spark, root, "feed_state", state)
     return counted, broken
 
 
+def _days(rows: DataFrame, clock_column: str) -> list:
+    """Days that rows of a run fall on."""
+    return [r[0] for r in rows.select(F.to_date(clock_column)).distinct().collect()]
+
+
+def _counted(spark: SparkSession, root: str, articles: DataFrame, polls: DataFrame) -> DataFrame:
+    """Poll rows with the number of stored articles that came with each response.
+
+    An article belongs to the response that is its first in the batch, if the stored row is of that
+    feed and time. So the count is the same whether this run or an earlier try has stored it.
+    """
+    response = ["family", "feed_id", "ts", "seq"]
+    first = ops.first_wins(articles, fields=["family", "feed_id", "fetched_at", "seq"])
+    items = store.on_days(store.read(spark, root, "items"), _days(polls, "ts"))
+    here = items.select("item_id", F.col("feed_id").alias("_feed"), F.col("fetched_at").alias("_at"))
+    counts = first.join(here, "item_id").filter(
+        F.col("feed_id").eqNullSafe(F.col("_feed")) & F.col("fetched_at").eqNullSafe(F.col("_at"))
+    ).withColumnRenamed("fetched_at", "ts").groupBy(*response).agg(F.count("*").alias("n"))
+    return polls.join(counts, response, "left").withColumn(
+        "new_count", F.when(health.is_ok(), F.coalesce("n", F.lit(0).cast("long")))).drop("n")
+
+
 def log_run(spark: SparkSession, root: str, job: str, at: datetime, event: str, *,
             detail: str | None = None, error: str | None = None) -> None:
     """Append a run event and bring the job's health row up to date."""

@@ -33,8 +33,13 @@ def read(spark: SparkSession, root: str, table: str) -> DataFrame:
     schema = TABLES[table]
     if table in CLOCKS:
         schema = T.StructType([*schema.fields, T.StructField(DAY, T.DateType())])
+    return read_folder(spark, f"{root}/{table}", schema)
+
+
+def read_folder(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """A parquet folder; one that is not there has no rows."""
     try:
-        return spark.read.schema(schema).parquet(f"{root}/{table}")
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise

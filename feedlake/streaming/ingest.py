@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from feedlake.operators import health, items as ops
 from feedlake.session import Scratch
-from feedlake.sources import store
+from feedlake.sources import keys
 
 
 def stream_files(spark: SparkSession, path: str, schema: T.StructType, *,
@@ -33,8 +33,8 @@ def stream_insert(articles: DataFrame, root: str, checkpoint: str, *, trigger=No
         spark = batch.sparkSession
         with Scratch(spark, "stream-batch") as stage:
             rows = stage(batch, "batch")
-            fresh = ops.insert_rescanned(rows, store.read(spark, root, "items"))
-            store.append(root, "items", stage(ops.as_item(fresh), "fresh"))
+            fresh = ops.insert_rescanned(rows, keys.days_that_may_hold(spark, root, rows))
+            keys.append_items(spark, root, stage(ops.as_item(fresh), "fresh"))
 
     return (
         articles.writeStream.foreachBatch(write)

@@ -1,7 +1,6 @@
 """Folds of poll and run logs, and the verdicts of a run."""
 
 import random
-import re
 from datetime import timedelta
 
 import pytest
@@ -111,27 +110,30 @@ def test_fold_equals_row_by_row(spark, seed):
     assert got(both) == fold_by_hand(rows)
 
 
-def test_fold_reads_the_log_once_and_splits_the_feed(polls, spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan = health.fold_feed_state(polls(("f", 0, 500)))._jdf.queryExecution().executedPlan()
-        text = plan.toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "Window" not in text and "Join" not in text
-    assert re.search(r"hashpartitioning\(feed_id#\d+, hour#\d+", text)
+def test_no_task_lists_the_polls_of_a_feed(polls):
+    plan = health.fold_feed_state(polls(("f", 0, 500)))._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "Window" not in plan
 
 
-def test_a_hot_feed_meets_more_tasks_as_its_log_grows(spark):
-    def groups(n_hours):
-        rows = [("rss", "hot" if n % 3 else f"f{n}", NOW + timedelta(minutes=n * 20), n, 500, True,
-                 None, None, 0, None) for n in range(n_hours * 3)]
-        df = spark.createDataFrame(rows, POLL_LOG)
-        state = states(health.fold_feed_state(df))
-        assert state["hot"]["consecutive_failures"] == n_hours * 2
-        return df.filter("feed_id = 'hot'").select(F.date_trunc("hour", "ts")).distinct().count()
+def test_a_third_of_the_log_is_one_hour_of_one_feed(spark):
+    n = F.col("id")
+    log = spark.range(0, 90_000, 1, 8).select(
+        F.lit("rss").alias("family"), F.when(n % 3 == 0, "hot").otherwise(F.concat(F.lit("f"), n % 500)).alias("feed_id"),
+        F.timestamp_seconds(F.lit(1_780_000_000) + F.when(n % 3 == 0, n / 100 % 60).otherwise(n * 10)).alias("ts"),
+        n.alias("seq"), F.when(n == 60_003, 200).otherwise(500).alias("status"), F.lit(True).alias("is_feed"),
+        *[F.lit(None).cast(k).alias(c) for c, k in (("etag", "string"), ("last_modified", "string"),
+                                                    ("new_count", "long"), ("error", "string"))])
+    hot = log.filter("feed_id = 'hot'").selectExpr("ts", "seq", "status").collect()
+    last = max((r["ts"], r["seq"]) for r in hot if r["status"] == 200)
+    state = states(health.fold_feed_state(log))
+    assert state["hot"]["consecutive_failures"] == sum((r["ts"], r["seq"]) > last for r in hot) > 0
 
-    assert groups(40) > groups(10)
+
+def test_polls_that_a_state_holds_already_change_nothing(polls):
+    log = polls(("f", 0, 200), ("f", 1, 500), ("f", 2, 500), ("g", 0, 500), ("h", 3, 304))
+    state = health.fold_feed_state(log)
+    again = health.fold_feed_state(health.later_polls(log, state), state)
+    assert sorted(map(str, again.collect())) == sorted(map(str, state.collect()))
 
 
 def test_streaks_by_run_are_those_of_a_fold_up_to_the_run(spark):

@@ -126,6 +126,41 @@ def test_two_responses_at_one_time_count_once_each(spark, root, ingest, landed):
     assert [(r["feed_id"], r["new_count"]) for r in polls] == [("f0", 2), ("f0", 1)]
 
 
+@pytest.mark.parametrize("dies_at", ["items", "poll_log", "feed_state"])
+def test_a_run_that_died_and_is_run_again_ends_as_one_run(spark, tmp_path, registries, landed, monkeypatch, dies_at):
+    run = landed(NOW, feeds=[("f0", 200, "e", rss("a", "b")), ("f1", 500, None, None)],
+                 searches=[("q1", 200, {"items": [{"title": "own", "originallink": "https://e/q"}]})])
+
+    def collected(root):
+        with Scratch(spark, "collect") as stage:
+            collect.ingest(spark, root, run, registries, stage)
+
+    def tables(root):
+        return [sorted(map(str, store.read(spark, root, t).collect())) for t in ("items", "poll_log", "feed_state")]
+
+    once, again = f"{tmp_path}/once", f"{tmp_path}/again"
+    collected(once)
+    real = {"append": store.append, "replace": store.replace}
+
+    def dying(name):
+        def write(*args):
+            table = next(a for a in args if a in store.TABLES)
+            real[name](*args)
+            if table == dies_at:
+                raise RuntimeError("killed")
+        return write
+
+    with monkeypatch.context() as m:
+        for name in real:
+            m.setattr(store, name, dying(name))
+        with pytest.raises(RuntimeError, match="killed"):
+            collected(again)
+    collected(again)
+    assert tables(again) == tables(once)
+    collected(again)
+    assert tables(again) == tables(once)
+
+
 def test_a_page_landed_twice_is_its_last_good_response(spark, root, ingest, landed):
     run = landed(NOW, firehose=[
         ("stock-latest", 0, 500, None), ("stock-latest", 0, 200, [row(1)]), ("stock-latest", 0, 503, None),
