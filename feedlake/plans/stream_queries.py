@@ -17,11 +17,11 @@ from feedlake.streaming import ingest
 BATCHES = 3
 
 
-def _run(spark, sf_dir, name, order, shape, start):
-    """The table ``name`` landed in BATCHES parts by ``order``, each streamed before the next lands."""
+def _run(spark, sf_dir, name, order, shape, start, shuffled=False):
+    """The table ``name`` landed in BATCHES parts by ``order``, or by its hash, each streamed before the next lands."""
     target = scratch_path(spark, f"stream-{name}")
     rows = t.load(spark, sf_dir, name)
-    place = F.col(order).cast("double")
+    place = (F.xxhash64(order) if shuffled else F.col(order)).cast("double")
     shares = [k / BATCHES for k in range(1, BATCHES)]
     cuts = rows.select(place.alias("place")).approxQuantile("place", shares, 0.01)
     part = sum((F.when(place > cut, 1).otherwise(0) for cut in cuts), F.lit(0))
@@ -47,4 +47,11 @@ def stream_insert(spark, sf_dir):
 def stream_feed_state(spark, sf_dir):
     """Feed state after the event log streamed through, in order of time."""
     target = _run(spark, sf_dir, "events", "ts", t.event_polls_of, ingest.stream_feed_state)
-    return ingest.read_snapshot(spark, target)
+    return ingest.read_state(spark, target)
+
+
+@query("stream_late_polls", ORACLE_SQL["feed_state_fold"])
+def stream_late_polls(spark, sf_dir):
+    """The same with the log landed out of order, a third of each time's polls in each part."""
+    target = _run(spark, sf_dir, "events", "event_id", t.event_polls_of, ingest.stream_feed_state, shuffled=True)
+    return ingest.read_state(spark, target)

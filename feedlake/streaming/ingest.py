@@ -1,17 +1,22 @@
 """Micro-batch forms. Both give after the last batch what the batch operators give at once.
 
-Late and repeated rows need no watermark: every batch is compared with the stored table,
-so the horizon of de-duplication is the retention period, and rows of the batch job count
-as stored too. States are one snapshot per batch; a batch that is run again replaces its own.
+Late and repeated articles need no watermark: every batch is compared with the stored days that
+may hold its keys, so the horizon of de-duplication is the retention period, and rows of the batch job
+count as stored too. Feed state is the stream's own keyed state; a batch that is run again replaces what
+it has stored. A poll must reach the stream once, as the poll log has it.
 """
 
+from datetime import timedelta
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from feedlake.operators import health, items as ops
 from feedlake.session import Scratch
-from feedlake.sources import keys
+from feedlake.sources import keys, store
 
 
 def stream_files(spark: SparkSession, path: str, schema: T.StructType, *,
@@ -44,33 +49,127 @@ def stream_insert(articles: DataFrame, root: str, checkpoint: str, *, trigger=No
     )
 
 
-def stream_feed_state(polls: DataFrame, target: str, checkpoint: str, *, trigger=None):
-    """Feed state kept up to date from streamed polls, one snapshot per batch.
+#: What is kept per feed and slot: last success, cursor and poll with their times, and the failures since.
+SLOT_STATE = (
+    "ok_ts long, ok_seq long, cur_ts long, cur_seq long, etag string, last_modified string, "
+    "last_ts long, last_seq long, message string, fail_ts array<long>, fail_seq array<long>")
+#: Slots that the polls of a feed are dealt to, so that a feed with most of the log has as many tasks.
+SLOTS = 8
+#: Batches whose updates are joined into one folder.
+COMPACT_EVERY = 20
+
+
+def _fold_slot(old: tuple, polls: pd.DataFrame) -> tuple:
+    """The state of one slot with some polls more, in any order of time."""
+    ok, cursor, last = (old[0], old[1]), old[2:6], old[6:9]
+    at = list(zip(polls["ts"], polls["seq"]))
+    for place, is_ok, has_cursor, etag, modified, message in zip(
+            at, polls["ok"], polls["has_cursor"], polls["etag"], polls["last_modified"], polls["message"]):
+        if is_ok and (ok[0] is None or place > ok):
+            ok = place
+        if has_cursor and (cursor[0] is None or place > cursor[:2]):
+            cursor = (*place, etag, modified)
+        if last[0] is None or place > last[:2]:
+            last = (*place, message)
+    failed = [*zip(old[9], old[10]), *(p for p, is_ok in zip(at, polls["ok"]) if not is_ok)]
+    if ok[0] is not None:
+        failed = [p for p in failed if p > ok]
+    return (*ok, *cursor, *last, [t for t, _ in failed], [n for _, n in failed])
+
+
+def _keep_slot(key, polls, state: GroupState):
+    """One batch's polls of a feed's slot; a state that nothing has changed for its lifetime goes."""
+    if state.hasTimedOut:
+        state.remove()
+        return
+    now = state.get if state.exists else (*[None] * 9, [], [])
+    for part in polls:
+        part = part.astype(object).where(part.notna(), None)
+        now = _fold_slot(tuple(now), part)
+    state.update(now)
+    if key[2] > 0:
+        state.setTimeoutDuration(key[2])
+    yield pd.DataFrame([(*key[:2], *now)], columns=["feed_id", "slot", *_names(SLOT_STATE)], dtype=object)
+
+
+def _names(schema: str) -> list[str]:
+    return [field.split()[0] for field in schema.split(", ")]
+
 
-    The batch is folded with partial aggregation and laid over the snapshot before, so a
-    hot feed never meets one task with all its polls, as a per-key stateful function would.
-    Polls of a feed must arrive in order of time across batches.
+def stream_feed_state(polls: DataFrame, target: str, checkpoint: str, *, trigger=None,
+                      lifetime: timedelta | None = None):
+    """Feed state kept by a stateful stream; polls may come late, in any order across batches.
+
+    The state of a feed's slot has the times of its last success, cursor and poll, and of the failures
+    since, so a late success takes back only the failures before it, and a late failure counts if it is
+    after the last success. A batch stores the slots that it changed, not all feeds; ``read_state`` merges a feed's
+    slots. With ``lifetime``, what no poll has changed for so long leaves the stream's memory (its stored state
+    stays).
     """
+    at = F.unix_micros("ts")
+    ok = health.is_ok()
+    rows = polls.select(
+        "feed_id", F.pmod(F.xxhash64(at, "seq"), F.lit(SLOTS)).cast("int").alias("slot"),
+        F.lit(int(lifetime.total_seconds() * 1000) if lifetime else 0).cast("long").alias("lifetime"),
+        at.alias("ts"), "seq", ok.alias("ok"), (ok & (F.col("status") == 200)).alias("has_cursor"),
+        "etag", "last_modified", health.poll_error().alias("message"))
+    slots = rows.groupBy("feed_id", "slot", "lifetime").applyInPandasWithState(
+        _keep_slot, f"feed_id string, slot int, {SLOT_STATE}", SLOT_STATE, "update",
+        GroupStateTimeout.ProcessingTimeTimeout if lifetime else GroupStateTimeout.NoTimeout)
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        prior = read_snapshot(spark, target, before=batch_id)
-        state = health.fold_feed_state(batch, prior)
-        state.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{target}/updates/batch={batch_id}")
+        if batch_id and batch_id % COMPACT_EVERY == 0:
+            _compact(batch.sparkSession, target, batch_id)
 
     return (
-        polls.writeStream.foreachBatch(write)
+        slots.writeStream.foreachBatch(write).outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 
 
-def read_snapshot(spark: SparkSession, target: str, before: int | None = None) -> DataFrame | None:
-    """The newest feed-state snapshot, or the newest of a batch before ``before``."""
-    if before is not None:
-        if before == 0:
-            return None
-        return spark.read.parquet(f"{target}/batch={before - 1}")
-    batches = spark.read.option("basePath", target).parquet(f"{target}/batch=*")
-    newest = batches.agg(F.max("batch")).head()[0]
-    return spark.read.parquet(f"{target}/batch={newest}")
+def _slots(spark: SparkSession, target: str) -> DataFrame:
+    """Each slot as its newest batch has it."""
+    schema = f"feed_id string, slot int, {SLOT_STATE}, batch long"
+    kept = store.read_folder(spark, f"{target}/base", schema)
+    changed = store.read_folder(spark, f"{target}/updates", schema)
+    state = F.struct(*_names(SLOT_STATE))
+    return kept.unionByName(changed).groupBy("feed_id", "slot").agg(
+        F.max_by(state, "batch").alias("s"), F.max("batch").alias("batch")).select("feed_id", "slot", "s.*", "batch")
+
+
+def _compact(spark: SparkSession, target: str, batch_id: int) -> None:
+    """Join the updates of older batches into the base; a batch that is run again finds its own done."""
+    base = f"{target}/base/batch={batch_id - 1}"
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path(f"{base}/_SUCCESS")):
+        _slots(spark, target).filter(F.col("batch") < batch_id).drop("batch").write.mode("overwrite").parquet(base)
+    for folder in ("base", "updates"):
+        if files.exists(path(f"{target}/{folder}")):
+            for found in files.listStatus(path(f"{target}/{folder}")):
+                number = found.getPath().getName().partition("batch=")[2]
+                if number.isdigit() and int(number) < (batch_id - 1 if folder == "base" else batch_id):
+                    files.delete(found.getPath(), True)
+
+
+def read_state(spark: SparkSession, target: str) -> DataFrame:
+    """Feed state as the stream has it, one row per feed."""
+    slots = _slots(spark, target)
+    place = lambda name: F.when(F.col(f"{name}_ts").isNotNull(), F.struct(f"{name}_ts", f"{name}_seq"))
+    heads = slots.groupBy("feed_id").agg(
+        F.max(place("ok")).alias("ok"),
+        F.max(F.when(F.col("cur_ts").isNotNull(), F.struct("cur_ts", "cur_seq", "etag", "last_modified"))).alias("cur"),
+        F.max(F.struct("last_ts", "last_seq", "message")).alias("last"))
+    # of each slot the failures after the feed's last success
+    after = lambda f: F.col("ok").isNull() | (F.struct(f["fail_ts"], f["fail_seq"]) > F.struct("ok.ok_ts", "ok.ok_seq"))
+    failures = slots.select("feed_id", "fail_ts", "fail_seq").join(heads.select("feed_id", "ok"), "feed_id").groupBy(
+        "feed_id").agg(F.sum(F.size(F.filter(F.arrays_zip("fail_ts", "fail_seq"), after))).alias("failures"))
+    time = lambda c: F.timestamp_micros(c)
+    return heads.join(failures, "feed_id").select(
+        "feed_id", F.col("cur.etag").alias("etag"), F.col("cur.last_modified").alias("last_modified"),
+        time("ok.ok_ts").alias("last_fetched"), time("ok.ok_ts").alias("last_success"),
+        F.col("failures").cast("long").alias("consecutive_failures"), F.col("last.message").alias("last_error"),
+        F.when(F.col("last.message").isNotNull(), time("last.last_ts")).alias("last_error_at"))

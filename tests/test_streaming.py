@@ -1,7 +1,11 @@
 """Streams give what the batch operators give, whatever the cut into batches."""
 
+import random
 from datetime import timedelta
 
+import pandas as pd
+import pytest
+
 from tests.values import NOW
 from feedlake.operators import health
 from feedlake.operators import items as ops
@@ -40,13 +44,34 @@ def test_insert(spark, items, tmp_path):
     assert store.read(spark, out, "items").count() == 8
 
 
-def test_feed_state(spark, tmp_path):
-    rows = [("rss", f"f{n % 5 if n % 3 else 0}", NOW + timedelta(minutes=n), n,
-             [200, 500, 304, 500, 500][n * n % 5], True, str(n), None, 0, None) for n in range(60)]
+def log(n, seed):
+    rng = random.Random(seed)
+    return [("rss", f"f{k % 5 if k % 3 else 0}", NOW + timedelta(minutes=k), k, rng.choice([200, 500, 304, 500, 503]),
+             rng.random() < 0.9, str(k), None, 0, None) for k in range(n)]
+
+
+@pytest.mark.parametrize("late", [False, True])
+def test_feed_state_of_any_order_is_the_batch_fold(spark, tmp_path, monkeypatch, late):
+    monkeypatch.setattr(ingest, "COMPACT_EVERY", 2)
+    rows = log(90, 1)
+    dealt = list(rows)
+    if late:
+        random.Random(2).shuffle(dealt)
     source = str(tmp_path / "in")
-    for part in range(3):
-        land(spark.createDataFrame(rows[part * 20:part * 20 + 20], POLL_LOG), source, f"p{part}")
+    for part in range(6):
+        land(spark.createDataFrame(dealt[part * 15:part * 15 + 15], POLL_LOG), source, f"p{part}")
     out = run(ingest.stream_feed_state, spark, source, POLL_LOG, tmp_path, 1)
     want = health.fold_feed_state(spark.createDataFrame(rows, POLL_LOG))
-    got = ingest.read_snapshot(spark, out).select(want.columns)
+    got = ingest.read_state(spark, out).select(want.columns)
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert len(list((tmp_path / "out" / "updates").glob("batch=*"))) <= 3  # older ones are joined
+
+
+def test_a_late_success_takes_back_the_failures_before_it():
+    polls = lambda *rows: pd.DataFrame(rows, columns=[
+        "ts", "seq", "ok", "has_cursor", "etag", "last_modified", "message"], dtype=object)
+    fail = lambda ts: (ts, 0, False, False, None, None, "HTTP 500")
+    state = ingest._fold_slot((*[None] * 9, [], []), polls(fail(1), fail(3), fail(5)))
+    assert state[9] == [1, 3, 5]
+    state = ingest._fold_slot(state, polls((4, 0, True, True, "e", None, None), fail(2)))
+    assert state[:2] == (4, 0) and state[4] == "e" and state[9] == [5] and state[8] == "HTTP 500"
