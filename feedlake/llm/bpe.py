@@ -25,7 +25,7 @@ import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.llm.frames import bounded_batches
+from feedlake.llm.frames import CACHES, bounded_batches
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: Pre-tokens a worker remembers, and the longest (in characters) that it does.
@@ -200,6 +200,9 @@ def _codec(model: bytes, pattern: str, differing: tuple) -> Codec:
     return Codec(model, pattern, dict(differing))
 
 
+CACHES[__name__].append(_codec.cache_clear)
+
+
 @functools.cache
 def _model(path: str) -> bytes:
     return serialise_model(read_ranks(path))

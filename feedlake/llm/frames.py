@@ -1,6 +1,10 @@
 """Helpers shared by the operators: stored intermediate results and Arrow batch sizes."""
 
+import ctypes
+import gc
 import uuid
+from collections import defaultdict
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +15,23 @@ BATCH_ROWS = 512
 BATCH_BYTES = 8 << 20
 
 
+#: What clears the memory of earlier tasks, by module. Spark keeps a worker for later stages.
+CACHES: dict[str, list[Callable[[], None]]] = defaultdict(list)
+
+
+def forget(module: str) -> None:
+    """In a task: let go of what other modules' tasks remember in this worker."""
+    for name, clear in CACHES.items():
+        if name != module:
+            for one in clear:
+                one()
+    gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library: it gives memory back when it likes
+        pass
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that every executor reaches, as the cluster names it in spark.checkpoint.dir."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

@@ -30,7 +30,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.llm.frames import bounded_batches, staged, strings
+from feedlake.llm.frames import CACHES, bounded_batches, forget, staged, strings
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 MARK = "▁"
@@ -240,6 +240,7 @@ def word_counts(docs: DataFrame, languages: list[str]) -> DataFrame:
     place = {name: k for k, name in enumerate(languages)}
 
     def count(batches):
+        forget(__name__)
         counts = [Counter() for _ in languages]
         for batch in batches:
             for lang, text in zip(batch["lang"], batch["text"]):
@@ -314,6 +315,7 @@ def learn(docs: DataFrame, vocabulary: str = VOCABULARY, iterations: int = ITERA
 
 
 _SCORERS: dict[str, Scorer] = {}
+CACHES[__name__] += [_SCORERS.clear, trie_of.cache_clear]
 
 
 def predictor(spark: SparkSession, model: Model | None):
