@@ -6,13 +6,14 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 
 import pandas as pd
-from pyspark import cloudpickle
+from pyspark import Accumulator, AccumulatorParam, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlake import constants as C
 from feedlake import schemas
 from feedlake.functions import text
+from feedlake.watch import Watched
 
 
 # Task code travels with the plan; executors need not have this package.
@@ -156,7 +157,7 @@ class _Caller:
 def embed_outcomes(
     queue: DataFrame, make_embedder: Callable[[], Callable[[list[str]], Iterable[Answer]]], *,
     dim: int = C.EMBED_DIM, item_codes=C.ITEM_ERROR_CODES, body_chars: int = C.EMBED_BODY_CHARS,
-    per_call: int = 100, concurrency: int = 1, partitions: int | None = None,
+    per_call: int = 100, concurrency: int = 1, partitions: int | None = None, faults: Accumulator | None = None,
 ) -> DataFrame:
     """Send each queued article once: ok, permanent, retryable or fatal.
 
@@ -165,7 +166,8 @@ def embed_outcomes(
     whose code lies in ``item_codes`` belongs to the item (permanent); any other refusal and
     a wrong dimension belong to the set-up (fatal, see ``raise_if_fatal``), and the task sends
     nothing after it; the rest may be tried again. ``partitions`` sizes the stage to the rate
-    the service allows. Reasons never show a key.
+    the service allows. A task adds its fatal reason to ``faults`` when it ends (see ``stored_outcomes``).
+    Reasons never show a key.
     """
     queue = queue.select(
         "item_id", text.embed_text("title", "body", body_chars=body_chars).alias("text")
@@ -178,6 +180,8 @@ def embed_outcomes(
         with ThreadPoolExecutor(concurrency) as pool:
             for batch in batches:
                 rows = [(i, *o) for i, o in zip(batch["item_id"], call(pool, batch["text"].tolist()))]
+                if faults is not None:
+                    faults.add([reason for _, outcome, _, reason in rows if outcome == "fatal"][:1])
                 yield pd.DataFrame(rows, columns=["item_id", "outcome", "vector", "reason"], dtype=object)
 
     return queue.mapInPandas(run, schemas.EMBED_RESULT).withColumn(
@@ -185,6 +189,40 @@ def embed_outcomes(
     )
 
 
+class _OneReason(AccumulatorParam):
+    """The first reason that arrived, in a list: however many tasks report, the driver keeps one."""
+
+    def zero(self, value):
+        return []
+
+    def addInPlace(self, kept, new):
+        return (kept + new)[:1]
+
+
+def stored_outcomes(queue: DataFrame, make_embedder, store: Callable[[DataFrame], DataFrame], **calls) -> DataFrame:
+    """``embed_outcomes``, stored by ``store``; a set-up fault in one task ends the calls of all.
+
+    A task that meets one ends without further calls and reports it; the driver then cancels
+    the stage, tasks that wait included, and raises SetupFault. Nothing is stored in that case.
+    """
+    spark = queue.sparkSession
+    faults = spark.sparkContext.accumulator([], _OneReason())
+    outcomes = embed_outcomes(queue, make_embedder, faults=faults, **calls)
+    calling = Watched(spark, "embed", lambda _: store(outcomes))
+    try:
+        while not calling.wait(0.2) and not faults.value:
+            pass
+    finally:
+        if not calling.wait(0):
+            calling.give_up()
+    if faults.value:
+        reason = spark.createDataFrame([tuple(faults.value)], "reason string").select(text.redact("reason"))
+        raise SetupFault(reason.head()[0])
+    stored = calling.result()
+    raise_if_fatal(stored)
+    return stored
+
+
 def raise_if_fatal(outcomes: DataFrame) -> None:
     """Stop the pass on a set-up fault. ``outcomes`` must be stored, or calls repeat."""
     faults = outcomes.filter(F.col("outcome") == "fatal").select("reason").take(1)

@@ -15,6 +15,7 @@ from feedlake.plans import upkeep
 from feedlake.session import Scratch
 from feedlake.sources import keys, payloads, store
 from feedlake.sources.registry import sources_meta, usable_searches
+from feedlake.watch import Watched, side_by_side
 
 log = logging.getLogger("feedlake.collect")
 
@@ -111,56 +112,61 @@ def firehose_pass(
     return mapping.map_firehose_rows(rows, endpoints, page_size=page_size), polls
 
 
-def _families(landed: Landed, registries: Registries, stage: Scratch):
-    """Name, and a function to (articles, polls), of each family that ran."""
+def _families(landed: Landed, registries: Registries):
+    """Name, and a function from a staging function to (articles, polls), of each family that ran."""
     if landed.feeds is not None:
-        yield C.RSS, lambda: feed_pass(
+        yield C.RSS, lambda stage: feed_pass(
             stage(payloads.scan_feeds(landed.feeds), "feeds"), registries.feeds)
     if landed.searches is not None:
-        yield C.SEARCH, lambda: search_pass(
+        yield C.SEARCH, lambda stage: search_pass(
             stage(payloads.scan_search(landed.searches), "searches"), registries.searches)
     if landed.firehose is not None:
-        yield C.FIREHOSE, lambda: firehose_pass(
+        yield C.FIREHOSE, lambda stage: firehose_pass(
             stage(payloads.scan_firehose(landed.firehose), "firehose"), registries.endpoints,
             **registries.settings)
 
 
 def run_passes(
-    landed: Landed, registries: Registries, stage: Scratch
+    spark: SparkSession, landed: Landed, registries: Registries, stage: Scratch, *,
+    timeout: float | None = None, deadlines: dict[str, float] | None = None,
 ) -> tuple[DataFrame | None, DataFrame | None, dict[str, str]]:
-    """Articles and poll rows of all families that worked, and a marker for each that broke.
+    """Articles and poll rows of all families that worked, and a marker for each that did not.
 
-    A family is stored before the next begins, so an unreadable folder or a fault in one
-    leaves the others as they are.
+    The families run side by side, each staged by jobs of its own, so that a small one fills the
+    executors that the tail of a large one leaves idle, and a fault or a hang in one leaves the
+    others as they are. They share ``timeout`` seconds; ``deadlines`` gives single families less.
+    Nothing of a family that ended late is stored: its responses stay landed for the next run.
     """
-    articles, polls, broken = [], [], {}
-    for name, make in _families(landed, registries, stage):
-        try:
-            found, polled = make()
-            found, polled = stage(found, f"{name}-articles"), stage(
-                polled.select(*_POLL_COLUMNS), f"{name}-polls")
-        except Exception:
-            log.exception("source family %s broke down", name)
-            broken[name] = "error"
-        else:
-            articles.append(found)
-            polls.append(polled)
-    if not polls:
+    def work(name, make):
+        def run(watched: Watched):
+            def kept(df, label):
+                watched.check()
+                return stage(df, label)
+            found, polled = make(kept)
+            return kept(found, f"{name}-articles"), kept(polled.select(*_POLL_COLUMNS), f"{name}-polls")
+        return run
+
+    parts = {name: work(name, make) for name, make in _families(landed, registries)}
+    done, broken = side_by_side(spark, parts, timeout=timeout, deadlines=deadlines)
+    if not done:
         return None, None, broken
+    articles, polls = zip(*done.values())
     return mapping.union_families(*articles), functools.reduce(DataFrame.unionByName, polls), broken
 
 
 def ingest(
-    spark: SparkSession, root: str, landed: Landed, registries: Registries, stage: Scratch
+    spark: SparkSession, root: str, landed: Landed, registries: Registries, stage: Scratch, *,
+    timeout: float | None = None, deadlines: dict[str, float] | None = None,
 ) -> tuple[DataFrame | None, dict[str, str]]:
-    """Store what is new and log every poll; returns poll rows with counts, and broken families.
+    """Store what is new and log every poll; returns poll rows with counts, and families that failed.
 
     Articles come first, then polls, then the state that follows from them. Each step leaves
     out what is there already and reads its result from the tables, so a run that died anywhere
     and is run again ends as one that did not die, and a second run over the same responses
     changes nothing.
     """
-    articles, polls, broken = run_passes(landed, registries, stage)
+    articles, polls, broken = run_passes(
+        spark, landed, registries, stage, timeout=timeout, deadlines=deadlines)
     if polls is None:
         return None, broken
     stored = keys.days_that_may_hold(spark, root, articles)
@@ -224,13 +230,15 @@ class RunFailed(RuntimeError):
 
 def collect_run(
     spark: SparkSession, root: str, landed: Landed, registries: Registries, *,
-    clock_now, embed=None, job: str = "collect_all", **rules,
+    clock_now, embed=None, job: str = "collect_all", timeout: float | None = None,
+    deadlines: dict[str, float] | None = None, **rules,
 ) -> str:
     """One scheduled run; returns its verdict line or raises RunFailed with it.
 
     ``clock_now`` gives the present time; ``embed`` is a function without arguments that
     makes one embedding pass, or None when there is no key. The start is logged first, so
-    a run that is killed stays visible as 'running'.
+    a run that is killed stays visible as 'running'. ``timeout`` and ``deadlines``: see ``run_passes``;
+    a family that ran out of time is ``timeout`` or ``deadline`` in the line, and fails the run.
     """
     log_run(spark, root, job, clock_now(), "start")
     detail = ""
@@ -238,7 +246,8 @@ def collect_run(
         if registries.feeds is not None:
             store.replace(spark, root, "meta", sources_meta(registries.feeds))
         with Scratch(spark, "collect") as stage:
-            polls, broken = ingest(spark, root, landed, registries, stage)
+            polls, broken = ingest(spark, root, landed, registries, stage,
+                                   timeout=timeout, deadlines=deadlines)
             if polls is None:
                 polls = spark.createDataFrame([], store.TABLES["poll_log"])
             state = store.read(spark, root, "feed_state")

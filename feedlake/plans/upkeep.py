@@ -34,7 +34,7 @@ def embed_pass(
     """One pass over all that waits: pending, embedded, permanent and retryable counts.
 
     Outcomes are stored before anything else: the calls are not repeated, and a set-up
-    fault stops the pass with no table changed. A pass appends vectors and refusals and
+    fault in one task stops the calls of all, with no table changed. A pass appends vectors and refusals and
     writes no article. ``cap`` limits a pass to the oldest so many.
     """
     items = store.read(spark, root, "items")
@@ -42,8 +42,7 @@ def embed_pass(
         ids = waiting(spark, root, now, min_life=min_life)
         asked = items.join(ids, "item_id", "left_semi").withColumn("embed_pending", F.lit(True))
         queue = stage(emb.pending_queue(asked, cap=cap), "queue")
-        outcomes = stage(emb.embed_outcomes(queue, make_embedder, **calls), "outcomes")
-        emb.raise_if_fatal(outcomes)
+        outcomes = emb.stored_outcomes(queue, make_embedder, lambda df: stage(df, "outcomes"), **calls)
         saved = stage(
             emb.vectors_to_save(emb.vector_entries(outcomes, queue), items, now), "vectors")
         refused = outcomes.filter(F.col("outcome") == "permanent").select(
