@@ -4,6 +4,8 @@ No fold sorts or lists a feed's rows: states are maxima with partial aggregation
 streaks are counts, with partial counts per task, of the failures after the last success.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -85,6 +87,24 @@ def later_polls(poll: DataFrame, prior: DataFrame) -> DataFrame:
     return poll.join(held, "feed_id", "left").filter(later).drop("_held")
 
 
+def fold_with_late_polls(
+    poll: DataFrame, prior: DataFrame, log: DataFrame, keep: Callable[[DataFrame, str], DataFrame],
+) -> DataFrame:
+    """``prior`` with the polls of a run, which may come late; ``log`` has all polls, these too.
+
+    Feeds whose polls are all later than their state go on from it. A feed with a poll that is not, be it late
+    or seen before, is folded anew from the log, which is read for such feeds only. ``keep`` stores a result.
+    """
+    held = prior.select("feed_id", F.greatest("last_success", "last_error_at").alias("_held"))
+    behind = keep(poll.groupBy("feed_id").agg(F.min("ts").alias("first")).join(held, "feed_id").filter(
+        F.col("_held").isNotNull() & (F.col("first").isNull() | (F.col("first") <= F.col("_held")))).select("feed_id"),
+        "behind")
+    if behind.isEmpty():
+        return fold_feed_state(poll, prior)
+    ahead = fold_feed_state(poll.join(behind, "feed_id", "left_anti"), prior.join(behind, "feed_id", "left_anti"))
+    return ahead.unionByName(fold_feed_state(log.join(behind, "feed_id", "left_semi")))
+
+
 def _continue_state(prior: DataFrame, state: DataFrame) -> DataFrame:
     """Earlier state and the fold of later polls, one row per feed on both sides."""
     p, s = prior.alias("p"), state.alias("s")

@@ -13,7 +13,7 @@ from feedlake.functions import clock
 from feedlake.operators import bodies, health, items as ops, mapping, paging
 from feedlake.plans import upkeep
 from feedlake.session import Scratch
-from feedlake.sources import keys, payloads, store
+from feedlake.sources import keys, landing, payloads, store
 from feedlake.sources.registry import sources_meta, usable_searches
 from feedlake.watch import Watched, side_by_side
 
@@ -70,14 +70,14 @@ def search_pass(scanned: DataFrame, searches: DataFrame) -> tuple[DataFrame, Dat
 def firehose_pass(
     scanned: DataFrame, endpoints: DataFrame, *, page_size: int = C.PAGE_SIZE, caps=None,
     default_cap: int = C.PAGE_CAP, blackout_start_hour: int | None = None,
-    blackout_end_hour: int | None = None, lookback_days: int | None = None,
+    blackout_end_hour: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Articles and poll rows of scanned firehose pages.
 
     All landed pages count up to the first short one; a page that landed twice is its last
     good response. A bad page in that range fails the whole request and none of its rows are
     used. ``caps`` say where the fetcher stopped asking, which makes a request cut off.
-    Requests in the blackout never happened. ``lookback_days`` is the fetcher's own matter.
+    Requests in the blackout never happened.
     """
     known = scanned.join(endpoints.select("endpoint"), "endpoint", "left_semi")
     known = known.filter(~clock.in_blackout("fetched_at", blackout_start_hour, blackout_end_hour))
@@ -121,9 +121,16 @@ def _families(landed: Landed, registries: Registries):
         yield C.SEARCH, lambda stage: search_pass(
             stage(payloads.scan_search(landed.searches), "searches"), registries.searches)
     if landed.firehose is not None:
+        # how far to look back has been settled by what was read
+        settings = {k: v for k, v in registries.settings.items() if k != "lookback_days"}
         yield C.FIREHOSE, lambda stage: firehose_pass(
-            stage(payloads.scan_firehose(landed.firehose), "firehose"), registries.endpoints,
-            **registries.settings)
+            stage(payloads.scan_firehose(landed.firehose), "firehose"), registries.endpoints, **settings)
+
+
+def landed_window(spark: SparkSession, folder: str, now: datetime, registries: Registries) -> Landed:
+    """Responses landed in the folders of the lookback window, which every run scans again."""
+    days = registries.settings.get("lookback_days", C.LOOKBACK_DAYS)
+    return Landed(**landing.split(landing.window(landing.read(spark, folder), now, days=days)))
 
 
 def run_passes(
@@ -180,11 +187,11 @@ def ingest(
     logged = log.join(counted.select(*response), response, "left_semi").select(*response)
     new_polls = stage(counted.join(logged, response, "left_anti"), "new-polls")
     prior = store.read(spark, root, "feed_state")
+    everything = store.read(spark, root, "poll_log").select(*new_polls.columns).unionByName(new_polls)
     if prior.isEmpty():  # lost or never written: the log has it all
-        earlier = store.read(spark, root, "poll_log").select(*new_polls.columns)
-        state = health.fold_feed_state(earlier.unionByName(new_polls))
+        state = health.fold_feed_state(everything)
     else:
-        state = health.fold_feed_state(health.later_polls(counted, prior), prior)
+        state = health.fold_with_late_polls(counted, prior, everything, stage)
     state = stage(state, "state")
     store.append(root, "poll_log", new_polls)
     store.replace(spark, root, "feed_state", state)

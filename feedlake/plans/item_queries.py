@@ -14,6 +14,8 @@ from feedlake.plans.tables import (
     CORPUS_SIGNALS, DOC_SQL, SEARCH_SQL, STORED_SQL, VEC_SQL, load, sql_clean, sql_host,
     sql_kind, sql_publisher,
 )
+from feedlake.session import Scratch
+from feedlake.sources import store
 
 
 @query("item_id", f"""
@@ -105,6 +107,16 @@ def item_count(spark, sf_dir):
         F.count("*").alias("n"))
 
 
+@query("stored_counts", f"""
+WITH {DOC_SQL}, first AS (SELECT min(fetched_at) AS fetched_at FROM doc GROUP BY item_id)
+SELECT CAST(fetched_at AS DATE) AS day, count(*) AS n FROM first GROUP BY ALL""")
+def stored_counts(spark, sf_dir):
+    """Stored articles by day, counted by the footers of their files."""
+    with Scratch(spark, "stored-counts") as job:
+        store.append(job.path, "items", ops.as_item(ops.stamp(ops.first_wins(t.doc_items(spark, sf_dir)))))
+        return store.counts(spark, job.path, "items")
+
+
 @query("kind_triage", f"""
 WITH {DOC_SQL}
 SELECT doc_id, {sql_kind("title")} AS kind,

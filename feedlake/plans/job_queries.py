@@ -30,7 +30,7 @@ def usable_searches(spark, sf_dir):
     return registry.usable_searches(rows)
 
 
-def _landed(spark, sf_dir) -> collect.Landed:
+def landed_responses(spark, sf_dir) -> collect.Landed:
     """All three families: two feed responses share a time, a firehose page may be bad or land twice."""
     feeds = feed_payloads(spark, sf_dir).withColumn(
         "fetched_at", F.lit(t.DAY0).cast("timestamp") + F.make_dt_interval(mins=F.floor(F.col("seq") / 2).cast("int")))
@@ -51,6 +51,25 @@ def _landed(spark, sf_dir) -> collect.Landed:
                           firehose=pages.unionByName(tries).drop("request"))
 
 
+def job_registries(spark) -> collect.Registries:
+    """Registries of what ``landed_responses`` has."""
+    german = spark.createDataFrame([("feed-de", "", "German", "", "de", "full", None, "wire", 3)], FEED_REGISTRY)
+    languages = [(f"lang-{lang}", "", i) for i, lang in enumerate(("en", "de", "fr", "es"))]
+    return collect.Registries(
+        feeds=feed_registry(spark).union(german), searches=spark.createDataFrame(languages, SEARCH_REGISTRY),
+        endpoints=spark.createDataFrame([("stock-latest", 0), ("fmp-articles", 1)], FIREHOSE_REGISTRY),
+        settings={"page_size": 3})
+
+
+def feed_totals(spark, root: str) -> DataFrame:
+    """Polls, stored articles and failures of each feed of a store, kept when the store is gone."""
+    totals = store.read(spark, root, "poll_log").groupBy("family", "feed_id").agg(
+        F.count("*").alias("polls"), F.sum("new_count").alias("new_articles"))
+    state = store.read(spark, root, "feed_state").select(
+        "feed_id", F.col("consecutive_failures").alias("failures"))
+    return _small(spark, totals.join(state, "feed_id"))
+
+
 def _small(spark, df: DataFrame) -> DataFrame:
     """A result of few rows, kept when the tables that it comes from are gone."""
     return spark.createDataFrame(df.collect(), df.schema)
@@ -102,22 +121,13 @@ def collect_ingest(spark, sf_dir):
     The second run sees the same responses, as one does that is run again; it changes nothing.
     German documents land as pages that are no feed.
     """
-    german = spark.createDataFrame([("feed-de", "", "German", "", "de", "full", None, "wire", 3)], FEED_REGISTRY)
-    languages = [(f"lang-{lang}", "", i) for i, lang in enumerate(("en", "de", "fr", "es"))]
-    registries = collect.Registries(
-        feeds=feed_registry(spark).union(german), searches=spark.createDataFrame(languages, SEARCH_REGISTRY),
-        endpoints=spark.createDataFrame([("stock-latest", 0), ("fmp-articles", 1)], FIREHOSE_REGISTRY),
-        settings={"page_size": 3})
+    registries = job_registries(spark)
     with Scratch(spark, "collect") as job:
         root = f"{job.path}/tables"
         for _ in range(2):
             with Scratch(spark, "collect-run") as stage:
-                collect.ingest(spark, root, _landed(spark, sf_dir), registries, stage)
-        totals = store.read(spark, root, "poll_log").groupBy("family", "feed_id").agg(
-            F.count("*").alias("polls"), F.sum("new_count").alias("new_articles"))
-        state = store.read(spark, root, "feed_state").select(
-            "feed_id", F.col("consecutive_failures").alias("failures"))
-        return _small(spark, totals.join(state, "feed_id"))
+                collect.ingest(spark, root, landed_responses(spark, sf_dir), registries, stage)
+        return feed_totals(spark, root)
 
 
 @query("drain_totals", f"""

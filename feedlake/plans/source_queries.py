@@ -1,5 +1,7 @@
 """Catalogue: payload scans, registries, page bodies."""
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from feedlake import constants as C
@@ -9,7 +11,8 @@ from feedlake.plans import tables as t
 from feedlake.plans.catalogue import query
 from feedlake.plans.tables import REG_SQL, SEARCH_SQL, load, sql_clean, sql_publisher
 from feedlake.schemas import FEED_REGISTRY
-from feedlake.sources import payloads, registry
+from feedlake.session import scratch_path
+from feedlake.sources import landing, payloads, registry
 
 
 # --- feed payloads ---------------------------------------------------------
@@ -194,7 +197,11 @@ def firehose_scan(spark, sf_dir):
     """Firehose pages as JSON text: parsed, cut after the first short page, counted."""
     scanned = payloads.scan_firehose(
         firehose_payloads(spark, sf_dir).withColumn("fetched_at", t.now()))
-    request = ["endpoint", "request"]
+    return _page_sums(scanned, ["endpoint", "request"])
+
+
+def _page_sums(scanned, request):
+    """Articles of the pages that count, and the sum of their numbers."""
     read = paging.accepted_pages(
         scanned.select(*request, "page", "n_rows"), request, page_size=3)
     rows = scanned.join(
@@ -205,6 +212,26 @@ def firehose_scan(spark, sf_dir):
         F.count("*").alias("articles"), F.sum(number).alias("key_sum"))
 
 
+@query("firehose_window", f"""
+WITH {FIREHOSE_SQL.format(rows="count(*)")}, fetched AS (
+  SELECT p.endpoint, TIMESTAMP '{t.DAY0}' + to_days(p.request % 30) + to_seconds(p.request) AS fetched_at,
+         p.page, p_partkey
+  FROM p JOIN read r ON p.endpoint = r.endpoint AND p.request = r.request AND p.page = r.page WHERE accepted)
+SELECT endpoint, fetched_at, page, count(*) AS articles, CAST(sum(p_partkey) AS BIGINT) AS key_sum
+FROM fetched WHERE CAST(fetched_at AS DATE) BETWEEN CAST(TIMESTAMP '{t.NOW}' AS DATE) - 3 AND TIMESTAMP '{t.NOW}'
+GROUP BY ALL""")
+def firehose_window(spark, sf_dir):
+    """Firehose pages of a month landed by endpoint and date; the lookback window of its last day, scanned."""
+    folder = scratch_path(spark, "firehose-window")
+    seconds = F.col("request") % 30 * 86400 + F.col("request")
+    pages = firehose_payloads(spark, sf_dir).withColumn(
+        "fetched_at", F.timestamp_seconds(F.unix_timestamp(F.lit(t.DAY0).cast("timestamp")) + seconds))
+    landing.land(folder, firehose=pages)
+    recent = landing.window(landing.read(spark, folder), datetime.fromisoformat(t.NOW))
+    scanned = payloads.scan_firehose(landing.split(recent)["firehose"])
+    return _page_sums(scanned, ["endpoint", "fetched_at"])
+
+
 # --- registries ------------------------------------------------------------
 
 @query("registry_dups", """

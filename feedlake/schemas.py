@@ -5,6 +5,7 @@ from pyspark.sql import types as T
 
 _TYPES = {
     "string": T.StringType(), "timestamp": T.TimestampType(), "boolean": T.BooleanType(),
+    "date": T.DateType(),
     "int": T.IntegerType(), "long": T.LongType(), "double": T.DoubleType(),
     "array<double>": T.ArrayType(T.DoubleType()),
     "array<string>": T.ArrayType(T.StringType()),
@@ -76,6 +77,11 @@ SEARCH_PAYLOAD = _schema(
 FIREHOSE_PAYLOAD = _schema(
     "endpoint string, page int, fetched_at timestamp, seq long, status int, payload string"
 )
+# Any of these three in a folder of all families; the last three are its sub-folders.
+LANDED = _schema(
+    "name string, page int, fetched_at timestamp, seq long, status int, etag string, "
+    "last_modified string, payload string, family string, endpoint string, date date"
+)
 PAGE_PAYLOAD = _schema("url string, fetched_at timestamp, status int, html string")
 
 SEARCH_ROW = "title string, originallink string, link string, description string, pubDate string"
