@@ -73,8 +73,10 @@ _PLAIN = rf"trim(split_part(text, chr(10), 1), '{text.BLANKS}')"
 _AT = "TIMESTAMP '2024-01-01' + to_minutes(doc_id)"
 
 
-@query("rss_scan", f"""
-SELECT feed_id, url, title, body, source, asset_hint, published_at, fetched_at,
+def _scan_sql(more=""):
+    """The articles of all documents that land as feeds."""
+    return f"""
+SELECT feed_id, url, title, body, source, asset_hint, published_at, {more}
        sha1(basis) AS item_id
 FROM (SELECT 'feed-' || lang AS feed_id, CASE lang WHEN 'en' THEN 'https://e/' || doc_id
                ELSE '' END AS url, {_PLAIN} AS title,
@@ -85,7 +87,10 @@ FROM (SELECT 'feed-' || lang AS feed_id, CASE lang WHEN 'en' THEN 'https://e/' |
                ELSE {_AT} - INTERVAL 2 HOUR END AS published_at, {_AT} AS fetched_at,
              CASE lang WHEN 'en' THEN 'https://e/' || doc_id WHEN 'fr' THEN 'tag:' || doc_id
                ELSE {_PLAIN} END AS basis
-      FROM documents WHERE lang IN ('en', 'fr', 'es'))""")
+      FROM documents WHERE lang IN ('en', 'fr', 'es'))"""
+
+
+@query("rss_scan", _scan_sql("fetched_at,"))
 def rss_scan(spark, sf_dir):
     """RSS, Atom and RDF payloads parsed and mapped; the identity-less entry is dropped."""
     scanned = payloads.scan_feeds(feed_payloads(spark, sf_dir))
@@ -94,6 +99,19 @@ def rss_scan(spark, sf_dir):
                         "published_at", "fetched_at", "item_id")
 
 
+@query("feed_files_scan", _scan_sql())
+def feed_files_scan(spark, sf_dir):
+    """The same documents landed as a few large files per feed, each file read by many tasks."""
+    folder = scratch_path(spark, "feed-files")
+    feed_payloads(spark, sf_dir).select("feed_id", F.col("payload").alias("value")).hint(
+        "rebalance", "feed_id").write.partitionBy("feed_id").text(folder)
+    rows = payloads.scan_feed_files(spark, folder).unionByName(
+        payloads.scan_feed_files(spark, folder, tag="entry"))
+    rows = rows.withColumns({"fetched_at": t.now(), "seq": F.lit(0).cast("long")})
+    return mapping.map_feed_rows(rows, feed_registry(spark)).select(
+        "feed_id", "url", "title", "body", "source", "asset_hint", "published_at", "item_id")
+
+
 @query("notafeed_guard", """
 SELECT doc_id AS seq, lang <> 'de' AS is_feed, CASE lang WHEN 'en' THEN 2 WHEN 'de' THEN 0
   ELSE 1 END AS entries FROM documents""")

@@ -6,7 +6,7 @@ response was readable, so that a block page becomes a failed poll and never a
 silent zero. ``*_rows`` then explode the entries.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake import schemas
@@ -129,6 +129,36 @@ def feed_rows(scanned: DataFrame) -> DataFrame:
     return _entry_rows(scanned, "feed_id", "fetched_at", "seq")
 
 
+def scan_feed_files(spark: SparkSession, path: str, *, tag: str = "item") -> DataFrame:
+    """Entries of feed files too large for one task: one row per ``tag`` (``item`` or ``entry``) of all files.
+
+    The end tag is the record separator of Spark's text source, which splits a file among tasks at any record, so
+    a file need not be a single document nor whole: what is before its first and after its last entry is left
+    out. An entry with loose ampersands is read again with them escaped, as in ``scan_feeds``; one that is
+    broken beyond that, or holds the end tag in its text, has null fields, which no article comes from and
+    ``feed_rows_without_basis`` counts. Columns: those of the folders, ``row_pos``, the entry. ``row_pos`` rises along a
+    file of up to 4 TB, with gaps. Empty files and folders without a file with ``tag`` give no rows.
+    """
+    mapped = {"item": _rss_entry, "entry": _atom_entry}[tag]
+    text = spark.read.option("lineSep", f"</{tag}>").text(path)
+    folders = [c for c in text.columns if c != "value"]
+    # rows of one split are numbered in order; splits start at least 4 KB apart
+    start = F.shiftright(F.col("_metadata.file_block_start"), 12)
+    row_pos = F.shiftleft(start, 33) + F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    head = rf"(?s)<{tag}(?:\s[^>]*)?>.*"
+    rows = text.select(*folders, row_pos.alias("row_pos"), F.concat(
+        F.lit("<block>"), F.regexp_extract("value", head, 0), F.lit(f"</{tag}></block>")).alias("_block"))
+    rows = rows.filter(F.col("_block").startswith(f"<block><{tag}"))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    rows = _once(rows, "_first", F.from_xml("_block", _BLOCK_ROWS, options))
+    broken = F.col("_first._corrupt_record").isNotNull()
+    repaired = F.when(broken, F.regexp_replace("_block", _LOOSE_AMP, "&amp;"))
+    rows = _once(rows, "_again", F.from_xml(repaired, _BLOCK_ROWS, options))
+    block = F.when(broken, F.when(F.col("_again._corrupt_record").isNull(), F.col("_again"))).otherwise(F.col("_first"))
+    rows = _once(rows, "_entry", mapped(block[tag]))
+    return rows.select(*folders, "row_pos", "_entry.*")
+
+
 def scan_search(payloads: DataFrame) -> DataFrame:
     """Search responses ``{"items": [...]}``; a null list is empty, bad JSON a failure."""
     schema = f"struct<items:array<struct<{_ddl(schemas.SEARCH_ROW)}>>,_corrupt_record:string>"

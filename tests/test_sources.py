@@ -229,3 +229,28 @@ def test_other_registries(spark, tmp_path):
     endpoints, settings = registry.load_firehose(spark, path)
     assert endpoints.count() == 2
     assert settings == {"lookback_days": 3, "blackout_start_hour": 7, "blackout_end_hour": None}
+
+
+def test_a_large_feed_file_is_read_in_parts(spark, tmp_path):
+    entries = "".join(
+        f"<item n='{n}'><title>T {n} &amp; co</title><link>https://e/{n}</link><description>{'x' * (n % 90)}\n</description></item>\n"
+        for n in range(900))
+    folder = tmp_path / "in" / "feed_id=f1"
+    folder.mkdir(parents=True)
+    (folder / "big.xml").write_text(
+        "<?xml version='1.0'?><rss><channel><title>c</title><items/>" + entries
+        + "<item><title>loose & nbsp&nbsp;</title></item><item><title>a<b></title></item></channel></rss>")
+    (folder / "empty.xml").write_text("")
+    (folder / "page.xml").write_text("<html><body>blocked</body></html>")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        rows = payloads.scan_feed_files(spark, str(tmp_path / "in"))
+        assert rows.rdd.getNumPartitions() > 8
+        got = rows.orderBy("row_pos").collect()
+        assert payloads.scan_feed_files(spark, str(tmp_path / "in"), tag="entry").count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [r["title"] for r in got[:900]] == [f"T {n} & co" for n in range(900)]
+    assert {r["feed_id"] for r in got} == {"f1"} and len({r["row_pos"] for r in got}) == 902
+    assert got[900]["title"] == "loose & nbsp&nbsp;" and got[901]["title"] is None  # broken, counted
