@@ -2,17 +2,14 @@
 
 Late and repeated articles need no watermark: every batch is compared with the stored days that
 may hold its keys, so the horizon of de-duplication is the retention period, and rows of the batch job
-count as stored too. Feed state is the stream's own keyed state; a batch that is run again replaces what
+count as stored too. Feed state is what each batch adds to it; a batch that is run again replaces what
 it has stored. A poll must reach the stream once, as the poll log has it.
 """
 
-from datetime import timedelta
-
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from feedlake.operators import health, items as ops
 from feedlake.session import Scratch
@@ -49,18 +46,17 @@ def stream_insert(articles: DataFrame, root: str, checkpoint: str, *, trigger=No
     )
 
 
-#: What is kept per feed and slot: last success, cursor and poll with their times, and the failures since.
-SLOT_STATE = (
-    "ok_ts long, ok_seq long, cur_ts long, cur_seq long, etag string, last_modified string, "
-    "last_ts long, last_seq long, message string, fail_ts array<long>, fail_seq array<long>")
-#: Slots that the polls of a feed are dealt to, so that a feed with most of the log has as many tasks.
-SLOTS = 8
+#: What a batch keeps of a feed: one row with its last success, cursor and poll, and a row per failure since.
+PART = (
+    "feed_id string, ok struct<ts: long, seq: long>, "
+    "cursor struct<ts: long, seq: long, etag: string, last_modified: string>, "
+    "last struct<ts: long, seq: long, message: string>, failed struct<ts: long, seq: long>")
 #: Batches whose updates are joined into one folder.
 COMPACT_EVERY = 20
 
 
 def _fold_slot(old: tuple, polls: pd.DataFrame) -> tuple:
-    """The state of one slot with some polls more, in any order of time."""
+    """The state of a feed with some polls more, in any order of time, row by row: what tests hold the stream to."""
     ok, cursor, last = (old[0], old[1]), old[2:6], old[6:9]
     at = list(zip(polls["ts"], polls["seq"]))
     for place, is_ok, has_cursor, etag, modified, message in zip(
@@ -77,99 +73,104 @@ def _fold_slot(old: tuple, polls: pd.DataFrame) -> tuple:
     return (*ok, *cursor, *last, [t for t, _ in failed], [n for _, n in failed])
 
 
-def _keep_slot(key, polls, state: GroupState):
-    """One batch's polls of a feed's slot; a state that nothing has changed for its lifetime goes."""
-    if state.hasTimedOut:
-        state.remove()
-        return
-    now = state.get if state.exists else (*[None] * 9, [], [])
-    for part in polls:
-        part = part.astype(object).where(part.notna(), None)
-        now = _fold_slot(tuple(now), part)
-    state.update(now)
-    if key[2] > 0:
-        state.setTimeoutDuration(key[2])
-    yield pd.DataFrame([(*key[:2], *now)], columns=["feed_id", "slot", *_names(SLOT_STATE)], dtype=object)
+def _heads(rows: DataFrame) -> DataFrame:
+    """feed_id, ok, cursor, last: the latest of each, with partial sums in the tasks."""
+    return rows.groupBy("feed_id").agg(*[F.max(c).alias(c) for c in ("ok", "cursor", "last")])
+
+
+def _open_failures(rows: DataFrame, heads: DataFrame) -> DataFrame:
+    """feed_id, failed: the failures after the feed's last success.
+
+    ``heads`` has a row per feed, so adaptive execution sends it to the failures or splits those of a hot feed.
+    """
+    failed = rows.filter("failed IS NOT NULL").select("feed_id", "failed")
+    after = F.col("ok").isNull() | (F.col("failed") > F.col("ok"))
+    same = F.col("f.feed_id").eqNullSafe(F.col("h.feed_id"))
+    return failed.alias("f").join(heads.select("feed_id", "ok").alias("h"), same).filter(after).select(
+        "f.feed_id", "failed")
 
 
-def _names(schema: str) -> list[str]:
-    return [field.split()[0] for field in schema.split(", ")]
+def _write_parts(rows: DataFrame, path: str, label: str) -> None:
+    """The heads and open failures of ``rows``, which are read twice, as one folder."""
+    with Scratch(rows.sparkSession, label) as stage:
+        heads = stage(_heads(rows), "heads")
+        heads.unionByName(_open_failures(rows, heads), allowMissingColumns=True).write.mode(
+            "overwrite").parquet(path)
 
 
-def stream_feed_state(polls: DataFrame, target: str, checkpoint: str, *, trigger=None,
-                      lifetime: timedelta | None = None):
-    """Feed state kept by a stateful stream; polls may come late, in any order across batches.
+def stream_feed_state(polls: DataFrame, target: str, checkpoint: str, *, trigger=None):
+    """Feed state kept by a stream; polls may come late, in any order across batches.
 
-    The state of a feed's slot has the times of its last success, cursor and poll, and of the failures
-    since, so a late success takes back only the failures before it, and a late failure counts if it is
-    after the last success. A batch stores the slots that it changed, not all feeds; ``read_state`` merges a feed's
-    slots. With ``lifetime``, what no poll has changed for so long leaves the stream's memory (its stored state
-    stays).
+    A batch stores the times of the last success, cursor and poll of the feeds that it has polls of, and the
+    failures since, and no state of other feeds. Latest is latest whichever batch has it, so ``read_state`` takes the
+    latest of all batches: a late success takes back only the failures before it, and a late failure counts if
+    it is after the last success. Nothing is kept in the memory of the stream, and no task lists the polls of a feed.
     """
-    at = F.unix_micros("ts")
+    at = F.struct(F.unix_micros("ts").alias("ts"), "seq")
     ok = health.is_ok()
     rows = polls.select(
-        "feed_id", F.pmod(F.xxhash64(at, "seq"), F.lit(SLOTS)).cast("int").alias("slot"),
-        F.lit(int(lifetime.total_seconds() * 1000) if lifetime else 0).cast("long").alias("lifetime"),
-        at.alias("ts"), "seq", ok.alias("ok"), (ok & (F.col("status") == 200)).alias("has_cursor"),
-        "etag", "last_modified", health.poll_error().alias("message"))
-    slots = rows.groupBy("feed_id", "slot", "lifetime").applyInPandasWithState(
-        _keep_slot, f"feed_id string, slot int, {SLOT_STATE}", SLOT_STATE, "update",
-        GroupStateTimeout.ProcessingTimeTimeout if lifetime else GroupStateTimeout.NoTimeout)
+        "feed_id", F.when(ok, at).alias("ok"),
+        F.when(ok & (F.col("status") == 200), F.struct(at["ts"].alias("ts"), "seq", "etag", "last_modified")).alias("cursor"),
+        F.struct(at["ts"].alias("ts"), "seq", health.poll_error().alias("message")).alias("last"),
+        F.when(~ok, at).alias("failed"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/updates/batch={batch_id}")
+        with Scratch(batch.sparkSession, "stream-polls") as stage:
+            _write_parts(stage(batch, "polls"), f"{target}/updates/batch={batch_id}", "stream-state")
         if batch_id and batch_id % COMPACT_EVERY == 0:
             _compact(batch.sparkSession, target, batch_id)
 
     return (
-        slots.writeStream.foreachBatch(write).outputMode("update")
+        rows.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 
 
-def _slots(spark: SparkSession, target: str) -> DataFrame:
-    """Each slot as its newest batch has it."""
-    schema = f"feed_id string, slot int, {SLOT_STATE}, batch long"
-    kept = store.read_folder(spark, f"{target}/base", schema)
-    changed = store.read_folder(spark, f"{target}/updates", schema)
-    state = F.struct(*_names(SLOT_STATE))
-    return kept.unionByName(changed).groupBy("feed_id", "slot").agg(
-        F.max_by(state, "batch").alias("s"), F.max("batch").alias("batch")).select("feed_id", "slot", "s.*", "batch")
+def _batches(spark: SparkSession, target: str, folder: str) -> dict[int, str]:
+    """Whole batches of a folder, by number."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    found = {}
+    if files.exists(path(f"{target}/{folder}")):
+        for status in files.listStatus(path(f"{target}/{folder}")):
+            number = status.getPath().getName().partition("batch=")[2]
+            if number.isdigit() and files.exists(path(status.getPath(), "_SUCCESS")):
+                found[int(number)] = status.getPath().toString()
+    return found
+
+
+def _parts(spark: SparkSession, target: str, before: float = float("inf")) -> DataFrame:
+    """What the batches have stored, each once: the newest base and the batches after it."""
+    bases = {k: p for k, p in _batches(spark, target, "base").items() if k < before}
+    newest = max(bases, default=-1)
+    changed = [p for k, p in _batches(spark, target, "updates").items() if newest < k < before]
+    paths = [*([bases[newest]] if bases else []), *changed]
+    return spark.read.schema(PART).parquet(*paths) if paths else spark.createDataFrame([], PART)
 
 
 def _compact(spark: SparkSession, target: str, batch_id: int) -> None:
     """Join the updates of older batches into the base; a batch that is run again finds its own done."""
-    base = f"{target}/base/batch={batch_id - 1}"
     path = spark._jvm.org.apache.hadoop.fs.Path
     files = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(path(f"{base}/_SUCCESS")):
-        _slots(spark, target).filter(F.col("batch") < batch_id).drop("batch").write.mode("overwrite").parquet(base)
+    if batch_id - 1 not in _batches(spark, target, "base"):
+        _write_parts(_parts(spark, target, batch_id), f"{target}/base/batch={batch_id - 1}", "stream-base")
     for folder in ("base", "updates"):
-        if files.exists(path(f"{target}/{folder}")):
-            for found in files.listStatus(path(f"{target}/{folder}")):
-                number = found.getPath().getName().partition("batch=")[2]
-                if number.isdigit() and int(number) < (batch_id - 1 if folder == "base" else batch_id):
-                    files.delete(found.getPath(), True)
+        for number, found in _batches(spark, target, folder).items():
+            if number < (batch_id - 1 if folder == "base" else batch_id):
+                files.delete(path(found), True)
 
 
 def read_state(spark: SparkSession, target: str) -> DataFrame:
-    """Feed state as the stream has it, one row per feed."""
-    slots = _slots(spark, target)
-    place = lambda name: F.when(F.col(f"{name}_ts").isNotNull(), F.struct(f"{name}_ts", f"{name}_seq"))
-    heads = slots.groupBy("feed_id").agg(
-        F.max(place("ok")).alias("ok"),
-        F.max(F.when(F.col("cur_ts").isNotNull(), F.struct("cur_ts", "cur_seq", "etag", "last_modified"))).alias("cur"),
-        F.max(F.struct("last_ts", "last_seq", "message")).alias("last"))
-    # of each slot the failures after the feed's last success
-    after = lambda f: F.col("ok").isNull() | (F.struct(f["fail_ts"], f["fail_seq"]) > F.struct("ok.ok_ts", "ok.ok_seq"))
-    failures = slots.select("feed_id", "fail_ts", "fail_seq").join(heads.select("feed_id", "ok"), "feed_id").groupBy(
-        "feed_id").agg(F.sum(F.size(F.filter(F.arrays_zip("fail_ts", "fail_seq"), after))).alias("failures"))
+    """Feed state as the stream has it, one row per feed; polls without a feed are in none."""
+    rows = _parts(spark, target).filter("feed_id IS NOT NULL")
+    heads = _heads(rows)
+    failures = _open_failures(rows, heads).groupBy("feed_id").agg(F.count(F.lit(1)).alias("failures"))
     time = lambda c: F.timestamp_micros(c)
-    return heads.join(failures, "feed_id").select(
-        "feed_id", F.col("cur.etag").alias("etag"), F.col("cur.last_modified").alias("last_modified"),
-        time("ok.ok_ts").alias("last_fetched"), time("ok.ok_ts").alias("last_success"),
-        F.col("failures").cast("long").alias("consecutive_failures"), F.col("last.message").alias("last_error"),
-        F.when(F.col("last.message").isNotNull(), time("last.last_ts")).alias("last_error_at"))
+    return heads.join(failures, "feed_id", "left").select(
+        "feed_id", F.col("cursor.etag").alias("etag"), F.col("cursor.last_modified").alias("last_modified"),
+        time("ok.ts").alias("last_fetched"), time("ok.ts").alias("last_success"),
+        F.coalesce("failures", F.lit(0).cast("long")).alias("consecutive_failures"),
+        F.col("last.message").alias("last_error"),
+        F.when(F.col("last.message").isNotNull(), time("last.ts")).alias("last_error_at"))

@@ -1,6 +1,7 @@
 """Streams give what the batch operators give, whatever the cut into batches."""
 
 import random
+import shutil
 from datetime import timedelta
 
 import pandas as pd
@@ -75,3 +76,45 @@ def test_a_late_success_takes_back_the_failures_before_it():
     assert state[9] == [1, 3, 5]
     state = ingest._fold_slot(state, polls((4, 0, True, True, "e", None, None), fail(2)))
     assert state[:2] == (4, 0) and state[4] == "e" and state[9] == [5] and state[8] == "HTTP 500"
+
+
+def test_feed_state_costs_no_call_per_feed(spark, tmp_path, monkeypatch):
+    """Many feeds, dealt out of order, and a batch that stopped after its base was written."""
+    polls = spark.range(20_000).selectExpr(
+        "'rss' family", "concat('f', id % 10000) feed_id", "timestamp_seconds(1700000000 + id * 7919 % 20000) ts",
+        "id seq", "CASE id % 3 WHEN 0 THEN 200 ELSE 500 END status", "true is_feed", "CAST(id AS string) etag",
+        "CAST(NULL AS string) last_modified", "0L new_count", "CAST(NULL AS string) error")
+    source = str(tmp_path / "in")
+    monkeypatch.setattr(ingest, "COMPACT_EVERY", 1)
+    for part in range(2):
+        land(polls.filter(f"seq % 2 = {part}"), source, f"p{part}")
+    out = str(tmp_path / "out")
+    stream = ingest.stream_feed_state(
+        ingest.stream_files(spark, f"{source}/*", POLL_LOG, files_per_batch=1), out, str(tmp_path / "checkpoint"))
+    stream.awaitTermination()
+    assert [p["stateOperators"] for p in stream.recentProgress if p["numInputRows"]] == [[], []]
+    want = health.fold_feed_state(polls)
+    got = lambda: sorted(map(str, ingest.read_state(spark, out).select(want.columns).collect()))
+    expected = sorted(map(str, want.collect()))
+    assert got() == expected
+    shutil.copytree(f"{out}/base/batch=0", f"{out}/updates/batch=0")  # the join was done, its parts not yet deleted
+    assert got() == expected
+
+
+def test_feed_state_is_the_fold_row_by_row(spark, tmp_path):
+    rows = log(60, 3)
+    random.Random(4).shuffle(rows)
+    land(spark.createDataFrame(rows, POLL_LOG), str(tmp_path / "in"), "p0")
+    out = run(ingest.stream_feed_state, spark, str(tmp_path / "in"), POLL_LOG, tmp_path, None)
+    got = {r["feed_id"]: (r["etag"], r["consecutive_failures"], r["last_error"])
+           for r in ingest.read_state(spark, out).collect()}
+    for feed, (etag, failures, error) in got.items():
+        own = [r for r in rows if r[1] == feed]
+        ok = [r[4] == 304 or (r[4] == 200 and r[5]) for r in own]
+        polls = pd.DataFrame({
+            "ts": [r[3] for r in own], "seq": 0, "ok": ok, "etag": [r[6] for r in own], "last_modified": None,
+            "has_cursor": [good and r[4] == 200 for good, r in zip(ok, own)],
+            "message": [None if good else "not a parseable feed" if r[4] == 200 else f"HTTP {r[4]}"
+                        for good, r in zip(ok, own)]}, dtype=object)
+        state = ingest._fold_slot((*[None] * 9, [], []), polls)
+        assert (etag, failures, error) == (state[4], len(state[9]), state[8])
