@@ -16,6 +16,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A registry of a few sources leaves most partitions empty, which by default keeps it from being sent: the
+    # responses of a busy source would all meet it in one task. Bytes decide, not partitions.
+    "spark.sql.adaptive.nonEmptyPartitionRatioForBroadcastJoin": "0",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

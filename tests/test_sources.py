@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tests.values import NOW
 from feedlake import schemas
 from feedlake.operators import mapping, paging
+from feedlake.plans import collect
 from feedlake.sources import payloads, registry
 
 
@@ -121,6 +122,18 @@ def test_each_body_is_parsed_once(scan):
     assert plan.count("from_xml(") == 2  # first reading and the repaired one
 
 
+def test_responses_of_a_busy_source_stay_where_they_are(spark, scan, feeds):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        articles, _ = collect.feed_pass(scan({"f": SAMPLE}), feeds(feed()))
+        assert len(articles.collect()) == 3
+        plan = articles._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0]
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_search_scan(spark):
     good = {"items": [
         {"title": "&quot;A&quot; <b>증시</b>의", "originallink": "https://businessplus.kr/1",
