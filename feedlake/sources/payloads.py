@@ -77,26 +77,31 @@ def scan_feeds(payloads: DataFrame) -> DataFrame:
     """RSS, Atom and RDF bodies to ``entries`` and the not-a-feed guard ``is_feed``.
 
     A body that is not well-formed gets a second reading with its loose ampersands
-    escaped, the usual fault of feeds. If that fails too, whole items and entries are cut
-    out of a body with a feed's root and read one by one, so a cut document keeps what
-    came through. No entry and either no readable XML or an unknown root means the
+    escaped, the usual fault of feeds. With it the whole items and entries of a body with a
+    feed's root are read one by one; they count if the second reading fails too, so a cut
+    document keeps what came through. No entry and either no readable XML or an unknown root means the
     response was not a feed.
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
     parsed = _once(payloads, "_first", F.from_xml("payload", _DOCUMENT, options))
     broken = F.col("_first._corrupt_record").isNotNull()
-    repaired = F.when(broken, F.regexp_replace("payload", _LOOSE_AMP, "&amp;"))
-    parsed = _once(parsed, "_again", F.from_xml(repaired, _DOCUMENT, options))
-    doc = F.when(broken, F.col("_again")).otherwise(F.col("_first"))
     known_root = F.lower(F.regexp_extract("payload", _ROOT, 1)).isin(*FEED_ROOTS)
-    lost = broken & F.col("_again._corrupt_record").isNotNull() & known_root
-    blocks = F.when(lost, F.regexp_extract_all(
-        F.regexp_replace("payload", _LOOSE_AMP, "&amp;"), F.lit(_BLOCK), F.lit(0)))
-    read = F.transform(blocks, lambda block: F.from_xml(
-        F.concat(F.lit("<block>"), block, F.lit("</block>")), _BLOCK_ROWS, options))
-    parsed = _once(parsed, "_blocks", F.filter(read, lambda b: b["_corrupt_record"].isNull()))
+    parsed = _once(parsed, "_repaired", F.when(broken, F.regexp_replace("payload", _LOOSE_AMP, "&amp;")))
+    # the whole body first, then its blocks as documents of their own
+    blocks = F.when(known_root, F.regexp_extract_all("_repaired", F.lit(_BLOCK), F.lit(0)))
+    texts = F.concat(F.array("_repaired"), F.coalesce(
+        F.transform(blocks, lambda block: F.concat(F.lit("<block>"), block, F.lit("</block>"))),
+        F.array().cast("array<string>")))
+    parsed = _once(parsed, "_read", F.when(broken, F.transform(
+        texts, lambda body: F.from_xml(body, _DOCUMENT, options))))
+    again = F.get("_read", F.lit(0))
+    doc = F.when(broken, again).otherwise(F.col("_first"))
+    lost = broken & again["_corrupt_record"].isNotNull() & known_root
+    whole = F.filter(F.slice("_read", 2, F.size("_read") - 1), lambda b: b["_corrupt_record"].isNull())
+    parsed = _once(parsed, "_blocks", F.when(lost, whole))
     saved = F.transform("_blocks", lambda b: F.when(
-        b["entry"].isNotNull(), _atom_entry(b["entry"])).otherwise(_rss_entry(b["item"])))
+        F.get(b["entry"], F.lit(0)).isNotNull(), _atom_entry(F.get(b["entry"], F.lit(0)))).otherwise(
+        _rss_entry(F.get(b["item"], F.lit(0)))))
     entries = F.coalesce(
         F.when(F.size("_blocks") > 0, saved),
         F.transform(doc["channel"]["item"], _rss_entry),
