@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 BATCH_ROWS = 512
 BATCH_BYTES = 8 << 20
 
+#: Whether the shuffle files of a query go when it has ended, and not when the driver next collects garbage.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 #: What clears the memory of earlier tasks, by module. Spark keeps a worker for later stages.
 CACHES: dict[str, list[Callable[[], None]]] = defaultdict(list)
@@ -48,10 +50,24 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}-llm/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, "true")  # of this write: what was shuffled for it is not read again
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(DROP_SHUFFLES) if before is None else spark.conf.set(DROP_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(*results: DataFrame) -> None:
+    """Delete staged results that nothing reads any more."""
+    for df in results:
+        hadoop, spark = df.sparkSession._jvm.org.apache.hadoop.fs, df.sparkSession
+        for file in df.inputFiles()[:1]:
+            path = hadoop.Path(spark._jvm.java.net.URI(file)).getParent()
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Delete all that this application has staged; results that read it must be stored by then."""
     path = spark._jvm.org.apache.hadoop.fs.Path(
