@@ -46,6 +46,8 @@ ROUNDS, RATE, CLIP = 2, 0.01, 5.0
 HELD_WORDS, COUNTED_WORDS = 1 << 21, 300_000
 #: Steps whose outputs are computed together in scoring.
 OUTPUT_ROWS = 1 << 16
+#: Those of them whose classes are computed at a time, so that they stay near the processor.
+BLOCK = 1 << 11
 ADDED = 0.1
 END, OTHER = 0, 1
 
@@ -162,12 +164,12 @@ class Classes:
     """Words sorted by frequency and cut where the sum of square roots passes equal shares."""
 
     def __init__(self, counts: np.ndarray):
-        order = np.lexsort((np.arange(len(counts)), -counts))
+        self.order = order = np.lexsort((np.arange(len(counts)), -counts))
         mass = np.sqrt(counts[order] + ADDED)
         share = np.cumsum(mass) / mass.sum()
         label = np.minimum((share - 0.5 * mass / mass.sum()) * CLASSES, CLASSES - 1).astype(np.int64)
         label = np.unique(label, return_inverse=True)[1]  # no class is empty
-        self.of, self.members = np.empty(len(counts), np.int64), []
+        self.of, self.members = np.empty(len(counts), np.uint16), []
         self.of[order] = label
         for k in range(label.max() + 1):
             self.members.append(order[label == k])
@@ -195,63 +197,91 @@ def run_window(w: Weights, state: np.ndarray, read: np.ndarray, fresh: np.ndarra
     """
     steps, lanes = read.shape
     s = STATE
-    gates = np.ascontiguousarray(w.into[read].transpose(0, 2, 1))
+    # update and reset by the logistic function, of what their exponential takes
+    sign = np.repeat(np.float32([-1, -1, 1]), s)
+    gates = np.ascontiguousarray((w.into * sign).take(read, axis=0).transpose(0, 2, 1))
     hidden, before, turned = (np.empty((steps, s, lanes), np.float32) for _ in range(3))
-    keep, on_rows = (~fresh).astype(np.float32), np.ascontiguousarray(w.on.T)
-    h = state.T
-    for t in range(steps):
-        h = np.multiply(h, keep[t], out=before[t])
-        on, both, n = on_rows @ h, gates[t, :2 * s], gates[t, 2 * s:]
-        both += on[:2 * s]  # update and reset by the logistic function
-        both *= 0.5
-        np.tanh(both, out=both)
-        both += 1
-        both *= 0.5
-        turned[t] = on[2 * s:]
-        n += both[s:] * turned[t]
-        np.tanh(n, out=n)
-        move = h - n
-        move *= both[:s]
-        h = np.add(n, move, out=hidden[t])
+    keep, on_rows = (~fresh).astype(np.float32), np.ascontiguousarray((w.on * sign).T)
+    h, on, move = state.T, np.empty((3 * s, lanes), np.float32), np.empty((s, lanes), np.float32)
+    with np.errstate(over="ignore"):  # beyond the largest number: a gate of 0
+        for t in range(steps):
+            h = np.multiply(h, keep[t], out=before[t])
+            np.matmul(on_rows, h, out=on)
+            both, n = gates[t, :2 * s], gates[t, 2 * s:]
+            both += on[:2 * s]
+            np.exp(both, out=both)
+            both += 1
+            np.reciprocal(both, out=both)
+            turned[t] = on[2 * s:]
+            n += np.multiply(both[s:], turned[t], out=move)
+            np.tanh(n, out=n)
+            np.subtract(h, n, out=move)
+            move *= both[:s]
+            h = np.add(n, move, out=hidden[t])
     return {"gates": gates, "before": before, "turned": turned, "keep": keep,
             "hidden": np.ascontiguousarray(hidden.transpose(0, 2, 1))}
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _softmax(x: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log probability of the wanted row in each column, and x as probabilities before they are divided by their sums."""
+    x -= x.max(axis=0)
+    there = x[wanted, np.arange(len(wanted))]
+    np.exp(x, out=x)
+    total = x.sum(axis=0)
+    return there - np.log(total), total
+
+
+def _slope(x: np.ndarray, total: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Gradient of the loss by what went into ``_softmax``."""
+    x /= total
+    x[wanted, np.arange(len(wanted))] -= 1
+    return x
 
 
 def outputs(w: Weights, classes: Classes, hidden: np.ndarray, target: np.ndarray, grad: Weights | None = None):
     """Log probabilities of the targets, and the gradient by the hidden states if ``grad`` takes the rest."""
+    # rows in the order of their classes and as the last axis, so that sums run along memory
     wanted = classes.of[target]
-    rows = np.arange(len(target))
-    logs = _log_softmax(hidden @ w.classes + w.class_bias)
-    out = logs[rows, wanted].astype(np.float64)
-    back = None
-    if grad is not None:
-        slope = np.exp(logs)
-        slope[rows, wanted] -= 1
-        grad.classes += hidden.T @ slope
-        grad.class_bias += slope.sum(axis=0)
-        back = slope @ w.classes.T
     order = np.argsort(wanted, kind="stable")
-    cuts = np.searchsorted(wanted[order], np.arange(len(classes.members) + 1))
+    wanted, place = wanted[order], classes.place[target[order]]
+    hidden = np.ascontiguousarray(hidden.take(order, axis=0).T)
+    logs, back = np.empty(len(order)), np.empty_like(hidden) if grad is not None else None
+    for start in range(0, len(order), BLOCK):
+        at = slice(start, start + BLOCK)
+        x = w.classes.T @ hidden[:, at]
+        x += w.class_bias[:, None]
+        logs[at], total = _softmax(x, wanted[at])
+        if grad is not None:
+            slope = _slope(x, total, wanted[at])
+            grad.classes += hidden[:, at] @ slope.T
+            grad.class_bias += slope.sum(axis=1)
+            back[:, at] = w.classes @ slope
+    tables, bias = w.words[classes.order], w.word_bias[classes.order, None]
+    words, word_bias = np.zeros_like(tables), np.zeros_like(w.word_bias)
+    cuts, end = np.searchsorted(wanted, np.arange(len(classes.members) + 1)), 0
     for k, members in enumerate(classes.members):
-        at = order[cuts[k]:cuts[k + 1]]
-        if not len(at) or len(members) == 1:
+        own, at = slice(end, end + len(members)), slice(cuts[k], cuts[k + 1])
+        end += len(members)
+        if at.start == at.stop or len(members) == 1:
             continue
-        part, table = hidden[at], w.words[members]
-        logs = _log_softmax(part @ table.T + w.word_bias[members])
-        place = classes.place[target[at]]
-        out[at] += logs[np.arange(len(at)), place]
+        x = tables[own] @ hidden[:, at]
+        x += bias[own]
+        inside, total = _softmax(x, place[at])
+        logs[at] += inside
         if grad is not None:
-            slope = np.exp(logs)
-            slope[np.arange(len(at)), place] -= 1
-            grad.words[members] += slope.T @ part
-            grad.word_bias[members] += slope.sum(axis=0)
-            back[at] += slope @ table
-    return out, back
+            slope = _slope(x, total, place[at])
+            words[own] = slope @ hidden[:, at].T
+            word_bias[own] = slope.sum(axis=1)
+            back[:, at] += tables[own].T @ slope
+    out = np.empty_like(logs)
+    out[order] = logs
+    if grad is None:
+        return out, None
+    grad.words[classes.order] += words
+    grad.word_bias[classes.order] += word_bias
+    by_row = np.empty((len(order), STATE), np.float32)
+    by_row[order] = back.T
+    return out, by_row
 
 
 def back_through(w: Weights, kept: dict, read: np.ndarray, back: np.ndarray, grad: Weights) -> None:
@@ -259,25 +289,26 @@ def back_through(w: Weights, kept: dict, read: np.ndarray, back: np.ndarray, gra
     steps, lanes = read.shape
     s = STATE
     back = np.ascontiguousarray(back.transpose(0, 2, 1))
-    moves = np.empty((steps, 3 * s, lanes), np.float32)
-    by_state = np.empty((3 * s, lanes), np.float32)
+    z, r, n = (kept["gates"][:, k * s:(k + 1) * s] for k in range(3))
+    h = kept["before"]
+    by_update, by_reset, inside = (h - n) * z * (1 - z), kept["turned"] * r * (1 - r), (1 - z) * (1 - n * n)
+    moves, by_state = (np.empty((steps, 3 * s, lanes), np.float32) for _ in range(2))
     carried = np.zeros((s, lanes), np.float32)
     for t in range(steps - 1, -1, -1):
-        d = back[t] + carried
-        gate, h, move = kept["gates"][t], kept["before"][t], moves[t]
-        z, r, n = gate[:s], gate[s:2 * s], gate[2 * s:]
-        dn = d * (1 - z) * (1 - n * n)
-        move[:s] = d * (h - n) * z * (1 - z)
-        move[s:2 * s] = dn * kept["turned"][t] * r * (1 - r)
-        move[2 * s:] = dn
-        by_state[:2 * s] = move[:2 * s]
-        by_state[2 * s:] = dn * r
-        grad.on += h @ by_state.T
-        carried = (d * z + w.on @ by_state) * kept["keep"][t]
-    flat, words = moves.transpose(0, 2, 1).reshape(-1, 3 * s), read.ravel()
-    order = np.argsort(words, kind="stable")
-    seen, starts = np.unique(words[order], return_index=True)
-    grad.into[seen] += np.add.reduceat(flat[order], starts, axis=0)
+        carried += back[t]
+        move, own = moves[t], by_state[t]
+        dn = np.multiply(carried, inside[t], out=move[2 * s:])
+        np.multiply(carried, by_update[t], out=move[:s])
+        np.multiply(dn, by_reset[t], out=move[s:2 * s])
+        own[:2 * s] = move[:2 * s]
+        np.multiply(dn, r[t], out=own[2 * s:])
+        carried *= z[t]
+        carried += w.on @ own
+        carried *= kept["keep"][t]
+    grad.on += np.matmul(h, by_state.transpose(0, 2, 1)).sum(axis=0)
+    words = read.ravel()
+    for k in range(3 * s):
+        grad.into[:, k] += np.bincount(words, moves[:, k].ravel(), len(grad.into))
 
 
 # ---------------------------------------------------------------- lanes
@@ -336,7 +367,7 @@ class Trainer:
         self.flat = weights.flat().astype(np.float32)
         self.w, self.classes = weights.like(self.flat), classes
         self.mean, self.square = np.zeros_like(self.flat), np.zeros_like(self.flat)
-        self.slope = np.zeros_like(self.flat)
+        self.slope, self.part = np.zeros_like(self.flat), np.empty_like(self.flat)
         self.grad = weights.like(self.slope)
         self.updates, self.seen, self.turn = 0, 0, 0
 
@@ -361,10 +392,19 @@ class Trainer:
             slope *= CLIP / length
         self.updates += 1
         self.seen += len(at)
-        self.mean += 0.1 * (slope - self.mean)
-        self.square += 0.01 * (slope * slope - self.square)
+        part = np.subtract(slope, self.mean, out=self.part)
+        part *= 0.1
+        self.mean += part
+        np.multiply(slope, slope, out=part)
+        part -= self.square
+        part *= 0.01
+        self.square += part
         step = RATE * math.sqrt(1 - 0.99 ** self.updates) / (1 - 0.9 ** self.updates)
-        self.flat -= step * self.mean / (np.sqrt(self.square) + 1e-8)
+        np.sqrt(self.square, out=part)
+        part += 1e-8
+        np.divide(self.mean, part, out=part)
+        part *= step
+        self.flat -= part
 
 
 def likelihoods(w: Weights, classes: Classes, docs: list[np.ndarray]) -> np.ndarray:
