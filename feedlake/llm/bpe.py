@@ -25,7 +25,7 @@ import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.llm.frames import CACHES, bounded_batches
+from feedlake.llm.frames import CACHES, bounded_batches, forget
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: Pre-tokens a worker remembers, and the longest (in characters) that it does.
@@ -197,6 +197,7 @@ class Codec:
 
 @functools.lru_cache(2)
 def _codec(model: bytes, pattern: str, differing: tuple) -> Codec:
+    forget(__name__)
     return Codec(model, pattern, dict(differing))
 
 

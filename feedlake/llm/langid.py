@@ -268,6 +268,7 @@ def maximise(words: DataFrame, model: Model) -> Model:
     sent = words.sparkSession.sparkContext.broadcast(model)
 
     def count(batches):
+        forget(__name__)
         chances = sent.value.lifted()
         trie = trie_of(tuple(sent.value.pieces))
         total, held = np.zeros_like(chances), {}
@@ -319,28 +320,25 @@ CACHES[__name__] += [_SCORERS.clear, trie_of.cache_clear]
 
 
 def predictor(spark: SparkSession, model: Model | None):
-    """A column function: the struct (lang_pred, score) of a text."""
-    result = lambda name, score: F.struct(name.alias("lang_pred"), score.alias("score"))
+    """A column function: the struct (lang_pred, score) of a text, computed once wherever it is used."""
     if model is None:
-        return lambda text: result(F.lit(UNDETERMINED), F.lit(0.0))
+        return lambda text: F.struct(F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
     sent, key = spark.sparkContext.broadcast(model), uuid.uuid4().hex
 
-    @F.pandas_udf("array<double>")
-    def posteriors(texts: pd.Series) -> pd.Series:
+    @F.pandas_udf("lang_pred string, score double")
+    def predict(texts: pd.Series) -> pd.DataFrame:
         if key not in _SCORERS:  # one model per worker at a time
             _SCORERS.clear()
+            forget(__name__)
             _SCORERS[key] = Scorer(sent.value)
-        return pd.Series(_SCORERS[key](texts), dtype=object)
-
-    names = F.array(*map(F.lit, model.languages))
-
-    def predict(text: Column) -> Column:
-        chances = posteriors(text)
-        best = F.array_max(chances)
-        name = F.element_at(names, F.array_position(chances, best).cast("int"))
-        return result(F.when(best.isNull(), UNDETERMINED).otherwise(name), F.coalesce(best, F.lit(0.0)))
-
-    return predict
+        names = sent.value.languages
+        found = [(names[chances.index(max(chances))], max(chances)) if chances else (UNDETERMINED, 0.0)
+                 for chances in _SCORERS[key](texts)]
+        return pd.DataFrame({"lang_pred": strings(name for name, _ in found),
+                             "score": np.array([score for _, score in found], np.float64)})
+
+    # else a filter by the prediction is pushed below it with a copy, and both run at once, each in workers of its own
+    return predict.asNondeterministic()
 
 
 def remainder(doc_id: str | Column, parts: int = 3) -> Column:
