@@ -80,7 +80,11 @@ def _near_points(point: Column) -> Column:
 
 
 def links(fingerprints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """a < b: distinct fingerprints (column ``fingerprint``, each once) that differ in few bits."""
+    """a < b: distinct fingerprints (column ``fingerprint``, each once) that differ in few bits.
+
+    Spark takes the exploded points to be as few as the fingerprints, so it is told to sort and merge: else it would
+    send up to 33 times its limit to the driver and to every executor.
+    """
     if not 1 <= max_bits <= 2:
         raise ValueError("the grid's neighbours cover one or two bits")
     keyed = fingerprints.select("fingerprint", F.explode(_near_points(segment_counts(
@@ -88,7 +92,7 @@ def links(fingerprints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     a = keyed.select("point", F.col("fingerprint").alias("a"))
     b = keyed.select("point", F.col("fingerprint").alias("b"))
     close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
-    return a.join(b, (a["point"] == b["point"]) & (F.col("a") < F.col("b")) & close).select("a", "b")
+    return a.join(b.hint("merge"), (a["point"] == b["point"]) & (F.col("a") < F.col("b")) & close).select("a", "b")
 
 
 def classes(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:

@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from feedlake.llm import components, simhash
 from tests.llm.conftest import ODD
@@ -58,6 +59,15 @@ def test_links_lose_no_pair_and_add_none(spark):
     assert got == want
 
 
+def test_points_are_not_broadcast_however_few_the_fingerprints_seem(spark, tmp_path):
+    spark.range(50).select(F.col("id").alias("fingerprint")).write.parquet(str(tmp_path / "prints"))
+    found = simhash.links(spark.read.parquet(str(tmp_path / "prints")))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert {(0, 1), (0, 3), (16, 48)} < {(r["a"], r["b"]) for r in found.collect()}
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_components_of_long_chains_and_stars(spark):
     rng = random.Random(2)
     order = rng.sample(range(300), 300)
