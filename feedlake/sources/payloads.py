@@ -143,9 +143,17 @@ def scan_feed_files(spark: SparkSession, path: str, *, tag: str = "item") -> Dat
     broken beyond that, or holds the end tag in its text, has null fields, which no article comes from and
     ``feed_rows_without_basis`` counts. Columns: those of the folders, ``row_pos``, the entry. ``row_pos`` rises along a
     file of up to 4 TB, with gaps. Empty files and folders without a file with ``tag`` give no rows.
+
+    What lies between two end tags is one record in memory, and a file without any would be one record as a whole. So
+    a first job reads all files in the short pieces that end with ``>`` and keeps those that have an end tag.
     """
     mapped = {"item": _rss_entry, "entry": _atom_entry}[tag]
+    file = F.col("_metadata.file_path")
+    pieces = spark.read.option("lineSep", ">").text(path)
+    tagged = pieces.where(F.col("value").endswith(f"</{tag}")).select(file.alias("file")).distinct().collect()
     text = spark.read.option("lineSep", f"</{tag}>").text(path)
+    # which files to read is settled when they are listed; the others are not opened
+    text = text.where(file.isin([r["file"] for r in tagged]) & F.col("value").contains(f"<{tag}"))
     folders = [c for c in text.columns if c != "value"]
     # rows of one split are numbered in order; splits start at least 4 KB apart
     start = F.shiftright(F.col("_metadata.file_block_start"), 12)

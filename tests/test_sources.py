@@ -267,3 +267,26 @@ def test_a_large_feed_file_is_read_in_parts(spark, tmp_path):
     assert [r["title"] for r in got[:900]] == [f"T {n} & co" for n in range(900)]
     assert {r["feed_id"] for r in got} == {"f1"} and len({r["row_pos"] for r in got}) == 902
     assert got[900]["title"] == "loose & nbsp&nbsp;" and got[901]["title"] is None  # broken, counted
+
+
+def test_only_feed_files_with_an_end_tag_are_read_by_it(spark, tmp_path):
+    texts = {"a b%25": "<rss><item><title>R</title></item><item><title>S</title></item></rss>",
+             "7": "<feed>" + "<entry><title>A</title><summary>x</summary></entry>\n" * 2000 + "</feed>",
+             "page": "<html>" + "<p>blocked &lt;/item&gt; <item>\n" * 2000}
+    for feed, text in texts.items():
+        folder = tmp_path / f"feed_id={feed}"
+        folder.mkdir()
+        (folder / "100% 1.xml").write_text(text)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        items, entries = (payloads.scan_feed_files(spark, str(tmp_path), tag=tag) for tag in ("item", "entry"))
+        # a file without an end tag would be one record in memory, so it is not opened at all
+        assert items.rdd.getNumPartitions() == 1 and entries.rdd.getNumPartitions() > 8
+        assert sorted((r["feed_id"], r["title"]) for r in items.collect()) == [("a b%", "R"), ("a b%", "S")]
+        assert [(r["feed_id"], r["title"]) for r in entries.collect()] == [("7", "A")] * 2000
+        (tmp_path / "feed_id=7" / "100% 1.xml").unlink()
+        none = payloads.scan_feed_files(spark, str(tmp_path), tag="entry")
+        assert none.collect() == [] and none.columns == entries.columns
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
