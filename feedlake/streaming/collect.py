@@ -32,9 +32,8 @@ def stream_collect(
                 return
             _, broken = collect.ingest(
                 spark, root, collect.Landed(**landing.split(rows, families)), registries, stage,
-                timeout=timeout, deadlines=deadlines)
-            if broken:
-                raise collect.RunFailed(f"batch {batch_id}: {broken}")
+                timeout=timeout, deadlines=deadlines, marked=True)
+            collect.require_all(broken, f"batch {batch_id}: ")
 
     return (
         responses.writeStream.foreachBatch(take)

@@ -20,6 +20,18 @@ class DeadlineExceeded(RuntimeError):
     """Raised by work that ran out of the time it set itself."""
 
 
+class Marker(str):
+    """Why a part has no value: ``error``, ``timeout`` or ``deadline``; with the fault it broke down with, if any."""
+
+    fault: BaseException | None = None
+
+    @classmethod
+    def of(cls, text: str, fault: BaseException | None = None) -> "Marker":
+        marker = cls(text)
+        marker.fault = fault
+        return marker
+
+
 class Watched:
     """A function that runs in a thread of its own, all of its Spark jobs under one tag.
 
@@ -77,12 +89,13 @@ class Watched:
 def side_by_side(
     spark: SparkSession, parts: dict[str, Callable[[Watched], object]], *, timeout: float | None = None,
     deadlines: dict[str, float] | None = None,
-) -> tuple[dict[str, object], dict[str, str]]:
+) -> tuple[dict[str, object], dict[str, Marker]]:
     """Values of the parts that worked, and a marker for each other one, both in the order of ``parts``.
 
     All parts begin at once and share ``timeout`` seconds; one that is not over by then is given up
     and marked ``timeout``. ``deadlines`` gives single parts less time: ``deadline``, as for a part that
-    raises DeadlineExceeded. Any other fault is ``error``.
+    raises DeadlineExceeded. Any other fault is ``error``. Without its markers the result is not whole: who
+    does not judge them raises (``plans.collect.require_all``).
     """
     begun = time.monotonic()
     watched = {name: Watched(spark, name, work) for name, work in parts.items()}
@@ -104,14 +117,14 @@ def side_by_side(
     for name, part in watched.items():
         if name in late:
             part.wait(10.0)  # its last job ends before the caller clears its folder
-            markers[name] = late[name]
+            markers[name] = Marker.of(late[name])
             continue
         try:
             values[name] = part.result()
-        except DeadlineExceeded:
+        except DeadlineExceeded as fault:
             log.error("%s ran out of its own time", name)
-            markers[name] = "deadline"
-        except Exception:
+            markers[name] = Marker.of("deadline", fault)
+        except Exception as fault:
             log.exception("%s broke down", name)
-            markers[name] = "error"
+            markers[name] = Marker.of("error", fault)
     return values, markers

@@ -16,7 +16,8 @@ from pyspark.sql.types import IntegerType
 from feedlake import schemas
 from feedlake.operators import embedding as emb
 from feedlake.operators import items as ops
-from feedlake.plans import collect, upkeep
+from feedlake.plans import collect, job_queries, upkeep
+from feedlake.session import Scratch
 from feedlake.sources import store
 from feedlake.watch import DeadlineExceeded, Watched, side_by_side
 from tests.values import NOW
@@ -111,6 +112,28 @@ def test_a_family_that_hangs_is_marked_and_the_others_are_stored(spark, root, re
     assert urls() == {"https://e/a", "https://e/b"}
 
 
+def test_a_family_that_breaks_down_is_no_result(spark, root, registries, monkeypatch):
+    def broken(*_):
+        raise ValueError("broken")
+
+    monkeypatch.setattr(collect, "search_pass", broken)
+    monkeypatch.setattr(job_queries, "landed_responses", lambda *_: landed(spark, False))
+    monkeypatch.setattr(job_queries, "job_registries", lambda *_: registries)
+    with pytest.raises(collect.RunFailed, match="naver=error") as raised:
+        job_queries.collect_ingest(spark, "no tables are read")
+    assert str(raised.value.__cause__) == "broken"
+    ingest = lambda **more: collect.ingest(
+        spark, root, landed(spark, False), registries, stage, **more)
+    with Scratch(spark, "marked") as stage:
+        assert ingest(marked=True)[1] == {"naver": "error"}
+    with Scratch(spark, "raised") as stage, pytest.raises(collect.RunFailed, match="naver=error"):
+        ingest()
+    assert {r["url"] for r in store.read(spark, root, "items").collect()} == {"https://e/a"}  # the others are stored
+    monkeypatch.setattr(collect, "feed_pass", broken)
+    with Scratch(spark, "none") as stage, pytest.raises(collect.RunFailed, match="rss=error naver=error"):
+        ingest()
+
+
 class Counting:
     """Each call leaves a file; the text 'denied' is refused for good, others take a while."""
 
